@@ -64,14 +64,17 @@ def _nodes(page: str) -> list[tuple]:
     return [tuple(n) for n in out]
 
 
-@F.pandas_udf(NODES)
-def html_nodes(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Nodes of each page in document order; ``last`` is a node's last descendant."""
+def _node_lists(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
     names = ("idx", "last", "parent", "tag", "classes", "href", "rel", "text")
     for s in pages:
         yield s.map(lambda p: [dict(zip(names, n)) for n in _nodes(p)], na_action="ignore")
 
 
+def html_nodes(c: Column | str) -> Column:
+    """Nodes of each page in document order; ``last`` is a node's last descendant."""
+    return F.pandas_udf(_node_lists, NODES)(c)
+
+
 def inside(node: Column, box: Column) -> Column:
     return (node["idx"] > box["idx"]) & (node["idx"] <= box["last"])
 

@@ -10,10 +10,11 @@ from pyspark.sql import Column, functions as F
 
 # Fixed value: the characters on which an argument-less split breaks a string.
 # The spelling is valid for Java and for RE2 alike.
-WS = (
-    r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+WS_CHARS = (
+    r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+WS = f"[{WS_CHARS}]"
 
 # Fixed value: characters a file name must not hold.
 UNSAFE_IN_FILE_NAMES = r'[\\/*?:"<>|]'
@@ -39,6 +40,7 @@ _TAG = r"<[!/?]?[A-Za-z](?:\"[^\"]*\"|'[^']*'|[^'\">])*>"
 _HIDDEN = (
     r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 )
+_HREF = r"(?i)<a\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?\shref\s*=\s*[\"']([^\"']*)[\"']"
 _CUT = "\u0001"
 
 
@@ -163,7 +165,6 @@ def decode_entities(c: Column | str) -> Column:
     return out
 
 
-@F.pandas_udf("string")
 def _unescape(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in parts:
         yield s.map(html.unescape, na_action="ignore")
@@ -173,7 +174,7 @@ def decode_all_entities(c: Column | str) -> Column:
     """Every named and numeric reference; uses Python for the rows that need it."""
     c = _col(c)
     rare = F.regexp_replace(c, "|".join(ENTITIES), "").rlike(r"&[#A-Za-z]")
-    return F.coalesce(_unescape(F.when(rare, c)), decode_entities(c))
+    return F.coalesce(F.pandas_udf(_unescape, "string")(F.when(rare, c)), decode_entities(c))
 
 
 def markup_to_nodes(c: Column | str) -> Column:
@@ -193,7 +194,5 @@ def html_to_text(c: Column | str, all_entities: bool = False) -> Column:
 def hrefs(c: Column | str) -> Column:
     """All ``href`` values of ``<a>`` tags in document order, references decoded."""
     live = F.regexp_replace(_col(c), _HIDDEN, "")
-    found = F.regexp_extract_all(
-        live, F.lit(r"(?i)<a\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?\shref\s*=\s*[\"']([^\"']*)[\"']"), F.lit(1)
-    )
+    found = F.regexp_extract_all(live, F.lit(_HREF), F.lit(1))
     return F.transform(found, decode_entities)

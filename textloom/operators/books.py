@@ -49,10 +49,13 @@ def book_status(meta: DataFrame, texts: DataFrame) -> DataFrame:
     require_columns(meta, "downloads", "filename")
     require_columns(texts, "name", "text", "error")
     found = texts.select(F.col("name").alias("epub_name"), "text", "error", F.lit(True).alias("__there"))
-    joined = with_epub_name(meta).join(found, "epub_name", "left")
+    # a record without a name gets a key of its own: null keys would all meet in one task
+    own = F.concat(F.lit("\0"), F.xxhash64(*meta.columns[:1]).cast("string"))
+    keyed = with_epub_name(meta, "__name").withColumn("epub_name", F.coalesce("__name", own))
+    joined = keyed.join(found, "epub_name", "left")
     status = (
         F.when(~_epub_only(), "criteria")
-        .when(F.col("epub_name").isNull(), "filename_missing")
+        .when(F.col("__name").isNull(), "filename_missing")
         .when(F.col("__there").isNull(), "file_missing")
         .when(F.col("error").isNotNull() | F.col("text").isNull(), "error")
         .otherwise("processed")

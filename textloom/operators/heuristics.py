@@ -29,39 +29,27 @@ def _special(t: Column) -> Column:
 
 
 def _repeated_share(grams: Column) -> Column:
-    """Share of the n-grams that occur more than once in their document."""
-    start = F.struct(F.lit(None).cast("string").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("rep"))
-
-    def closed(acc: Column) -> Column:
-        return acc["rep"] + F.when(acc["run"] > 1, acc["run"]).otherwise(0)
-
-    def step(acc: Column, gram: Column) -> Column:
-        same = F.coalesce(acc["last"] == gram, F.lit(False))
-        return F.struct(
-            gram.alias("last"),
-            F.when(same, acc["run"] + 1).otherwise(1).alias("run"),
-            F.when(same, acc["rep"]).otherwise(closed(acc)).alias("rep"),
-        )
-
-    return _ratio(F.aggregate(F.sort_array(grams), start, step, closed), F.size(grams))
+    """Share of the n-grams that occur more than once in their document.
+
+    Sorted, equal grams stand side by side: a run of ``k`` equal neighbours is ``k + 1``
+    repeated grams.
+    """
+    marks = let(
+        F.sort_array(grams),
+        lambda s: F.array_join(F.zip_with(s, F.slice(s, 2, F.size(s)), lambda x, y: F.when(x == y, "1").otherwise("0")), ""),
+    )
+    equal = F.char_length(F.replace(marks, F.lit("0"), F.lit("")))
+    return _ratio(equal + F.regexp_count(marks, F.lit("1+")), F.char_length(marks))
 
 
 def _word_grams(w: Column, n: int) -> Column:
-    last = F.size(w) - n + 1
-    grams = let(
-        w, lambda ws: F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(ws, i, n), " "))
-    )
-    return F.when(last > 0, grams).otherwise(F.array().cast("array<string>"))
+    """Overlapping word n-grams, found by one pattern over the words joined by blanks."""
+    return F.regexp_extract_all(F.array_join(w, " "), F.lit(f"(?=([^ ]+(?: [^ ]+){{{n - 1}}}))[^ ]+"), F.lit(1))
 
 
 def _char_grams(t: Column, n: int) -> Column:
-    last = F.char_length(t) - n + 1
-    # the characters are bound once; as a plain expression each gram would split anew
-    grams = let(
-        F.split(t, ""),
-        lambda chars: F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(chars, i, n), "")),
-    )
-    return F.when(last > 0, grams).otherwise(F.array().cast("array<string>"))
+    """Overlapping character n-grams; each match steps on by one whole character."""
+    return F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1))
 
 
 def listed_share(w: Column, listed: Collection[str]) -> Column:

@@ -10,6 +10,7 @@ from textloom.functions.markup import first, has_class, html_nodes, inside, sele
 from textloom.functions.text import hrefs, html_to_text, record_filename, remove_label, url_join, url_without_tail
 from textloom.plans.checks import require_columns
 from textloom.plans.lineage import durable
+from textloom.plans.skew import balanced_join
 
 
 @dataclass(frozen=True)
@@ -267,18 +268,17 @@ def follow_chain(
     require_columns(edges, "src", "dst")
     one = durable(edges.select("src", "dst").where("dst is not null").dropDuplicates(["src"]), "next")
     roots = starts.select(F.col(start_col).alias("start")).distinct()
-    opening = roots.join(one, F.col("start") == F.col("src"), "left")
-    first_step = opening.where("dst is not null and dst <> start").select("start", F.lit(1).cast("long").alias("depth"), F.col("dst").alias("url"))
+    opening = roots.join(one, F.col("start") == F.col("src"))
+    first_step = opening.where("dst <> start").select("start", F.lit(1).cast("long").alias("depth"), F.col("dst").alias("url"))
     seen = durable(
         roots.select("start", F.lit(0).cast("long").alias("depth"), F.col("start").alias("url")).unionByName(first_step),
         "chain",
     )
-    frontier = seen
     jump = one.where(F.col("dst").contains(paged)) if paged else one
     step = 1
     for _ in range(max_doublings):
         reached = (
-            frontier.where("depth > 0").join(jump, F.col("url") == F.col("src"))
+            balanced_join(seen.where("depth > 0"), jump.withColumnRenamed("src", "url"), ["url"])
             .select("start", (F.col("depth") + step).alias("depth"), F.col("dst").alias("url"))
         )
         fresh = durable(
@@ -290,11 +290,8 @@ def follow_chain(
         if fresh.isEmpty():
             return seen
         seen = durable(seen.unionByName(fresh), "chain")
-        frontier = seen
-        far = jump.select(F.col("src").alias("mid"), F.col("dst").alias("end"))
-        jump = durable(
-            jump.join(far, F.col("dst") == F.col("mid")).select("src", F.col("end").alias("dst")), "jump"
-        )
+        far = jump.select(F.col("src").alias("dst"), F.col("dst").alias("end"))
+        jump = durable(balanced_join(jump, far, ["dst"]).select("src", F.col("end").alias("dst")), "jump")
         step *= 2
     raise RuntimeError("a chain is longer than the given number of doublings allows")
 
@@ -308,7 +305,7 @@ def frontier_join(frontier: DataFrame, pages: DataFrame, url_col: str = "url") -
     require_columns(frontier, url_col)
     require_columns(pages, "url", "html")
     wanted = frontier.select(url_without_tail(url_col).alias("__u")).distinct()
-    return pages.withColumn("__u", url_without_tail("url")).join(wanted, "__u", "left_semi").drop("__u")
+    return balanced_join(pages.withColumn("__u", url_without_tail("url")), wanted, ["__u"]).drop("__u")
 
 
 def category_books(pages: DataFrame, categories: DataFrame, rule: LinkRule = LinkRule(), root: str | None = None) -> DataFrame:

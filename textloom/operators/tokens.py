@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textloom.functions.arrays import attention_mask, pad_right
-from textloom.functions.text import word_count
+from textloom.functions.text import WS_CHARS, word_count
 from textloom.plans.checks import require_columns
 from textloom.plans.lineage import durable
 from textloom.plans.lexicon import attach_by_word, explode_words, fits_broadcast, map_words, ship
@@ -18,7 +18,8 @@ from textloom.plans.ordering import with_row_index
 # Model names whose byte-pair encoder is the one named here.
 BPE_OF_MODEL = {"gpt-4": "cl100k_base", "gpt-3.5-turbo": "cl100k_base"}
 
-PRE_TOKEN = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]"  # runs of letters, runs of digits, single signs
+# runs of letters, runs of digits, single signs
+PRE_TOKEN = r"\p{L}+|\p{N}+|[^" + WS_CHARS + r"\p{L}\p{N}]"
 
 
 def _python_counter(load: Callable[[], Callable[[list[str]], list[int]]]) -> Callable[[Column], Column]:

@@ -1,3 +1,3 @@
 from textloom.plans.lineage import durable, fresh_path, shared_folder
 from textloom.plans.ordering import range_scan, with_row_index
-from textloom.plans.skew import key_weights, lookup_join
+from textloom.plans.skew import balanced_join, key_weights, lookup_join

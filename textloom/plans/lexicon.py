@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from textloom.functions.text import words
 from textloom.plans.lineage import durable
-from textloom.plans.skew import key_weights, lookup_join
+from textloom.plans.skew import balanced_join
 
 MAX_BROADCAST_WORDS = 500_000
 MAX_BROADCAST_BYTES = 64 << 20
@@ -63,7 +63,4 @@ def explode_words(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def attach_by_word(tokens: DataFrame, table: DataFrame) -> DataFrame:
     """Left join of exploded words to a word table, safe against frequent words."""
-    tokens = durable(tokens, "words")
-    seen = key_weights(tokens, ["word"], "__n")
-    right = durable(seen.join(table, "word", "left"), "word-values")
-    return lookup_join(tokens, right, ["word"], "__n")
+    return balanced_join(durable(tokens, "words"), table, ["word"], "left")

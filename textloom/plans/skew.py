@@ -13,6 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from textloom.plans.lineage import durable
+
 MAX_HEAVY = 4096          # most keys ever broadcast
 HEAVY_FLOOR = 1_000_000   # a key with fewer rows than this is never split
 SMALL_BYTES = 64 << 20    # a table of at most this size cannot overload a task
@@ -60,3 +62,14 @@ def lookup_join(
 def key_weights(df: DataFrame, on: Sequence[str], weight: str) -> DataFrame:
     """Rows per key; the map side counts first, so a hot key costs one row per task."""
     return df.groupBy(*on).agg(F.count(F.lit(1)).alias(weight))
+
+
+def balanced_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", heavy_floor: int | None = None
+) -> DataFrame:
+    """``lookup_join`` for callers who have no counts yet: keys of a large ``left`` are
+    counted first.  ``left`` should be a stored table, as it is then read twice."""
+    if heavy_floor is None and planned_bytes(left) <= SMALL_BYTES:
+        return left.join(right, list(on), how)
+    weighted = key_weights(left, on, "__w").join(right, list(on), how)
+    return lookup_join(left, durable(weighted, "weighted"), on, "__w", how, heavy_floor)

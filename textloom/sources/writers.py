@@ -41,8 +41,8 @@ def book_texts(books: DataFrame, id_col: str = "path", title_col: str = "title",
     named = books.select(id_col, safe_title(title_col).alias("safe_title"), text_col)
     # counting and joining need keys only; texts take part in one join by id
     keys = named.select(id_col, "safe_title")
-    counts = key_weights(keys, ["safe_title"], "n_same_name").withColumn("w", F.col("n_same_name"))
-    return lookup_join(keys, counts, ["safe_title"], "w").join(named.drop("safe_title"), id_col)
+    counts = key_weights(keys, ["safe_title"], "n_same_name").withColumn("__w", F.col("n_same_name"))
+    return lookup_join(keys, counts, ["safe_title"], "__w").join(named.drop("safe_title"), id_col)
 
 
 def write_book_texts(books: DataFrame, path: str, as_files: bool = False, **cols: str) -> str:
