@@ -39,7 +39,7 @@ def chunk_words(
     require_columns(df, id_col, text_col)
     if mode not in ("drift", "exact"):
         raise ValueError("mode must be 'drift' or 'exact'")
-    cut = df.select(id_col, words(text_col).alias("w")).where(F.size("w") > 0)
+    cut = df.select(id_col, words(text_col).alias("w"))
     n = F.size("w")
     if mode == "drift":
         step = n.cast("double") / F.lit(float(n_chunks))
@@ -52,10 +52,11 @@ def chunk_words(
     else:
         big = n.cast("long")
         at = lambda i: F.floor(i * big / n_chunks).cast("int")
-        spans = F.transform(
+        every = F.transform(
             F.sequence(F.lit(0).cast("long"), F.lit(n_chunks - 1).cast("long")),
             lambda i: F.struct(at(i).alias("lo"), at(i + 1).alias("hi")),
         )
+        spans = F.when(n > 0, every)
     # chunks are built before the explode, so no output row carries the whole text
     pieces = F.transform("spans", lambda s: F.array_join(F.slice("w", s["lo"] + 1, s["hi"] - s["lo"]), " "))
     out = (

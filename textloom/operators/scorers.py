@@ -23,7 +23,7 @@ from textloom.functions.arrays import label_of, softmax, top1
 from textloom.functions.text import collapse_newlines, words
 from textloom.plans.checks import require_columns
 from textloom.plans.lineage import durable
-from textloom.plans.lexicon import attach_by_word, explode_words, fits_broadcast, map_words, ship
+from textloom.plans.lexicon import attach_by_word, explode_words, map_words, ship, within_limits
 
 Scorer = Callable[[DataFrame, str, str], DataFrame]
 
@@ -37,7 +37,7 @@ class NaiveBayes:
 
     classes: Sequence
     priors: Sequence[int]
-    weights: DataFrame  # word, w array<bigint> in class order
+    weights: DataFrame  # word, w0, w1, ...: one bigint per class
     in_place: bool      # weights are small enough to ship to every worker
 
     def raw(self, df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -46,10 +46,8 @@ class NaiveBayes:
         if self.in_place:
             return df.withColumn("raw", self.raw_column(F.col(text_col)))
         prior = F.array(*[F.lit(p).cast("long") for p in self.priors])
-        known = attach_by_word(explode_words(df, id_col, text_col), self.weights).where("w is not null")
-        sums = known.groupBy(id_col).agg(
-            *[F.sum(F.col("w")[i]).alias(f"__s{i}") for i in range(len(self.priors))]
-        )
+        known = attach_by_word(explode_words(df, id_col, text_col), self.weights).where("w0 is not null")
+        sums = known.groupBy(id_col).agg(*[F.sum(f"w{i}").alias(f"__s{i}") for i in range(len(self.priors))])
         total = F.array(*[
             F.coalesce(F.col(f"__s{i}"), F.lit(0)) + F.lit(p).cast("long") for i, p in enumerate(self.priors)
         ])
@@ -62,7 +60,7 @@ class NaiveBayes:
         if not self.in_place:
             raise ValueError("the model is too large to ship; use raw()")
         priors = np.array(self.priors, dtype=np.int64)
-        shipped = ship(self.weights, "word", "w")
+        shipped = ship(self.weights, "word", [f"w{i}" for i in range(len(self.priors))])
         score = map_words(shipped, "array<bigint>", lambda v, at: priors + v[at[at >= 0]].sum(axis=0))
         return score(text)
 
@@ -97,21 +95,21 @@ def fit_nb(
         "nb-counts",
     )
     k = range(len(names))
-    size = counts.agg(F.count(F.lit(1)), *[F.sum(f"n{i}") for i in k]).first()
-    vocabulary, totals = size[0], [s or 0 for s in size[1:]]
+    size = counts.agg(
+        F.count(F.lit(1)), F.sum(F.octet_length("word")), *[F.sum(f"n{i}") for i in k]
+    ).first()
+    vocabulary, word_bytes, totals = size[0], size[1] or 0, [s or 0 for s in size[2:]]
 
     def micro(x: Column) -> Column:
         return F.round(F.log(x) * F.lit(float(UNIT))).cast("long")
 
     weights = counts.select(
         "word",
-        F.array(*[
-            micro((F.col(f"n{i}") + 1).cast("double") / F.lit(float(totals[i] + vocabulary))) for i in k
-        ]).alias("w"),
+        *[micro((F.col(f"n{i}") + 1).cast("double") / F.lit(float(totals[i] + vocabulary))).alias(f"w{i}") for i in k],
     )
     n_docs = sum(docs)
     priors = [round(float(np.log(docs[i] / n_docs)) * UNIT) if docs[i] else -(1 << 40) for i in k]
-    return NaiveBayes(names, priors, weights, fits_broadcast(weights, "word", len(names)))
+    return NaiveBayes(names, priors, weights, within_limits(vocabulary, word_bytes, len(names)))
 
 
 def fit_linear(

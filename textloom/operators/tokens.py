@@ -114,11 +114,11 @@ def encode(
     if in_place is None:
         in_place = fits_broadcast(vocabulary, "word")
     if in_place:
-        shipped = ship(vocabulary, "word", "id")
+        shipped = ship(vocabulary, "word", ["id"])
 
         def ids_of(values: np.ndarray, at: np.ndarray) -> list[int]:
             found = at[at >= 0] if unk_id is None else at
-            ids = np.where(found >= 0, values[found], -1 if unk_id is None else unk_id)
+            ids = np.where(found >= 0, values[found, 0], -1 if unk_id is None else unk_id)
             return [*head, *ids.tolist()]
 
         ids = df.select(id_col, map_words(shipped, "array<int>", ids_of)(F.col(text_col)).alias("input_ids"))

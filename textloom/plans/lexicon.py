@@ -8,7 +8,7 @@ ways give the same values.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -22,17 +22,21 @@ MAX_BROADCAST_WORDS = 500_000
 MAX_BROADCAST_BYTES = 64 << 20
 
 
+def within_limits(rows: int, word_bytes: int, width: int) -> bool:
+    return rows <= MAX_BROADCAST_WORDS and word_bytes + rows * width * 8 <= MAX_BROADCAST_BYTES
+
+
 def fits_broadcast(table: DataFrame, word_col: str = "word", width: int = 1) -> bool:
     """Whether the table's words and numbers stay within both limits."""
     n, size = table.agg(F.count(F.lit(1)), F.sum(F.octet_length(word_col))).first()
-    return n <= MAX_BROADCAST_WORDS and (size or 0) + n * width * 8 <= MAX_BROADCAST_BYTES
+    return within_limits(n, size or 0, width)
 
 
-def ship(table: DataFrame, word_col: str, value_col: str):
-    """Broadcast ``word -> position`` and the matrix of values, row by position."""
-    pdf = table.select(word_col, value_col).toPandas()
-    position = {w: i for i, w in enumerate(pdf[word_col])}
-    values = np.array(pdf[value_col].tolist(), dtype=np.int64)
+def ship(table: DataFrame, word_col: str, value_cols: Sequence[str]):
+    """Broadcast ``word -> position`` and the matrix of values, one row per position."""
+    cols = table.select(word_col, *value_cols).toArrow()
+    position = {w: i for i, w in enumerate(cols[word_col].to_pylist())}
+    values = np.column_stack([cols[c].to_numpy() for c in value_cols]).astype(np.int64)
     return table.sparkSession.sparkContext.broadcast((position, values))
 
 
