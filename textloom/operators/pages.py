@@ -72,20 +72,24 @@ def page_records(pages: DataFrame) -> DataFrame:
     )
 
 
+def _is_format(formats: tuple[str, ...], i: int):
+    """Test for links of ``formats[i]``: earlier formats take precedence."""
+
+    def test(n: Column) -> Column:
+        ok = has_class(n, formats[i])
+        for earlier in formats[:i]:
+            ok = ok & ~has_class(n, earlier)
+        return ok
+
+    return test
+
+
 def _downloads(template: BookTemplate) -> tuple[Column, Column]:
     """Map format -> last link of that format, and whether such a link had no target."""
     buttons = select(F.col("nodes"), lambda n: (n["tag"] == "a") & has_class(n, template.link_class))
     entries, broken = [], F.lit(False)
     for i, fmt in enumerate(template.formats):
-        earlier = template.formats[:i]
-
-        def of_format(n: Column, fmt=fmt, earlier=earlier) -> Column:
-            ok = has_class(n, fmt)
-            for e in earlier:
-                ok = ok & ~has_class(n, e)
-            return ok
-
-        links = F.filter(buttons, of_format)
+        links = F.filter(buttons, _is_format(template.formats, i))
         entries += [F.lit(fmt), F.get(links, F.size(links) - 1)["href"]]
         broken = broken | F.exists(links, lambda n: n["href"].isNull())
     return F.create_map(*entries), broken
