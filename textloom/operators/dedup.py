@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from textloom.operators.components import components
 from textloom.plans.checks import require_columns
@@ -101,9 +101,10 @@ def signatures(
     return df.select(id_col, run(F.col(text_col)).alias("signature"), *keep)
 
 
-def _band_keys(b: int, r: int):
+def _band_keys(b: int, r: int, *scope: str) -> list[Column]:
     digits = F.col("signature").cast("array<string>")
-    return F.array(*[F.md5(F.concat_ws(",", F.slice(digits, i * r + 1, r)).cast("binary")) for i in range(b)])
+    own = [F.col(c).cast("string") for c in scope]
+    return [F.md5(F.concat_ws(",", F.slice(digits, i * r + 1, r), *own).cast("binary")) for i in range(b)]
 
 
 def _check_bands(num_perm: int, b: int, r: int) -> None:
@@ -115,27 +116,29 @@ def bands(signatures: DataFrame, b: int = BANDS, r: int = ROWS, id_col: str = "d
     """``(id_col, band, key)``: ``b`` bucket keys per signed document."""
     require_columns(signatures, id_col, "signature")
     signed = signatures.where("signature is not null")
-    return signed.select(id_col, F.posexplode(_band_keys(b, r)).alias("band", "key"))
+    return signed.select(id_col, F.posexplode(F.array(*_band_keys(b, r))).alias("band", "key"))
 
 
-def candidates(
-    banded: DataFrame, id_col: str = "doc_id", heavy_floor: int | None = None
-) -> DataFrame:
-    """``(a, b)``: each bucket member ``a`` with the smallest id ``b`` of its bucket.
-
-    One edge per member keeps a bucket's cost linear, and joins exactly the documents
-    that all pairs of the bucket would join.
-    """
-    require_columns(banded, id_col, "band", "key")
+def _stars(banded: DataFrame, id_col: str, heavy_floor: int | None) -> DataFrame:
     buckets = (
         banded.groupBy("band", "key")
         .agg(F.min(id_col).alias("b"), F.count(F.lit(1)).alias("w"))
         .where("w > 1")
     )
-    joined = lookup_join(banded, buckets, ["band", "key"], "w", heavy_floor=heavy_floor)
+    joined = lookup_join(banded, durable(buckets, "buckets"), ["band", "key"], "w", heavy_floor=heavy_floor)
     return joined.where(F.col(id_col) != F.col("b")).select(F.col(id_col).alias("a"), "b").distinct()
 
 
+def candidates(banded: DataFrame, id_col: str = "doc_id", heavy_floor: int | None = None) -> DataFrame:
+    """``(a, b)``: each bucket member ``a`` with the smallest id ``b`` of its bucket.
+
+    One edge per member keeps a bucket's cost linear, and joins exactly the documents
+    that all pairs of the bucket would join.
+    """
+    require_columns(banded, id_col, "band", "key")
+    return _stars(durable(banded, "bands"), id_col, heavy_floor)
+
+
 def jaccard(pairs: DataFrame, sets: DataFrame, id_col: str = "doc_id", heavy_floor: int | None = None) -> DataFrame:
     """``pairs (a, b, ...)`` with the exact Jaccard similarity of their shingle sets.
 
@@ -174,15 +177,16 @@ def _same_signature(
     bucket is formed.  Texts too short for a shingle are folded by their own digest.
     """
     scope = [] if scope_col is None else [scope_col]
-    text = df.withColumn("__digest", F.md5(F.col(text_col).cast("binary")))
+    own = [F.col(c).cast("string") for c in scope]
+    digest = F.md5(F.concat_ws("/", F.md5(F.col(text_col).cast("binary")), *own).cast("binary"))
+    text = df.where(F.col(text_col).isNotNull()).withColumn("__digest", digest)
     signed = signatures(text, num_perm, n, id_col, text_col, (*scope, "__digest"))
-    keys = F.when(F.col("signature").isNotNull(), _band_keys(b, r)).otherwise(F.array("__digest"))
-    if scope:
-        keys = F.transform(keys, lambda k: F.md5(F.concat_ws("/", k, F.col(scope_col).cast("string")).cast("binary")))
+    # 16 bytes per key instead of 32 hexadecimal digits: this is what gets shuffled
+    keys = F.when(
+        F.col("signature").isNotNull(), F.array(*[F.unhex(k) for k in _band_keys(b, r, *scope)])
+    ).otherwise(F.array(F.unhex("__digest")))
     rows = durable(
-        signed.where("__digest is not null").select(
-            F.col(id_col).alias("id"), keys.alias("keys"), F.col("signature").isNull().alias("short")
-        ),
+        signed.select(F.col(id_col).alias("id"), keys.alias("keys"), F.col("signature").isNull().alias("short")),
         "band-keys",
     )
     groups = durable(
@@ -245,7 +249,7 @@ def duplicate_clusters(
     _check_bands(num_perm, b, r)
     banded, edges = _same_signature(df, num_perm, b, r, n, id_col, text_col, scope_col, heavy_floor)
     if not verify:
-        near = candidates(banded, "id", heavy_floor)
+        near = _stars(banded, "id", heavy_floor)
     else:
         # only documents that share a bucket are shingled again
         crowded = banded.groupBy("band", "key").agg(F.count(F.lit(1)).alias("w")).where("w > 1")

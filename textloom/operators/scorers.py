@@ -83,27 +83,34 @@ def _classes(labels: DataFrame, label_col: str) -> list:
 def fit_nb(
     df: DataFrame, label_col: str, text_col: str = "text", classes: Sequence | None = None
 ) -> NaiveBayes:
-    """Train on the labelled rows of ``df``; counting is one grouped sum per word."""
+    """Train on the labelled rows of ``df``: one pass that counts words per class."""
     require_columns(df, label_col, text_col)
     rows = df.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(label_col, text_col)
     names = list(classes) if classes is not None else _classes(rows, label_col)
     is_class = [F.col(label_col) == F.lit(c) for c in names]
-    docs = rows.agg(*[F.count_if(k).alias(f"c{i}") for i, k in enumerate(is_class)]).first()
-    seen = rows.select(label_col, F.explode(words(text_col)).alias("word"))
+    # one null per document rides along with its words: its group counts the documents
+    tokens = F.concat(words(text_col), F.array(F.lit(None).cast("string")))
     counts = durable(
-        seen.groupBy("word").agg(*[F.count_if(k).alias(f"n{i}") for i, k in enumerate(is_class)]),
+        rows.select(label_col, F.explode(tokens).alias("word"))
+        .groupBy("word").agg(*[F.count_if(c).alias(f"n{i}") for i, c in enumerate(is_class)]),
         "nb-counts",
     )
     k = range(len(names))
-    size = counts.agg(
-        F.count(F.lit(1)), F.sum(F.octet_length("word")), *[F.sum(f"n{i}") for i in k]
+    is_word = F.col("word").isNotNull()
+    found = counts.agg(
+        F.count("word"),
+        F.sum(F.octet_length("word")),
+        *[F.sum(F.when(is_word, F.col(f"n{i}"))) for i in k],
+        *[F.sum(F.when(~is_word, F.col(f"n{i}"))) for i in k],
     ).first()
-    vocabulary, word_bytes, totals = size[0], size[1] or 0, [s or 0 for s in size[2:]]
+    vocabulary, word_bytes = found[0], found[1] or 0
+    totals = [x or 0 for x in found[2 : 2 + len(names)]]
+    docs = [x or 0 for x in found[2 + len(names) :]]
 
     def micro(x: Column) -> Column:
         return F.round(F.log(x) * F.lit(float(UNIT))).cast("long")
 
-    weights = counts.select(
+    weights = counts.where(is_word).select(
         "word",
         *[micro((F.col(f"n{i}") + 1).cast("double") / F.lit(float(totals[i] + vocabulary))).alias(f"w{i}") for i in k],
     )

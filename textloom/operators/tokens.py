@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textloom.functions.arrays import attention_mask, pad_right
 from textloom.functions.text import WS_CHARS, word_count
@@ -151,16 +151,9 @@ def truncate_pad(df: DataFrame, pad_id: int, max_len: int = 256, ids_col: str =
 # --- packing ------------------------------------------------------------------------
 
 
-def token_offsets(df: DataFrame, map_batch: int = 1000, id_col: str = "doc_id", ids_col: str = "input_ids") -> DataFrame:
-    """``(id_col, row_idx, batch, start, n, batch_total)``: where each row's tokens begin
-    in its batch.  A batch is ``map_batch`` consecutive rows by ``id_col``, so windows
-    over it stay small; token arrays take no part, only their lengths."""
-    require_columns(df, id_col, ids_col)
+def _offsets(lengths: DataFrame, map_batch: int, id_col: str) -> DataFrame:
     if map_batch < 1:
         raise ValueError("map_batch must be positive")
-    from pyspark.sql import Window
-
-    lengths = df.select(id_col, F.coalesce(F.size(ids_col), F.lit(0)).cast("long").alias("n"))
     rows = with_row_index(lengths, id_col).withColumn("batch", F.floor(F.col("row_idx") / map_batch))
     whole = Window.partitionBy("batch")
     before = whole.orderBy("row_idx").rowsBetween(Window.unboundedPreceding, -1)
@@ -172,19 +165,34 @@ def token_offsets(df: DataFrame, map_batch: int = 1000, id_col: str = "doc_id",
     )
 
 
+def _length(ids_col: str) -> Column:
+    return F.coalesce(F.size(ids_col), F.lit(0)).cast("long").alias("n")
+
+
+def token_offsets(df: DataFrame, map_batch: int = 1000, id_col: str = "doc_id", ids_col: str = "input_ids") -> DataFrame:
+    """``(id_col, row_idx, batch, start, n, batch_total)``: where each row's tokens begin
+    in its batch.  A batch is ``map_batch`` consecutive rows by ``id_col``, so windows
+    over it stay small; token arrays take no part, only their lengths, which are stored
+    first so that nothing is tokenised twice."""
+    require_columns(df, id_col, ids_col)
+    return _offsets(durable(df.select(id_col, _length(ids_col)), "lengths"), map_batch, id_col)
+
+
 def pack(
     df: DataFrame, block_size: int, map_batch: int = 1000, id_col: str = "doc_id", ids_col: str = "input_ids"
 ) -> DataFrame:
     """``(batch, block, input_ids, attention_mask, labels)``: the token arrays of each
     batch put end to end and cut into blocks; the rest of a batch is dropped.
 
-    Only pieces that land in a whole block are shuffled, and a block collects at most
-    ``block_size`` of them.
+    Token arrays are stored once.  Only pieces that land in a whole block are shuffled
+    to it, and a block collects at most ``block_size`` of them.
     """
+    require_columns(df, id_col, ids_col)
     if block_size < 1:
         raise ValueError("block_size must be positive")
-    at = token_offsets(df, map_batch, id_col, ids_col).select(id_col, "batch", "start", "n", "batch_total")
-    rows = df.select(id_col, ids_col).join(at.where("n > 0"), id_col)
+    stored = durable(df.select(id_col, ids_col, _length(ids_col)), "tokens")
+    at = _offsets(stored.select(id_col, "n"), map_batch, id_col).drop("row_idx")
+    rows = stored.drop("n").join(at.where("n > 0"), id_col)
     size = F.lit(block_size).cast("long")
     first = F.floor(F.col("start") / size)
     last = F.least(F.floor((F.col("start") + F.col("n") - 1) / size), F.floor(F.col("batch_total") / size) - 1)
@@ -196,6 +204,7 @@ def pack(
             block.alias("block"), F.slice(ids_col, (lo + 1).cast("int"), (hi - lo).cast("int")).alias("part")
         )
 
+    # pieces are cut before the explode, so no output row carries a whole document
     pieces = rows.where(last >= first).select(
         "batch", "start", F.inline(F.transform(F.sequence(first, last), piece))
     )
