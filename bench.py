@@ -14,7 +14,7 @@ HEADLINES = (
     "token_stats", "corpus_summary", "chunk_100", "heur_stats", "heuristic_filter", "heur_word_repetition",
     "heur_char_repetition", "quality_filter", "toxic_filter", "domain_tag", "token_count", "encode_docs",
     "pack_blocks", "shingles", "minhash_signature", "dedup_keep", "dedup_keep_verified", "html_to_text",
-    "page_records", "page_links", "pagination_chain", "epub_status_summary", "corpus_funnel", "stream_filter_docs",
+    "page_records", "page_links", "pagination_chain", "epub_status_summary", "corpus_funnel", "stream_filter",
 )
 
 

@@ -273,7 +273,7 @@ LABEL_NAMES = {0: "news", 1: "books", 2: "web", 3: "law", 4: "health", 5: "sport
 
 ORACLES: dict[str, str] = {
     "src_read_split": "SELECT doc_id, lang, source, n_chars FROM documents WHERE lang = 'en'",
-    "range_scan_rows": f"SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT {TAKE} OFFSET {SKIP}",
+    "range_scan": f"SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT {TAKE} OFFSET {SKIP}",
     "json_metadata_roundtrip": q(
         f"SELECT url, title, {host('url')} AS categories, pdf, epub, filename FROM books", BOOKS),
     "concat_pages": "SELECT conv_id, coalesce(string_agg(text, '' ORDER BY turn), '') AS text FROM conversations GROUP BY conv_id",
@@ -425,6 +425,6 @@ ORACLES: dict[str, str] = {
           FROM (SELECT s.step, s.stage, (SELECT count(*) FROM final) AS total, count(f.doc_id) AS gone
             FROM (VALUES (1, 'heuristic'), (2, 'quality'), (3, 'toxic'), (4, 'duplicate')) s(step, stage)
             LEFT JOIN final f ON f.status = s.stage GROUP BY ALL) y) z""", *CORPUS),
-    "stream_filter_docs": q(f"SELECT doc_id, lang, source FROM heur WHERE {HEUR_OK}", HEUR),
-    "stream_distinct_links": q(f"SELECT DISTINCT {ABSOLUTE} AS link FROM hrefs", LINKS),
+    "stream_filter": q(f"SELECT doc_id, lang, source FROM heur WHERE {HEUR_OK}", HEUR),
+    "stream_distinct_urls": q(f"SELECT DISTINCT {ABSOLUTE} AS link FROM hrefs", LINKS),
 }

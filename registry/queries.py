@@ -48,7 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(f):
-    QUERIES[f.__name__] = f
+    QUERIES[f.__name__.removesuffix("_query")] = f
     return f
 
 
@@ -66,7 +66,7 @@ def src_read_split(spark, sf):
 
 
 @query
-def range_scan_rows(spark, sf):
+def range_scan_query(spark, sf):
     return range_scan(table(spark, sf, "documents"), "doc_id", SKIP, TAKE).select("doc_id", "lang", "n_chars")
 
 
@@ -399,6 +399,12 @@ def quality_linear(spark, sf):
     return O.quality_filter(documents(spark, sf), scorer).select("doc_id", "source", "pass_filter")
 
 
+@query
+def toxic_linear(spark, sf):
+    scorer = O.fit_linear(labelled(spark, sf), "toxic")
+    return O.toxic_filter(documents(spark, sf), scorer).select("doc_id", "source", "predictions")
+
+
 @query
 def toxic_filter(spark, sf):
     return O.toxic_filter(documents(spark, sf), _toxic(spark, sf)).select("doc_id", "source", "predictions")
@@ -537,7 +543,7 @@ def corpus_funnel(spark, sf):
 
 
 @query
-def stream_filter_docs(spark, sf):
+def stream_filter_query(spark, sf):
     docs = table(spark, sf, "documents")
     dst = fresh_path(spark, "stream")
     run = stream_filter(
@@ -549,7 +555,7 @@ def stream_filter_docs(spark, sf):
 
 
 @query
-def stream_distinct_links(spark, sf):
+def stream_distinct_urls_query(spark, sf):
     rows = table(spark, sf, "pages")
     dst = fresh_path(spark, "stream-urls")
     run = stream_distinct_urls(

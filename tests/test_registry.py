@@ -9,7 +9,7 @@ from tests.compare import database, difference
 from tests.conftest import SF
 
 QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
-ROWS_ONLY = {"quality_linear"}
+ROWS_ONLY = {"quality_linear", "toxic_linear"}
 
 
 @pytest.fixture(scope="module")

@@ -52,6 +52,7 @@ def test_list_files_matches_case_sensitively(spark, tmp_path):
 def test_gzip_sentences_are_spread(spark, tmp_path):
     with gzip.open(tmp_path / "s.txt.gz", "wt") as f:
         f.write("một\nhai\n")
+    assert S.read_sentences(spark, str(tmp_path / "s.txt.gz")).count() == 2
     df = S.read_sentences(spark, str(tmp_path / "s.txt.gz"), 3)
     assert sorted(r.text for r in df.collect()) == ["hai", "một"] and df.rdd.getNumPartitions() == 3
 

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, functions as F
 
 from textloom.functions.text import strip_ws
+from textloom.plans.lineage import once
 
 NODES = (
     "array<struct<idx:int,last:int,parent:int,tag:string,classes:array<string>,"
@@ -72,7 +73,7 @@ def _node_lists(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def html_nodes(c: Column | str) -> Column:
     """Nodes of each page in document order; ``last`` is a node's last descendant."""
-    return F.pandas_udf(_node_lists, NODES)(c)
+    return once(F.pandas_udf(_node_lists, NODES))(c)
 
 
 def inside(node: Column, box: Column) -> Column:

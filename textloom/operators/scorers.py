@@ -22,7 +22,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 from textloom.functions.arrays import label_of, softmax, top1
 from textloom.functions.text import collapse_newlines, words
 from textloom.plans.checks import require_columns
-from textloom.plans.lineage import durable
+from textloom.plans.lineage import durable, once
 from textloom.plans.lexicon import attach_by_word, explode_words, map_words, ship, within_limits
 
 Scorer = Callable[[DataFrame, str, str], DataFrame]
@@ -155,7 +155,7 @@ def fit_linear(
 def batch_model(make_predict_fn: Callable, batch_size: int = 256) -> Scorer:
     """A model brought by the user: ``make_predict_fn()`` loads it once per worker and
     returns a function from an array of texts to an array of class probabilities."""
-    predict = predict_batch_udf(make_predict_fn, return_type=ArrayType(DoubleType()), batch_size=batch_size)
+    predict = once(predict_batch_udf(make_predict_fn, return_type=ArrayType(DoubleType()), batch_size=batch_size))
 
     def score(frame: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
         scores = predict(F.coalesce(collapse_newlines(text_col), F.lit("")))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from textloom.functions.arrays import attention_mask, pad_right
 from textloom.functions.text import WS_CHARS, word_count
 from textloom.plans.checks import require_columns
-from textloom.plans.lineage import durable
+from textloom.plans.lineage import durable, once
 from textloom.plans.lexicon import attach_by_word, explode_words, fits_broadcast, map_words, ship
 from textloom.plans.ordering import with_row_index
 
@@ -32,7 +32,7 @@ def _python_counter(load: Callable[[], Callable[[list[str]], list[int]]]) -> Cal
             known = s.dropna()
             yield pd.Series(lengths(known.tolist()), index=known.index, dtype="Int32").reindex(s.index)
 
-    return count
+    return once(count)
 
 
 def _bpe(name: str):

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textloom.functions.text import words
-from textloom.plans.lineage import durable
+from textloom.plans.lineage import durable, once
 from textloom.plans.skew import balanced_join
 
 MAX_BROADCAST_WORDS = 500_000
@@ -57,7 +57,7 @@ def map_words(
                 na_action="ignore",
             )
 
-    return run
+    return once(run)
 
 
 def explode_words(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

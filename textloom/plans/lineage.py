@@ -28,6 +28,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def once(udf):
+    """Keep the planner from copying a Python function into filters it infers or pushes
+    down: each copy would send the texts through Python again."""
+    return udf.asNondeterministic()
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path nobody has written to, grouped by application for later clean-up."""
     app = spark.sparkContext.applicationId

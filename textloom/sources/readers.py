@@ -48,9 +48,10 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 
 def read_sentences(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
     """Gzip text, one sentence per line.  A gzip file is read by one task, so the
-    rows are spread again before any later work."""
+    rows are spread again before any later work: evenly by size, or over a given
+    number of partitions."""
     lines = spark.read.text(path).withColumnRenamed("value", "text")
-    return lines.repartition(partitions) if partitions else lines.repartition()
+    return lines.repartition(partitions) if partitions else lines.hint("rebalance")
 
 
 def rename_text(df: DataFrame, column: str, text_col: str = "text") -> DataFrame:
