@@ -270,7 +270,8 @@ def follow_chain(
     """
     require_columns(starts, start_col)
     require_columns(edges, "src", "dst")
-    one = durable(edges.select("src", "dst").where("dst is not null").dropDuplicates(["src"]), "next")
+    # should a page have been stored twice with different links, the smaller one counts
+    one = durable(edges.where("dst is not null").groupBy("src").agg(F.min("dst").alias("dst")), "next")
     roots = starts.select(F.col(start_col).alias("start")).distinct()
     opening = roots.join(one, F.col("start") == F.col("src"))
     first_step = opening.where("dst <> start").select("start", F.lit(1).cast("long").alias("depth"), F.col("dst").alias("url"))
@@ -293,7 +294,7 @@ def follow_chain(
         )
         if fresh.isEmpty():
             return seen
-        seen = durable(seen.unionByName(fresh), "chain")
+        seen = seen.unionByName(fresh)  # a union of stored tables, one per doubling
         far = jump.select(F.col("src").alias("dst"), F.col("dst").alias("end"))
         jump = durable(balanced_join(jump, far, ["dst"]).select("src", F.col("end").alias("dst")), "jump")
         step *= 2
