@@ -5,10 +5,12 @@ import re
 import pytest
 
 import __spark_entry__ as entry_point
+import registry.oracles
+import registry.queries
 from tests.compare import database, difference
 from tests.conftest import SF
 
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = registry.queries.QUERIES, registry.oracles.ORACLES
 ROWS_ONLY = {"quality_linear", "toxic_linear"}
 
 
@@ -34,6 +36,10 @@ def test_every_oracle_has_its_query():
     assert set(ORACLES) | ROWS_ONLY == set(QUERIES)
 
 
+def test_entry_has_them_all():
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
+
+
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.columns == ["step", "stage", "rows_in", "rows_out"] and df.count() == 4
