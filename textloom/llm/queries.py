@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from textloom.llm.language import fit_language_model, identify_language
+from textloom.llm.near_text import near_duplicates
 from textloom.llm.token_counts import count_tokens
 from textloom.sources import read_table
 
@@ -30,7 +32,25 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out() -> Column:
+    """The fold that no language model learns from: a quarter of the documents, by id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learned from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_language_model(docs.where(~held_out()))
+    found = identify_language(docs, model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near-duplicate documents and the one that stays."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_counts,)
+    f.__name__: f for f in (op3_token_counts, op5_language, op6_minhash_dedup)
 }
 ORACLES: dict[str, str] = {}
