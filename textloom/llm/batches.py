@@ -69,6 +69,36 @@ def minima(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, none) -> np
     return out
 
 
+def whole_groups(
+    batches: Iterator[pa.RecordBatch], keys: int
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """``(rows, starts, ends)``: runs of rows, sorted by their first ``keys`` columns (whole
+    numbers), in which every group is complete."""
+    rest: list[pa.RecordBatch] = []
+
+    def joined() -> tuple[pa.RecordBatch, np.ndarray]:
+        rows = pa.Table.from_batches(rest).combine_chunks().to_batches()[0]
+        new = np.zeros(rows.num_rows - 1, bool)
+        for k in range(keys):
+            column = rows.column(k).to_numpy()
+            new |= column[1:] != column[:-1]
+        return rows, np.concatenate([[0], np.flatnonzero(new) + 1, [rows.num_rows]])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rest.append(batch)
+        last = [batch.column(k)[-1] for k in range(keys)]
+        if all(rest[0].column(k)[0] == last[k] for k in range(keys)):
+            continue  # still one group
+        rows, edges = joined()
+        rest = [rows.slice(edges[-2])]  # the last group may go on in the next batch
+        yield rows.slice(0, edges[-2]), edges[:-2], edges[1:-1]
+    if rest:
+        rows, edges = joined()
+        yield rows, edges[:-1], edges[1:]
+
+
 def field(df: DataFrame, name: str, new: str | None = None) -> T.StructField:
     """The type of a column, for the schema of a function's result."""
     return T.StructField(new or name, df.schema[name].dataType, True)

@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from textloom.llm.batches import field, flat, map_batches, narrow
+from textloom.llm.batches import field, flat, map_batches, narrow, whole_groups
 from textloom.llm.shingles import WIDTH, mix, sets_by_slice
 from textloom.operators.components import components
 from textloom.plans import durable
@@ -34,7 +34,7 @@ THRESHOLD = Fraction(3, 4)
 BANDS, ROWS = 28, 4
 HASHES = BANDS * ROWS
 SLACK = 4.0                   # standard deviations below the threshold at which a signature refuses a pair
-BLOCK = 512                   # members of a band that are compared with as many others in one task
+BLOCK = 256                   # members of a band that are compared with as many others in one task
 DEALT = 256                   # members that one task compares with a common centre
 BROADCAST_IDS = 1_000_000     # ids that are broadcast at most (8 MB); more are joined by shuffle
 
@@ -228,70 +228,91 @@ def _open_blocks(members: DataFrame, reps: DataFrame, found: DataFrame) -> DataF
     return left.select(cols).unionByName(right.select(cols))
 
 
-def _open_pairs(blocks: DataFrame, threshold: Fraction) -> DataFrame:
-    """Pairs of different components that their signatures and set sizes do not rule out.
-
-    A pair that shares several bands is given by the first of them only.
-    """
+def _open_in(found: np.ndarray, keys: np.ndarray, key: int, left, clusters, n, threshold: Fraction):
+    """``(i, j)`` of a block: pairs of different components that their signatures and set
+    sizes do not rule out.  A pair that shares several bands is met in the first of them only."""
     p = float(threshold)
     least = int(np.floor(HASHES * (p - SLACK * np.sqrt(p * (1 - p) / HASHES))))
-    kind = blocks.schema["id"].dataType
-
-    def compare(key, s, t, left, ids, clusters, n, found, keys):
-        rows, cols = np.flatnonzero(left), np.flatnonzero(~left)
-        if not len(rows) or not len(cols):
-            return
+    rows, cols = np.flatnonzero(left), np.flatnonzero(~left)
+    if len(rows) * len(cols) <= 256:
+        same = (found[rows][:, None, :] == found[cols][None, :, :]).sum(axis=2)
+    else:
         same = np.zeros((len(rows), len(cols)), np.uint8)
         for h in range(HASHES):
             same += found[rows, h][:, None] == found[cols, h][None, :]
-        ok = (same >= least) & (clusters[rows][:, None] != clusters[cols][None, :])
-        ok &= np.minimum(n[rows][:, None], n[cols][None, :]) >= p * np.maximum(n[rows][:, None], n[cols][None, :]) - 1e-9
-        i, j = np.nonzero(ok)
-        if not len(i):
-            return
-        first = (keys[rows[i]] == keys[cols[j]]).argmax(axis=1)
-        here = keys[rows[i], first].view(np.int64) == key
-        i, j = i[here], j[here]
-        for a, b in zip(rows[i], cols[j]):
-            yield ids[a], ids[b], key, s * 100_000 + t
+    ok = (same >= least) & (clusters[rows][:, None] != clusters[cols][None, :])
+    i, j = np.nonzero(ok)
+    a, b = n[rows[i]], n[cols[j]]
+    fit = threshold.denominator * np.minimum(a, b) >= threshold.numerator * np.maximum(a, b)
+    i, j = rows[i[fit]], cols[j[fit]]
+    if not len(i):
+        return i, j
+    first = (keys[i] == keys[j]).argmax(axis=1)
+    here = keys[i, first].view(np.int64) == key
+    return i[here], j[here]
+
+
+def _open_rows(blocks: DataFrame, threshold: Fraction) -> DataFrame:
+    """The rows of each block that take part in a pair which only full sets can decide."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in _with_end(batches):
-            table = pa.Table.from_batches([b for b in (rest, batch) if b is not None]).combine_chunks()
-            if table.num_rows == 0:
-                return
-            table = table.to_batches()[0]
-            key, s, t = (table.column(k).to_numpy() for k in range(3))
-            edge = np.flatnonzero((key[1:] != key[:-1]) | (s[1:] != s[:-1]) | (t[1:] != t[:-1])) + 1
-            starts, ends = np.concatenate([[0], edge]), np.concatenate([edge, [len(key)]])
-            if batch is not None:  # the last group may go on in the next batch
-                rest = table.slice(starts[-1])
-                starts, ends = starts[:-1], ends[:-1]
-            left = table.column(3).to_numpy(zero_copy_only=False)
-            ids, clusters = (np.array(table.column(k).to_pylist(), object) for k in (4, 5))
-            n, found = table.column(6).to_numpy(), _matrix(table.column(7))
+        for rows, starts, ends in whole_groups(batches, 3):
+            key, left = rows.column(0).to_numpy(), rows.column(3).to_numpy(zero_copy_only=False)
+            clusters = np.array(rows.column(5).to_pylist(), object)
+            n, found = rows.column(6).to_numpy(), _matrix(rows.column(7))
             keys = _band_keys(found)
-            out = []
+            open_ = np.zeros(rows.num_rows, bool)
             for lo, hi in zip(starts, ends):
-                out += compare(key[lo], s[lo], t[lo], left[lo:hi], ids[lo:hi], clusters[lo:hi], n[lo:hi], found[lo:hi], keys[lo:hi])
-            if out:
-                a, b, k, part = zip(*out)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a, table.column(4).type), pa.array(b, table.column(4).type),
-                     pa.array([str(x) for x in k]), pa.array(part, pa.int64())], ["a", "b", "g", "s"]
-                )
+                if left[lo:hi].any():
+                    i, j = _open_in(found[lo:hi], keys[lo:hi], key[lo], left[lo:hi], clusters[lo:hi], n[lo:hi], threshold)
+                    open_[lo + i] = open_[lo + j] = True
+            if open_.any():
+                yield rows.filter(pa.array(open_))
 
-    schema = T.StructType([
-        T.StructField("a", kind), T.StructField("b", kind), T.StructField("g", T.StringType()),
-        T.StructField("s", T.LongType()),
-    ])
-    return blocks.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t").mapInArrow(run, schema)
+    return blocks.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t").mapInArrow(run, blocks.schema)
 
 
-def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    yield from (b for b in batches if b.num_rows)
-    yield None
+def _block_links(open_rows: DataFrame, texts: DataFrame, width: int, threshold: Fraction) -> DataFrame:
+    """``(a, b)``: links between components, confirmed on full sets; of the links of one block
+    as many as it takes to join what they join."""
+    kind = open_rows.schema["id"].dataType
+    top, bottom = threshold.numerator, threshold.denominator
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, starts, ends in whole_groups(batches, 3):
+            key, left = rows.column(0).to_numpy(), rows.column(3).to_numpy(zero_copy_only=False)
+            ids, clusters = rows.column(4).to_pylist(), np.array(rows.column(5).to_pylist(), object)
+            n, found = rows.column(6).to_numpy(), _matrix(rows.column(7))
+            keys = _band_keys(found)
+            data, at = flat(rows.column(8))
+            a, b = [], []
+            for lo, hi in zip(starts, ends):
+                i, j = _open_in(found[lo:hi], keys[lo:hi], key[lo], left[lo:hi], clusters[lo:hi], n[lo:hi], threshold)
+                if not len(i):
+                    continue
+                sets = []
+                for _, _, shingles, bounds in sets_by_slice(data, at[lo:hi + 1], width):
+                    sets += np.split(shingles, bounds[1:-1])
+                root: dict = {}
+
+                def top_of(c):
+                    while root.get(c, c) != c:
+                        c = root[c]
+                    return c
+
+                for x, y in zip(i, j):
+                    p, q = top_of(clusters[lo + x]), top_of(clusters[lo + y])
+                    if p != q and _similar(sets[x], sets[y], top, bottom):
+                        root[p] = q
+                        a.append(ids[lo + x])
+                        b.append(ids[lo + y])
+            if a:
+                kept = rows.column(4).type
+                yield pa.RecordBatch.from_arrays([pa.array(a, kept), pa.array(b, kept)], ["a", "b"])
+
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+    rows = open_rows.join(texts, "id").select(*open_rows.columns, "text")
+    return rows.repartition("key", "s", "t").sortWithinPartitions("key", "s", "t").mapInArrow(run, schema)
 
 
 def near_duplicates(
@@ -322,8 +343,8 @@ def near_duplicates(
     )
     links = durable(_confirmed(texts, _dealt(durable(_star_pairs(members), "star-pairs")), width, threshold), "star-links")
     first = durable(components(links), "star-components")
-    open_pairs = durable(_open_pairs(_open_blocks(members, reps, first), threshold), "open-pairs")
-    more = durable(_confirmed(texts, open_pairs, width, threshold), "more-links")
+    open_rows = durable(_open_rows(_open_blocks(members, reps, first), threshold), "open-rows")
+    more = durable(_block_links(open_rows, texts, width, threshold), "more-links")
     by_class = full.select("id", "n", "digest").join(classes, ["n", "digest"]).select("id", "rep")
     repeated = by_class.groupBy("id").agg(F.min("rep").alias("b"), F.collect_set("rep").alias("reps")).where("size(reps) > 1")
     joined = repeated.select(F.explode("reps").alias("a"), "b").where("a <> b")
