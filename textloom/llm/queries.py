@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from textloom.llm.decontaminate import find_leaks
 from textloom.llm.language import fit_language_model, identify_language
 from textloom.llm.near_text import near_duplicates
 from textloom.llm.token_counts import count_tokens
@@ -25,6 +26,11 @@ def vocabulary(path: str) -> str:
         return f.read()
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document holds, exactly or with a few edits."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text."""
     return count_tokens(
@@ -51,6 +57,6 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_token_counts, op5_language, op6_minhash_dedup)
+    f.__name__: f for f in (op2_decontamination, op3_token_counts, op5_language, op6_minhash_dedup)
 }
 ORACLES: dict[str, str] = {}
