@@ -303,5 +303,5 @@ def find_leaks(
 
 def without_leaks(docs: DataFrame, leaks: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the documents in which an item was found; rows without an id stay."""
-    found = leaks.select(F.col(f"`{id_col}`").alias("__found")).distinct()
-    return docs.join(found, docs[f"`{id_col}`"] == F.col("__found"), "left_anti")
+    found = leaks.select(F.col(f"`{id_col}`").alias("id")).distinct()
+    return docs.join(found, docs[f"`{id_col}`"] == found["id"], "left_anti")

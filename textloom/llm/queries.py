@@ -9,12 +9,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textloom.llm.decontaminate import find_leaks
 from textloom.llm.language import fit_language_model, identify_language
+from textloom.llm.mixing import document_rates, fit_domain_model, fit_mix
 from textloom.llm.near_text import near_duplicates
+from textloom.llm.repeats import repeated_spans
+from textloom.llm.shards import assign_shards
 from textloom.llm.token_counts import count_tokens
 from textloom.sources import read_table
 
 VOCABULARY = "word_bpe_49k.json"  # a file of the installed public tokenizers
 MAX_TOKENS = 2048
+# Domains are the pairs of labels; their shares of the tokens after mixing.
+WEIGHTS = {"q1t0": 0.78, "q0t0": 0.12, "q1t1": 0.07, "q0t1": 0.03}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +31,15 @@ def vocabulary(path: str) -> str:
         return f.read()
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and place, under the law of equal bytes."""
+    placed = assign_shards(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item that a document holds, exactly or with a few edits."""
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -38,6 +52,18 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def domain() -> Column:
+    """The domain of a row of ``labels``."""
+    return F.concat(F.lit("q"), F.col("quality").cast("string"), F.lit("t"), F.col("toxic").cast("string"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's rate under the target weights of the domains."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_domain_model(docs, table(spark, sf_dir, "labels"), domain())
+    return document_rates(docs, fit_mix(docs, model, WEIGHTS))
+
+
 def held_out() -> Column:
     """The fold that no language model learns from: a quarter of the documents, by id."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
@@ -56,7 +82,14 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stretches of text that repeat what stands elsewhere first."""
+    return repeated_spans(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontamination, op3_token_counts, op5_language, op6_minhash_dedup)
+    f.__name__: f for f in (
+        op1_sharding, op2_decontamination, op3_token_counts, op4_mixing, op5_language, op6_minhash_dedup, op8_repeated_spans,
+    )
 }
 ORACLES: dict[str, str] = {}

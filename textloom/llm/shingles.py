@@ -12,6 +12,7 @@ import numpy as np
 from textloom.llm.batches import row_slices
 
 WIDTH = 5
+CHUNK = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -44,24 +45,45 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(hashes, word offsets by row)`` of rows that lie in ``data`` one after another."""
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(starts, ends, word offsets by row)`` of rows that lie in ``data`` one after another."""
     n = len(data)
     bounds = np.zeros(n + 1, bool)
     bounds[offsets] = True
     blank = _BLANK[data]
     start = np.flatnonzero(~blank & (np.concatenate([[True], blank[:-1]]) | bounds[:n]))
     end = np.flatnonzero(~blank & (np.concatenate([blank[1:], [True]]) | bounds[1:])) + 1
-    forward, backward = _powers(n + 1)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[_LOWER[data]] * forward[:n], out=total[1:])
-    words = (total[end] - total[start]) * backward[start] + (end - start).astype(np.uint64)
-    return mix(words), np.searchsorted(start, offsets)
+    return start, end, np.searchsorted(start, offsets)
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit number per word, A-Z in lower case; a megabyte of words at a time."""
+    out = np.empty(len(start), np.uint64)
+    i = 0
+    while i < len(start):
+        j = max(int(np.searchsorted(end, start[i] + CHUNK, "right")), i + 1)
+        lo, hi = int(start[i]), int(end[j - 1])
+        forward, backward = _powers(hi - lo + 1)
+        total = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum(_BYTE[_LOWER[data[lo:hi]]] * forward[:-1], out=total[1:])
+        s, e = start[i:j] - lo, end[i:j] - lo
+        out[i:j] = mix((total[e] - total[s]) * backward[s] + (e - s).astype(np.uint64))
+        i = j
+    return out
+
+
+def run_hashes(words: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit number per run of words ``start:end``."""
+    forward, backward = _powers(len(words) + 1)
+    total = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * forward[:-1], out=total[1:])
+    return mix((total[end] - total[start]) * backward[start] + (end - start).astype(np.uint64))
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """``(shingles, offsets)``: each row's distinct shingles in ascending order."""
-    words, at = word_hashes(data, offsets)
+    start, end, at = word_spans(data, offsets)
+    words = word_hashes(data, start, end)
     n = len(words)
     if n == 0:
         return np.zeros(0, np.uint64), at
