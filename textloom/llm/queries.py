@@ -11,6 +11,7 @@ from textloom.llm.decontaminate import find_leaks
 from textloom.llm.language import fit_language_model, identify_language
 from textloom.llm.mixing import document_rates, fit_domain_model, fit_mix
 from textloom.llm.near_text import near_duplicates
+from textloom.llm.near_vectors import near_vectors
 from textloom.llm.repeats import repeated_spans
 from textloom.llm.shards import assign_shards
 from textloom.llm.token_counts import count_tokens
@@ -82,6 +83,11 @@ def op6_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of near-duplicate embeddings of one label."""
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stretches of text that repeat what stands elsewhere first."""
     return repeated_spans(table(spark, sf_dir, "documents"))
@@ -89,7 +95,8 @@ def op8_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_sharding, op2_decontamination, op3_token_counts, op4_mixing, op5_language, op6_minhash_dedup, op8_repeated_spans,
+        op1_sharding, op2_decontamination, op3_token_counts, op4_mixing, op5_language, op6_minhash_dedup,
+        op7_embedding_dedup, op8_repeated_spans,
     )
 }
 ORACLES: dict[str, str] = {}
