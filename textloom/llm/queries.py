@@ -12,6 +12,7 @@ from textloom.llm.language import fit_language_model, identify_language
 from textloom.llm.mixing import document_rates, fit_domain_model, fit_mix
 from textloom.llm.near_text import near_duplicates
 from textloom.llm.near_vectors import near_vectors
+from textloom.llm.pages import extract_pages
 from textloom.llm.repeats import repeated_spans
 from textloom.llm.shards import assign_shards
 from textloom.llm.token_counts import count_tokens
@@ -93,10 +94,15 @@ def op8_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans(table(spark, sf_dir, "documents"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every whole page."""
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding, op2_decontamination, op3_token_counts, op4_mixing, op5_language, op6_minhash_dedup,
-        op7_embedding_dedup, op8_repeated_spans,
+        op7_embedding_dedup, op8_repeated_spans, op10_html_extraction,
     )
 }
 ORACLES: dict[str, str] = {}
