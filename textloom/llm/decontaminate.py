@@ -33,7 +33,7 @@ CLASSES = ((80, 48, 16), (24, 20, 12))
 WINDOWS = 2               # windows of a document that lie in a copy of the shortest item, at least
 MAX_STRIDE = 6            # words from one window to the next, at most
 AGREED = 0.6              # share of steps at which the embeddings of a hit agree, at least
-SLICE = 1 << 20
+PART, SLICE = 4 << 20, 1 << 20  # bytes that are brought to normal form, and searched, at a time
 DIAGONAL = 16             # hits whose alignments differ by less are checked once
 
 _BLANK = np.zeros(256, bool)
@@ -273,7 +273,10 @@ def find_leaks(
             if not held:
                 held.append(Index(*shipped.value))
             index = held[0]
-            found = list(search(index, batch.column(1), max_ratio))
+            found = []
+            for i, j in row_slices(flat(batch.column(1))[1], PART):
+                for row, *rest in search(index, batch.column(1).slice(i, j - i), max_ratio):
+                    found.append((i + row, *rest))
             if not found:
                 return None
             row, item, edits, start, end = zip(*found)
