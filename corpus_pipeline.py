@@ -4,17 +4,55 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from textloom.llm.decontaminate import find_leaks, without_leaks
+from textloom.llm.language import fit_language_model, with_language
+from textloom.llm.mixing import fit_domain_model, fit_mix, mixed
+from textloom.llm.near_text import near_duplicates, without_near_duplicates
+from textloom.llm.queries import WEIGHTS, domain, held_out, table
+from textloom.llm.shards import shard_documents
 from textloom.plans import durable
-from textloom.sources import read_table
 
-STAGES: list = []
+LEAST_SCORE = 0.1  # of a language; below it a text is rejected
 
-ORACLE_SQL = None  # trained models and hashing are not SQL; the tests hold a brute-force version
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told."""
+    return with_language(docs, fit_language_model(docs.where(~held_out())), least=LEAST_SCORE)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return without_near_duplicates(docs, near_duplicates(docs))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    leaks = find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return without_leaks(docs, durable(leaks.select("doc_id").distinct(), "leaks"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the target weights ask: every one at least once, those of scarce
+    domains more often."""
+    model = fit_domain_model(docs, table(spark, sf_dir, "labels"), domain())
+    return mixed(docs, fit_mix(docs, model, WEIGHTS, least=1.0))
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their shard and their place in it."""
+    return shard_documents(docs)
+
+
+STAGES = [
+    ("language", language), ("near_dedup", near_dedup), ("decontaminate", decontaminate), ("mix", mix), ("shard", shard),
+]
+
+ORACLE_SQL = None  # trained models and seeded hashing are not SQL; the tests hold a brute-force version
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows."""
-    docs = read_table(spark, f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = durable(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = durable(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from textloom.llm.batches import byte_slices, field, flat, map_batches, sums
+from textloom.plans import durable
 
 # Families of common languages.  A language that is not listed is a family of its own.
 FAMILIES = {
@@ -266,3 +267,12 @@ def identify_language(
         docs.select(F.col(f"`{id_col}`").alias("id"), lower.alias("text"), lettered.alias("has")), run,
         [field(docs, id_col), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())],
     )
+
+
+def with_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", least: float = 0.0) -> DataFrame:
+    """``docs`` without the rows whose language cannot be told: those that would get ``und``, and
+    those with a score below ``least``.  Rows equal in id and text share their fate."""
+    key = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    found = identify_language(docs.select(key.alias("key"), F.col(f"`{text_col}`").alias("text")), model, "key", "text")
+    rejected = durable(found.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select("key").distinct(), "no-language")
+    return docs.join(rejected, F.xxhash64(docs[f"`{id_col}`"], docs[f"`{text_col}`"]) == rejected["key"], "left_anti")

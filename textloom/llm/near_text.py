@@ -358,3 +358,24 @@ def near_duplicates(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def without_near_duplicates(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each group.  Of rows that share an id one stays, the first
+    by its text's hash; rows without an id all stay."""
+    ids = found.where(F.col(f"`{id_col}`").isNotNull()).groupBy(F.col(f"`{id_col}`").alias("id")).agg(
+        F.count(F.lit(1)).alias("rows"), F.max("kept").alias("kept")
+    )
+    lost = durable(ids.where(~F.col("kept")).select("id"), "near-duplicates")
+    again = durable(ids.where("kept and rows > 1").select("id"), "repeated-ids")
+    few = [x.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS for x in (lost, again)]
+    lost, again = (F.broadcast(x) if small else x for x, small in zip((lost, again), few))
+    rows = docs.join(lost, docs[f"`{id_col}`"] == lost["id"], "left_anti")
+    if again.isEmpty():
+        return rows
+    single = rows.join(again, rows[f"`{id_col}`"] == again["id"], "left_anti")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    several = rows.join(again, rows[f"`{id_col}`"] == again["id"], "left_semi").select(
+        whole, F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("h")
+    ).withColumn("place", F.expr("row_number() OVER (PARTITION BY id ORDER BY h)"))
+    return single.unionByName(several.where("place = 1").select("row.*"))

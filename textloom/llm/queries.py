@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textloom.llm.decontaminate import find_leaks
 from textloom.llm.language import fit_language_model, identify_language
+from textloom.llm.lines import repeated_lines
 from textloom.llm.mixing import document_rates, fit_domain_model, fit_mix
 from textloom.llm.near_text import near_duplicates
 from textloom.llm.near_vectors import near_vectors
@@ -94,6 +95,11 @@ def op8_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that are like a line that stands elsewhere first."""
+    return repeated_lines(table(spark, sf_dir, "documents"))
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every whole page."""
     return extract_pages(table(spark, sf_dir, "pages"))
@@ -102,7 +108,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding, op2_decontamination, op3_token_counts, op4_mixing, op5_language, op6_minhash_dedup,
-        op7_embedding_dedup, op8_repeated_spans, op10_html_extraction,
+        op7_embedding_dedup, op8_repeated_spans, op9_line_dedup, op10_html_extraction,
     )
 }
 ORACLES: dict[str, str] = {}

@@ -10,6 +10,7 @@ shard.  Only column expressions are used; the texts themselves are not shuffled.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -38,8 +39,9 @@ def crc_of(text_col: str) -> Column:
 def _records(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(id, size, crc, key, copies)``: rows equal in all three are one record."""
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), size_of(text_col).alias("size"), crc_of(text_col).alias("crc"))
-    key = F.shiftleft("crc", 31).bitwiseOR(F.shiftrightunsigned(F.xxhash64("id"), 33))
-    return rows.groupBy("id", "size", "crc").agg(F.count(F.lit(1)).alias("copies")).withColumn("key", key)
+    return rows.groupBy("id", "size", "crc").agg(F.count(F.lit(1)).alias("copies")).withColumn(
+        "key", _key(F.col("crc"), F.col("id"))
+    )
 
 
 def _draw(records: DataFrame, rate: float, seed: int) -> list[tuple[int, float]]:
@@ -108,6 +110,58 @@ def _splitters(records: DataFrame, shards: int, ranges: int) -> tuple[list[int],
         cuts = sorted({*cuts, *new})
 
 
+def _key(crc: Column, ident: Column) -> Column:
+    return F.shiftleft(crc, 31).bitwiseOR(F.shiftrightunsigned(F.xxhash64(ident), 33))
+
+
+@dataclass(frozen=True)
+class Plan:
+    """Where the ranges lie: their cuts, and the bytes and rows before each."""
+
+    cuts: list[int]
+    places: DataFrame
+    total: int
+
+
+def _plan(records: DataFrame, shards: int, ranges: int) -> Plan:
+    cuts, found = _splitters(records, shards, ranges)
+    begins = accumulate((r["bytes"] for r in found), initial=0)
+    firsts = accumulate((r["rows"] for r in found), initial=0)
+    places = records.sparkSession.createDataFrame(
+        [(r["range"], b, f) for r, b, f in zip(found, begins, firsts)], "range int, begin long, first long"
+    )
+    return Plan(cuts, places, sum(r["bytes"] for r in found))
+
+
+def _shard_of(begin: Column, size: Column, total: int, shards: int) -> Column:
+    """The middle of the record decides; decimals, as bytes times shards may not fit 64 bits."""
+    middle = (2 * begin + size).cast("decimal(25,0)")
+    shard = F.floor(middle * shards / F.lit(2 * total).cast("decimal(25,0)")).cast("int")
+    return F.least(shard, F.lit(shards - 1))
+
+
+_BEFORE = "OVER (PARTITION BY range ORDER BY key, size, id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+
+def _placed(records: DataFrame, plan: Plan, shards: int) -> DataFrame:
+    """``(id, size, crc, shard, row)`` of every row; stored."""
+    rows = _ranged(records, plan.cuts).join(F.broadcast(plan.places), "range")
+    size, copies = F.col("size"), F.col("copies")
+    rows = rows.withColumn("begin", F.col("begin") + F.expr(f"sum(size * copies) {_BEFORE}") - size * copies).withColumn(
+        "first", F.col("first") + F.expr(f"sum(copies) {_BEFORE}") - copies
+    )
+    each = rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
+    shard = _shard_of(F.col("begin") + F.col("copy") * size, size, plan.total, shards)
+    return durable(
+        each.select("id", "size", "crc", shard.alias("shard"), (F.col("first") + F.col("copy")).alias("row")), "shard-rows"
+    )
+
+
+def _starts(placed: DataFrame) -> DataFrame:
+    """One row per shard: the number of rows before it."""
+    return placed.groupBy("shard").agg(F.min("row").alias("start"))
+
+
 def assign_shards(
     docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", ranges: int = RANGES,
 ) -> DataFrame:
@@ -119,35 +173,14 @@ def assign_shards(
     gaps.  Rows equal in id and text get a place each, one after another; null ids are ids
     like others.  Other columns are ignored; an empty table gives an empty one.
     """
-    spark = docs.sparkSession
     records = durable(_records(docs, id_col, text_col), "shard-records")
     if records.isEmpty():
         return records.select(
             F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.lit(0).alias("shard"),
             F.lit(0).cast("long").alias("slot"),
         )
-    cuts, found = _splitters(records, shards, ranges)
-    total = sum(r["bytes"] for r in found)
-    begins = accumulate((r["bytes"] for r in found), initial=0)
-    firsts = accumulate((r["rows"] for r in found), initial=0)
-    places = spark.createDataFrame(
-        [(r["range"], b, f) for r, b, f in zip(found, begins, firsts)], "range int, begin long, first long"
-    )
-    rows = _ranged(records, cuts).join(F.broadcast(places), "range")
-    order = "PARTITION BY range ORDER BY key, size, id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-    size, copies = F.col("size"), F.col("copies")
-    rows = rows.withColumn("begin", F.col("begin") + F.expr(f"sum(size * copies) OVER ({order})") - size * copies).withColumn(
-        "first", F.col("first") + F.expr(f"sum(copies) OVER ({order})") - copies
-    )
-    each = rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
-    # the middle of the record decides; decimals, as bytes times shards may not fit 64 bits
-    middle = (2 * (F.col("begin") + F.col("copy") * size) + size).cast("decimal(25,0)")
-    shard = F.least(F.floor(middle * shards / F.lit(2 * total).cast("decimal(25,0)")).cast("int"), F.lit(shards - 1))
-    placed = durable(
-        each.select("id", "size", "crc", shard.alias("shard"), (F.col("first") + F.col("copy")).alias("row")), "shard-rows"
-    )
-    starts = placed.groupBy("shard").agg(F.min("row").alias("start"))  # one row per shard
-    return placed.join(F.broadcast(starts), "shard").select(
+    placed = _placed(records, _plan(records, shards, ranges), shards)
+    return placed.join(F.broadcast(_starts(placed)), "shard").select(
         F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), "shard", (F.col("row") - F.col("start")).alias("slot")
     )
 
@@ -155,25 +188,27 @@ def assign_shards(
 def shard_documents(
     docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", ranges: int = RANGES,
 ) -> DataFrame:
-    """``docs`` with ``shard`` and ``slot``, which replace columns of these names.
+    """``docs`` range-partitioned by shard, with ``shard`` and ``slot``, which replace columns of
+    these names; the same places that ``assign_shards`` gives.
 
-    Rows equal in id and text take their slots in any order.
+    The whole rows are shuffled once, by range.  Rows equal in id and text share a range,
+    whatever their number, and take their slots in any order.
     """
-    placed = assign_shards(docs, shards, id_col, text_col, ranges)
-    same = ["__id", "__size", "__crc"]
-    by = "PARTITION BY __id, __size, __crc"
-    right = placed.select(
-        F.col(f"`{id_col}`").alias("__id"), F.col("size").alias("__size"), F.col("text_crc32").alias("__crc"),
-        F.col("shard").alias("__shard"), F.col("slot").alias("__slot"),
-    ).withColumn("__copy", F.expr(f"row_number() OVER ({by} ORDER BY __shard, __slot)"))
-    left = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(f"`{id_col}`").alias("__id"),
-        size_of(text_col).alias("__size"), crc_of(text_col).alias("__crc"),
-    ).withColumn("__copy", F.expr(f"row_number() OVER ({by} ORDER BY __size)"))
-    match = left["__copy"] == right["__copy"]
-    for c in same:
-        match = match & left[c].eqNullSafe(right[c])
-    return left.join(right, match).select(
-        *[left["__row"][c].alias(c) for c in docs.columns if c not in ("shard", "slot")],
-        right["__shard"].alias("shard"), right["__slot"].alias("slot"),
+    keep = [c for c in docs.columns if c not in ("shard", "slot")]
+    records = durable(_records(docs, id_col, text_col), "shard-records")
+    if records.isEmpty():
+        return docs.select(*[F.col(f"`{c}`") for c in keep], F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
+    plan = _plan(records, shards, ranges)
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{id_col}`").alias("id"),
+        size_of(text_col).alias("size"), _key(crc_of(text_col), F.col(f"`{id_col}`")).alias("key"),
+    )
+    rows = _ranged(rows, plan.cuts).join(F.broadcast(plan.places), "range")
+    begin = F.col("begin") + F.expr(f"sum(size) {_BEFORE}") - F.col("size")
+    rows = rows.withColumn("at", F.col("first") + F.expr(f"count(1) {_BEFORE}") - 1).withColumn(
+        "shard", _shard_of(begin, F.col("size"), plan.total, shards)
+    )
+    starts = _starts(_placed(records, plan, shards))
+    return rows.join(F.broadcast(starts), "shard").select(
+        *[F.col("row")[c].alias(c) for c in keep], "shard", (F.col("at") - F.col("start")).alias("slot")
     )
