@@ -18,8 +18,18 @@ from registry.queries import (
     STOP_WORDS,
     TAKE,
 )
-from textloom.functions import text as T
-from textloom.operators.tokens import PRE_TOKEN
+from registry.tables import BOOK_URL, CATEGORY, LIST_URL, NEXT_URL, STEP
+
+# Patterns of this file's own: a result of the library is held against them.
+BLANKS = r"\t\n\x0b\f\r\x1c-\x1f \x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+WS = f"[{BLANKS}]"
+DROPPED = r"(?is)<!--.*?-->|<script[\s>].*?</script[^>]*>|<style[\s>].*?</style[^>]*>"
+MARKUP = r"""<[!/?]?[A-Za-z](?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*>"""
+TARGET = r"""(?i)<a\s(?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# The references that the given pages hold, with or without a semicolon.
+REFERENCES = (("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&copy;?", "©"), ("&middot;?", "·"), ("&nbsp;?", "\u00a0"), ("&amp;?", "&"))
+PRE_TOKEN = r"\p{L}+|\p{N}+|[^" + BLANKS + r"\p{L}\p{N}]"
+UNSAFE = r"[\\/*?:" + '"' + "<>|]"
 
 
 def lit(s: str) -> str:
@@ -31,22 +41,22 @@ def sub(e: str, pattern: str, to: str = "''") -> str:
 
 
 def strip(e: str) -> str:
-    return sub(e, f"^{T.WS}+|{T.WS}+$")
+    return sub(e, f"^{WS}+|{WS}+$")
 
 
 def words(e: str) -> str:
-    return f"list_filter(string_split_regex({e}, {lit(T.WS + '+')}), lambda w: w <> '')"
+    return f"list_filter(string_split_regex({e}, {lit(WS + '+')}), lambda w: w <> '')"
 
 
 def decode(e: str) -> str:
-    for name, char in T.ENTITIES.items():
-        e = f"replace({e}, {lit(name)}, {lit(char)})"
+    for name, char in REFERENCES:
+        e = sub(e, name, lit(char))
     return e
 
 
 def visible(e: str) -> str:
-    nodes = decode(sub(sub(e, T._HIDDEN, "chr(1)"), T._TAG, "chr(1)"))
-    return strip(sub(nodes, rf"{T.WS}*\x01(?:{T.WS}|\x01)*", "' '"))
+    nodes = decode(sub(sub(e, DROPPED, "chr(1)"), MARKUP, "chr(1)"))
+    return strip(sub(nodes, rf"{WS}*\x01(?:{WS}|\x01)*", "' '"))
 
 
 def plain_url(e: str) -> str:
@@ -62,12 +72,12 @@ def host(e: str) -> str:
 
 
 def hrefs(e: str) -> str:
-    found = f"regexp_extract_all({sub(e, T._HIDDEN)}, {lit(T._HREF)}, 1)"
-    return f"list_transform({found}, lambda h: {decode('h')})"
+    found = f"regexp_extract_all({sub(e, DROPPED)}, {lit(TARGET)}, 1)"
+    return f"list_transform({found}, lambda h: {decode('trim(h, chr(34) || chr(39))')})"
 
 
 def sanitized(e: str) -> str:
-    return strip(sub(e, T.UNSAFE_IN_FILE_NAMES, "'_'"))
+    return strip(sub(e, UNSAFE, "'_'"))
 
 
 def epub_name(e: str) -> str:
@@ -105,6 +115,8 @@ PAGE_RULE = (
     " AND NOT contains(href, '/category/') AND NOT contains(href, '/page/') AND NOT contains(href, '/de'))"
 )
 BOOK_LINKS = f"book_links AS (SELECT DISTINCT page_id, url, {root('url')} || href AS link FROM hrefs WHERE {PAGE_RULE})"
+NUMBERED_SITE = "(SELECT page_id, max(page_id) OVER () AS last_id FROM pages) x"
+SITE_TITLE = "CASE WHEN page_id % 13 <> 0 THEN 'Book ' || page_id || ' & co' END"
 WORDS = f"words AS (SELECT doc_id, {words('text')} AS ws FROM documents)"
 
 # --- heuristics --------------------------------------------------------------------------
@@ -115,7 +127,7 @@ heur AS (
     length(text)::INTEGER AS text_length,
     len(ws)::INTEGER AS word_count,
     length({sub('text', r'[^\p{L}\p{N}]')})::DOUBLE / length(text) AS alnum_ratio,
-    length({sub('text', r'[\p{L}\p{N}]|' + T.WS)})::DOUBLE / length(text) AS special_ratio,
+    length({sub('text', r'[\p{L}\p{N}]|' + WS)})::DOUBLE / length(text) AS special_ratio,
     length(replace(text, chr(10), ''))::DOUBLE / len(ls) AS mean_line_length,
     list_max(list_transform(ls, lambda l: length(l)))::INTEGER AS max_line_length,
     1.0::DOUBLE - len(list_distinct(ls))::DOUBLE / len(ls) AS repeated_line_ratio
@@ -246,16 +258,7 @@ alike AS (
 
 
 MET = "SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM bands x JOIN bands y USING (band, key) WHERE x.doc_id > y.doc_id"
-ROUNDS = """rest(band, key, doc_id, it) AS (
-  SELECT band, key, doc_id, 0 FROM bands
-  UNION ALL
-  SELECT r.band, r.key, r.doc_id, r.it + 1
-  FROM (SELECT *, min(doc_id) OVER (PARTITION BY band, key) AS rep FROM rest) r
-  JOIN alike s ON s.a = r.doc_id AND s.b = r.rep WHERE s.jaccard < 0.75),
-checked AS (
-  SELECT DISTINCT r.doc_id AS a, r.rep AS b
-  FROM (SELECT *, min(doc_id) OVER (PARTITION BY it, band, key) AS rep FROM rest) r
-  JOIN alike s ON s.a = r.doc_id AND s.b = r.rep WHERE s.jaccard >= 0.75)"""
+CHECKED = "checked AS (SELECT a, b FROM alike WHERE jaccard >= 0.75)"
 KEEP = "SELECT d.doc_id, d.lang, d.source FROM documents d LEFT JOIN clusters c USING (doc_id) WHERE c.cluster IS NULL OR c.cluster = d.doc_id"
 
 # --- the whole job ------------------------------------------------------------------------------------
@@ -354,6 +357,20 @@ ORACLES: dict[str, str] = {
         f"SELECT page_id, url, {TITLE} AS title, nullif(regexp_extract(html, {lit(HTML_LANG)}, 1), '') AS lang,"
         f" len({hrefs('html')})::INTEGER AS n_links, array_to_string({hrefs('html')}, ' ') AS links FROM pages"),
     "page_links": q("SELECT url, link FROM book_links", LINKS, BOOK_LINKS),
+    "frontier_exact": "SELECT page_id, url FROM pages WHERE page_id IN (SELECT p.page_id FROM pages p JOIN pages a ON a.page_id % 2 = 0 AND NOT contains(a.url, '#') AND string_split(p.url, '#')[1] = a.url)",
+    "book_records": f"""SELECT {BOOK_URL} AS url, {SITE_TITLE} AS title, 'Author ' || page_id % 17 AS author, 'c' || page_id % 5 || ',all' AS categories,
+      CASE WHEN page_id % 3 = 0 THEN '/f/' || page_id || '.pdf' END AS pdf, CASE WHEN page_id % 2 = 0 THEN '/f/' || page_id || '.epub' END AS epub,
+      {SITE_TITLE} || '.pdf' AS filename FROM pages""",
+    "link_tiers": f"SELECT {LIST_URL} AS url, {BOOK_URL} AS link FROM pages",
+    "next_edges": f"SELECT {LIST_URL} AS src, {NEXT_URL} AS dst FROM {NUMBERED_SITE}",
+    "pagination_rules": f"SELECT {CATEGORY} AS start, {STEP} AS depth, {LIST_URL} AS url FROM {NUMBERED_SITE}",
+    "category_urls": f"SELECT {CATEGORY} AS category FROM pages WHERE page_id < 5",
+    "crawl_catalog": f"SELECT {BOOK_URL} AS url, {SITE_TITLE} AS title, 'Author ' || page_id % 17 AS author, {SITE_TITLE} || '.pdf' AS filename FROM pages",
+    "epub_branch": """SELECT conv_id, status, CASE WHEN status = 'processed' THEN text END AS text FROM (
+      SELECT conv_id, coalesce(string_agg(nullif(text, ''), chr(10) || chr(10) ORDER BY turn), '') AS text,
+        CASE WHEN conv_id % 3 = 0 THEN 'criteria' WHEN conv_id % 5 = 0 THEN 'filename_missing' WHEN conv_id % 7 = 0 THEN 'file_missing'
+          WHEN conv_id % 11 = 0 THEN 'error' ELSE 'processed' END AS status
+      FROM conversations GROUP BY conv_id) x""",
     "chunk_100": q(
         """SELECT doc_id, i AS chunk_idx, coalesce(array_to_string(ws[floor(last)::BIGINT + 1 : floor(last + step)::BIGINT], ' '), '') AS text
         FROM starts JOIN words USING (doc_id)""",
@@ -379,6 +396,7 @@ ORACLES: dict[str, str] = {
     "heur_wordlist_ratio": q(
         f"SELECT doc_id, {listed(STOP_WORDS)} AS stop_word_ratio, {listed(FLAGGED_WORDS)} AS flagged_word_ratio FROM words", WORDS),
     "nb_raw_scores": q("SELECT doc_id, s0, s1 FROM quality_raw", WORDS, QUALITY),
+    "nb_raw_scores_joined": q("SELECT doc_id, s0, s1 FROM quality_raw", WORDS, QUALITY),
     "quality_filter": q(
         "SELECT doc_id, source, true AS pass_filter FROM documents JOIN quality_raw USING (doc_id) WHERE s1 > s0", WORDS, QUALITY),
     "toxic_filter": q(
@@ -388,11 +406,12 @@ ORACLES: dict[str, str] = {
     "domain_tag": q(f"SELECT doc_id, {BEST_DOMAIN} AS domains FROM domain_raw", WORDS, DOMAIN),
     "token_count": f"SELECT doc_id, len(regexp_extract_all(text, {lit(PRE_TOKEN)}))::INTEGER AS n_tokens FROM documents",
     "encode_docs": q(f"SELECT doc_id, {ids('input_ids')} AS input_ids, len(input_ids)::INTEGER AS n_ids FROM encoded", WORDS, ENCODED),
+    "encode_docs_joined": q(f"SELECT doc_id, {ids('input_ids')} AS input_ids, len(input_ids)::INTEGER AS n_ids FROM encoded", WORDS, ENCODED),
     "truncate_pad": q(
         f"SELECT doc_id, {ids('padded_ids')} AS input_ids, {ids('mask')} AS attention_mask FROM padded", WORDS, ENCODED, PADDED),
     "clm_labels": q(
-        f"SELECT doc_id, {ids(f'list_transform(padded_ids, lambda x: CASE WHEN x = {PAD} THEN -100 ELSE x END)')} AS labels FROM padded",
-        WORDS, ENCODED, PADDED),
+        f"SELECT doc_id, {ids(f'list_transform(input_ids, lambda x: CASE WHEN x = {PAD} THEN -100 ELSE x END)')} AS labels FROM encoded",
+        WORDS, ENCODED),
     "token_offsets": q("SELECT doc_id, row_idx, batch, start, n, batch_total FROM offsets", WORDS, ENCODED, OFFSETS),
     "pack_blocks": q(
         f"""SELECT batch, block, string_agg(id::VARCHAR, ',' ORDER BY spot) AS input_ids, string_agg(id::VARCHAR, ',' ORDER BY spot) AS labels,
@@ -400,6 +419,11 @@ ORACLES: dict[str, str] = {
         WORDS, ENCODED, OFFSETS,
         f"""placed AS (SELECT batch, spot // {BLOCK} AS block, spot, id FROM (
           SELECT batch, start + generate_subscripts(input_ids, 1) - 1 AS spot, unnest(input_ids) AS id FROM offsets) x)"""),
+    "clm_labels_blocks": q(
+        f"""SELECT batch, block, string_agg(CASE WHEN id = {BOS} THEN '-100' ELSE id::VARCHAR END, ',' ORDER BY spot) AS labels FROM placed GROUP BY batch, block HAVING count(*) = {BLOCK}""",
+        WORDS, ENCODED, OFFSETS,
+        f"""placed AS (SELECT batch, spot // {BLOCK} AS block, spot, id FROM (
+          SELECT batch, start + generate_subscripts(input_ids, 1) - 1 AS spot, unnest(input_ids) AS id FROM offsets) x)"""),
     "pack_dropped": q(
         f"""SELECT batch, sum(n)::BIGINT AS tokens, (sum(n) // {BLOCK})::BIGINT AS blocks, (sum(n) % {BLOCK})::BIGINT AS dropped
         FROM offsets GROUP BY batch""", WORDS, ENCODED, OFFSETS),
@@ -412,7 +436,7 @@ ORACLES: dict[str, str] = {
     "dedup_clusters": q("SELECT doc_id, cluster FROM clusters", minhash(), clustered(edges())),
     "dedup_keep": q(KEEP, minhash(), clustered(edges())),
     "dedup_keep_verified": q(
-        KEEP, minhash(), similar(MET), ROUNDS, clustered("SELECT a, b FROM checked UNION SELECT a, b FROM copies")),
+        KEEP, minhash(), similar(MET), CHECKED, clustered("SELECT a, b FROM checked UNION SELECT a, b FROM copies")),
     "dedup_keep_per_source": q(KEEP, minhash(scope="source"), clustered(edges())),
     "exact_dedup": "SELECT min(doc_id) AS doc_id, count(*) AS n_copies FROM documents GROUP BY text",
     "clean_corpus": q(

@@ -7,16 +7,22 @@ that results can be compared cell by cell.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from registry.tables import (
     PAGE_RULE,
+    SITE,
     book_files,
+    book_pages,
     books,
+    categories,
     documents,
+    home_pages,
     host_chain,
     labelled,
+    listing_pages,
     page_hrefs,
     pages,
     table,
@@ -153,7 +159,16 @@ def pagination_chain(spark, sf):
 def frontier_join(spark, sf):
     absolute = page_hrefs(spark, sf).select(X.url_join("url", "href").alias("url"))
     plain = table(spark, sf, "pages").where(~F.col("url").contains("?")).select("url")
-    return O.frontier_join(absolute.unionByName(plain), pages(spark, sf)).select("page_id", "url")
+    return O.frontier_join(absolute.unionByName(plain), pages(spark, sf), ignore_query=True).select("page_id", "url")
+
+
+@query
+def frontier_exact(spark, sf):
+    asked = table(spark, sf, "pages").where("page_id % 2 = 0 and not contains(url, '#')").select(
+        F.concat("url", F.when(F.col("page_id") % 4 == 0, F.lit("#end")).otherwise(F.lit(""))).alias("url")
+    )
+    wrong = table(spark, sf, "pages").where("not contains(url, '#')").select(F.concat("url", F.lit("/missing")).alias("url"))
+    return O.frontier_join(asked.unionByName(wrong), pages(spark, sf)).select("page_id", "url")
 
 
 # --- aggregates ------------------------------------------------------------------------------
@@ -312,6 +327,58 @@ def page_links(spark, sf):
     return O.page_links(pages(spark, sf), PAGE_RULE)
 
 
+@query
+def book_records(spark, sf):
+    rows = O.book_records(book_pages(spark, sf))
+    return rows.select(
+        "url", "title", "author", F.array_join("categories", ",").alias("categories"),
+        F.col("downloads")["pdf"].alias("pdf"), F.col("downloads")["epub"].alias("epub"), "filename",
+    )
+
+
+@query
+def link_tiers(spark, sf):
+    return O.page_links(listing_pages(spark, sf), root=SITE)
+
+
+@query
+def next_edges(spark, sf):
+    return O.next_edges(listing_pages(spark, sf))
+
+
+@query
+def pagination_rules(spark, sf):
+    return O.follow_chain(categories(spark, sf), O.next_edges(listing_pages(spark, sf)))
+
+
+@query
+def category_urls(spark, sf):
+    return O.category_urls(home_pages(spark, sf))
+
+
+@query
+def crawl_catalog(spark, sf):
+    site = home_pages(spark, sf).unionByName(listing_pages(spark, sf)).unionByName(book_pages(spark, sf))
+    return O.crawl_catalog(site, SITE).select("url", "title", "author", "filename")
+
+
+@query
+def epub_branch(spark, sf):
+    talks = table(spark, sf, "conversations")
+    items = talks.where("conv_id % 7 <> 0").select(
+        F.concat(F.lit("books/"), F.col("conv_id").cast("string"), F.lit("%.epub")).alias("path"),
+        F.col("turn").alias("item_idx"), "text", F.when(F.col("conv_id") % 11 == 0, "unreadable").alias("error"),
+    )
+    meta = talks.select("conv_id").distinct().select(
+        "conv_id",
+        F.create_map(
+            F.lit("pdf"), F.when(F.col("conv_id") % 3 == 0, F.lit("p")), F.lit("epub"), F.lit("e")
+        ).alias("downloads"),
+        F.when(F.col("conv_id") % 5 != 0, F.concat(F.col("conv_id").cast("string"), F.lit("%.pdf"))).alias("filename"),
+    )
+    return O.book_status(meta, O.epub_texts(items)).select("conv_id", "status", "text")
+
+
 # --- chunks and heuristics --------------------------------------------------------------------------
 
 
@@ -394,15 +461,10 @@ def quality_filter(spark, sf):
 
 
 @query
-def quality_linear(spark, sf):
-    scorer = O.fit_linear(labelled(spark, sf), "quality")
-    return O.quality_filter(documents(spark, sf), scorer).select("doc_id", "source", "pass_filter")
-
-
-@query
-def toxic_linear(spark, sf):
-    scorer = O.fit_linear(labelled(spark, sf), "toxic")
-    return O.toxic_filter(documents(spark, sf), scorer).select("doc_id", "source", "predictions")
+def nb_raw_scores_joined(spark, sf):
+    model = replace(_quality(spark, sf), in_place=False)  # as for a vocabulary too large to ship
+    raw = model.raw(documents(spark, sf))
+    return raw.select("doc_id", F.col("raw")[0].alias("s0"), F.col("raw")[1].alias("s1"))
 
 
 @query
@@ -444,10 +506,22 @@ def truncate_pad(spark, sf):
     return rows.select("doc_id", joined("input_ids").alias("input_ids"), joined("attention_mask").alias("attention_mask"))
 
 
+@query
+def encode_docs_joined(spark, sf):
+    docs = documents(spark, sf)
+    rows = O.encode(docs, O.build_vocabulary(docs, first_id=2), bos_id=BOS, in_place=False)
+    return rows.select("doc_id", joined("input_ids").alias("input_ids"), F.size("attention_mask").alias("n_ids"))
+
+
 @query
 def clm_labels(spark, sf):
-    rows = O.truncate_pad(_encoded(spark, sf), PAD, MAX_LEN)
-    return rows.select("doc_id", joined(X.clm_labels("input_ids", PAD)).alias("labels"))
+    return _encoded(spark, sf).select("doc_id", joined(X.clm_labels("input_ids", PAD)).alias("labels"))
+
+
+@query
+def clm_labels_blocks(spark, sf):
+    blocks = O.pack(_encoded(spark, sf), BLOCK, MAP_BATCH)
+    return blocks.select("batch", "block", joined(X.clm_labels("input_ids", BOS)).alias("labels"))
 
 
 @query

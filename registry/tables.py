@@ -75,3 +75,56 @@ def host_chain(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     edges = rows.join(after, "row_idx").where("host = h").select(F.col("url").alias("src"), "dst")
     starts = rows.groupBy("host").agg(F.min_by("url", "page_id").alias("start")).select("start")
     return starts, edges
+
+
+# --- a book site, made from the pages table by expressions that Spark and SQL share ----------------
+
+SITE = "https://site.example/"
+ID = "CAST(page_id AS STRING)"
+STEP = "CAST((page_id - page_id % 5) / 5 AS BIGINT)"   # place of a listing page in its category, from 0
+CATEGORY = f"'{SITE}category/c' || CAST(page_id % 5 AS STRING) || '/'"
+BOOK_URL = f"'{SITE}b' || {ID} || '.html'"
+LIST_URL = f"{CATEGORY} || CASE WHEN page_id < 5 THEN '' ELSE 'page/' || CAST({STEP} + 1 AS STRING) || '/' END"
+# the last page of a category leads back to its second one
+NEXT_URL = (
+    f"{CATEGORY} || 'page/' || CASE WHEN page_id + 5 <= last_id THEN CAST({STEP} + 2 AS STRING) ELSE '2' END || '/'"
+)
+BOOK_HTML = f"""'<html><div class="col-xs-12 col-sm-8 col-md-8 col-lg-8">'
+ || CASE WHEN page_id % 13 = 0 THEN 'no title' ELSE '<h1> Book ' || {ID} || ' &amp; co</h1>' END
+ || '</div><div class="mg-t-10">Tác giả: <b>Author</b> ' || CAST(page_id % 17 AS STRING)
+ || '</div><div class="mg-tb-10">Thể loại: <a>c' || CAST(page_id % 5 AS STRING) || '</a>, <a> all </a></div>'
+ || CASE WHEN page_id % 3 = 0 THEN '<a class="button pdf" href="/old.pdf">p</a><a class="pdf button" href="/f/' || {ID} || '.pdf">p</a>' ELSE '' END
+ || CASE WHEN page_id % 2 = 0 THEN '<a class="button epub" href="/f/' || {ID} || '.epub">e</a>' ELSE '' END || '</html>'"""
+LIST_HTML = f"""'<a href="/page/1.html">x</a>' || CASE page_id % 3
+ WHEN 0 THEN '<div class="item_sach"><a name="q">-</a><a href="/b' || {ID} || '.html">b</a><a href="/z.html">z</a></div><a class="title_sach" href="/t.html">t</a>'
+ WHEN 1 THEN '<div class="item_sach"><a href="/other">o</a></div><a class="title_sach" href="b' || {ID} || '.html">b</a>'
+ ELSE '<a href=/b' || {ID} || '.html>b</a><a href="/category/b.html">c</a>' END
+ || '<div class="wp-pagenavi">' || CASE page_id % 4
+ WHEN 0 THEN '<span class="current">1</span> <a href="' || {NEXT_URL} || '">2</a><a class="nextpostslink" href="/wrong">n</a>'
+ WHEN 1 THEN '<span class="current">1</span><span>gap</span><a class="nextpostslink" href="' || {NEXT_URL} || '">n</a>'
+ ELSE '<a href="/page/none">a</a><a rel="nofollow next" href="' || {NEXT_URL} || '">n</a>' END || '</div>'"""
+HOME_HTML = """'<ul><li class="menu-item a"><a href="https://site.example/category/c' || CAST(page_id AS STRING) || '/">c</a></li></ul><a href="/category/no/">no</a>'"""
+
+
+def _site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = pages(spark, sf_dir).select("page_id")
+    return ids.withColumn("last_id", F.lit(table(spark, sf_dir, "pages").agg(F.max("page_id")).first()[0]))
+
+
+def book_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One book page per page: what its record must be follows from the id."""
+    return _site(spark, sf_dir).selectExpr(f"{BOOK_URL} AS url", f"{BOOK_HTML} AS html")
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five categories, listing one book per page, by all tiers and all ways to the next page."""
+    return _site(spark, sf_dir).selectExpr(f"{LIST_URL} AS url", f"{LIST_HTML} AS html")
+
+
+def home_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The home page, stored once per category that it names."""
+    return _site(spark, sf_dir).where("page_id < 5").selectExpr(f"'{SITE}' AS url", f"{HOME_HTML} AS html")
+
+
+def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _site(spark, sf_dir).where("page_id < 5").selectExpr(f"{CATEGORY} AS start")

@@ -1,4 +1,6 @@
-from textloom.operators import book_status, books_missing_file, books_with_file, select_epub_only, status_summary
+from textloom.operators import (
+    book_status, books_missing_file, books_with_file, epub_texts, select_epub_only, status_summary,
+)
 
 META = [
     ("has_pdf", {"pdf": "p", "epub": "e"}, "a.pdf"),
@@ -43,3 +45,20 @@ def test_selection_and_matching(spark):
     assert {r.url for r in select_epub_only(meta).collect()} == {u for u, s in WANT.items() if s != "criteria"}
     assert {r.url for r in books_with_file(meta, files).collect()} == {"good", "dots", "bad", "blank"}
     assert {r.url for r in books_missing_file(meta, files).collect()} == {"missing"}
+
+
+def test_files_of_one_name_give_one_status(spark):
+    meta, files = frames(spark)
+    twice = files.unionByName(spark.createDataFrame([("bad.epub", "readable", None), ("a.b.epub", None, "bad copy")], files.schema))
+    rows = {r.url: (r.status, r.text) for r in book_status(meta, twice).collect()}
+    assert len(rows) == len(META) and rows["bad"] == ("processed", "readable") and rows["good"] == ("processed", "text")
+
+
+def test_status_with_a_map_first(spark):
+    meta, files = frames(spark)
+    assert book_status(meta.select("downloads", "url", "filename"), files).count() == len(META)
+
+
+def test_percent_signs_in_file_names(spark):
+    items = spark.createDataFrame([("file:/x/100%.epub", 0, "a", None), ("file:/x/y%41.epub", 0, "b", None)], "path string, item_idx int, text string, error string")
+    assert sorted((r.name, r.text) for r in epub_texts(items).collect()) == [("100%.epub", "a"), ("y%41.epub", "b")]

@@ -1,3 +1,4 @@
+import pathlib
 import random
 from itertools import combinations
 
@@ -5,7 +6,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.operators import bands, components, duplicate_clusters, exact_dedup, jaccard, minhash_dedup, shingles, signatures
-from textloom.operators.dedup import _shingler
+from textloom.plans import shared_folder
+from textloom.operators.dedup import NUM_PERM, PRIME, _hex32, bands_for
+
+
+def shingler(n):
+    """The distinct n-gram hashes of a text, one word at a time."""
+    factors = [1 + _hex32(f"pos{j}") % (PRIME - 1) for j in range(n)]
+
+    def run(t):
+        h = [_hex32(w) % PRIME for w in t.split()]
+        return {sum(x * f % PRIME for x, f in zip(h[i:i + n], factors)) % PRIME for i in range(len(h) - n + 1)}
+
+    return run
 
 
 def text(seed, n=200):
@@ -79,8 +92,8 @@ def test_exact_dedup(cases):
 def test_jaccard(spark, cases):
     pairs = spark.createDataFrame([(2, 1), (3, 1), (4, 1), (5, 1)], "a int, b int")
     got = {r.a: r.jaccard for r in jaccard(pairs, shingles(cases), heavy_floor=1).collect()}
-    f = _shingler(5)
-    sets = {i: set(f(" ".join(CASES[i])).tolist()) for i in (1, 2, 3, 4, 5)}
+    f = shingler(5)
+    sets = {i: f(" ".join(CASES[i])) for i in (1, 2, 3, 4, 5)}
     for a in (2, 3, 4, 5):
         assert got[a] == pytest.approx(len(sets[a] & sets[1]) / len(sets[a] | sets[1]))
 
@@ -95,10 +108,11 @@ def test_hot_bucket_of_near_copies(spark):
     assert kept(minhash_dedup(df, verify=True, heavy_floor=20)) == want
 
 
-def test_verified_dedup_against_brute_force(docs):
-    f = _shingler(5)
-    sets = {r.doc_id: set(f(r.text).tolist()) for r in docs.collect()}
-    near = [(a, b) for a, b in combinations(sorted(sets), 2) if sets[a] and sets[b] and len(sets[a] & sets[b]) >= 0.75 * len(sets[a] | sets[b])]
+def in_bucket_clusters(docs, sets, threshold=0.75):
+    """Components of all pairs that share a bucket and are similar, pair by pair."""
+    buckets = {}
+    for r in bands(signatures(docs)).collect():
+        buckets.setdefault((r.band, r.key), []).append(r.doc_id)
     parent = {i: i for i in sets}
 
     def root(i):
@@ -106,14 +120,50 @@ def test_verified_dedup_against_brute_force(docs):
             i = parent[i]
         return i
 
-    for a, b in near:
-        ra, rb = sorted((root(a), root(b)))
-        parent[rb] = ra
-    truth = {i for i in sets if root(i) != i}
-    dropped = set(sets) - set(kept(minhash_dedup(docs, verify=True)))
-    short = {i for i in dropped if not sets[i]}
-    assert dropped - short <= truth
-    assert len(truth & dropped) >= 0.9 * len(truth)
+    for members in buckets.values():
+        for a, b in combinations(sorted(members), 2):
+            if len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b]):
+                ra, rb = sorted((root(a), root(b)))
+                parent[rb] = ra
+    return {i: root(i) for i in sets}
+
+
+def test_verified_dedup_equals_all_pairs_of_its_buckets(docs):
+    f = shingler(5)
+    sets = {r.doc_id: f(r.text) for r in docs.collect()}
+    clusters = in_bucket_clusters(docs, {i: s for i, s in sets.items() if s})
+    want = {i for i, c in clusters.items() if c == i}
+    assert {i for i in kept(minhash_dedup(docs, verify=True)) if sets[i]} == want
+
+
+@pytest.mark.parametrize("floor", [None, 1])
+def test_verified_dedup_follows_a_chain(spark, floor):
+    """1 is like 2 and 2 like 3, but 1 is not like 3; 4 and 5 are like each other only."""
+    base = text(11, 104)
+    rows = [(1, base), (2, changed(base, [10, 11])), (3, changed(base, [10, 11, 90, 91])), (4, text(12, 104)), (5, text(12, 104) + ["x"])]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id int, text string")
+    f = shingler(5)
+    sets = {i: f(" ".join(w)) for i, w in rows}
+    jac = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert jac(1, 2) > 0.88 > 0.86 > jac(1, 3) and jac(2, 3) > 0.88
+    found = duplicate_clusters(df, threshold=0.87, verify=True, b=112, r=1, heavy_floor=floor)
+    assert {r.doc_id: r.cluster for r in found.collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
+
+
+def test_unlike_members_of_one_bucket_stay(spark):
+    """One minimum per band: eight texts that share a sentence meet, but are unlike."""
+    shared = text(20, 30)
+    rows = [(i, " ".join(shared + text(30 + i, 60))) for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    assert kept(minhash_dedup(df, verify=True, b=112, r=1)) == list(range(8))
+
+
+def test_threshold_counts_or_raises(cases):
+    b, r = bands_for(0.9)
+    assert b * r <= NUM_PERM and abs((1 / b) ** (1 / r) - 0.9) < 0.03
+    for wrong in ({"threshold": 0.9, "b": 14, "r": 8}, {"b": 14}, {"threshold": 0.0}):
+        with pytest.raises(ValueError):
+            duplicate_clusters(cases, **wrong)
 
 
 @pytest.mark.parametrize("floor", [None, 2])
@@ -142,3 +192,12 @@ def test_components_equal_union_find(spark, floor):
 
 def test_components_of_nothing(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_leave_only_their_last_table(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(64)], "a long, b long")
+    root = pathlib.Path(shared_folder(spark).removeprefix("file:"), "textloom", spark.sparkContext.applicationId)
+    before = set(root.glob("*"))
+    assert components(edges).count() == 65
+    new = [p.name for p in set(root.glob("*")) - before]
+    assert len(new) == 1 and new[0].startswith("small-star")

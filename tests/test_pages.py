@@ -157,10 +157,12 @@ def test_catalog(spark):
     assert sorted(r.title for r in crawl_catalog(p, HOME).collect()) == ["One", "Two"]
 
 
-def test_frontier_join_ignores_query_and_fragment(spark):
-    frontier = spark.createDataFrame([("u?x=1",), ("u#y",), ("v/missing",)], "url string")
-    stored = pages(spark, {"u#top": "1", "v": "2"})
-    assert [r.url for r in frontier_join(frontier, stored).collect()] == ["u#top"]
+def test_frontier_join(spark):
+    """A URL is requested as it is, but for its fragment."""
+    frontier = spark.createDataFrame([("/a?id=1",), ("/b#y",), ("/c/missing",)], "url string")
+    stored = pages(spark, {"/a?id=1": "1", "/a?id=2": "2", "/b#top": "b", "/c": "c"})
+    assert {r.url for r in frontier_join(frontier, stored).collect()} == {"/a?id=1", "/b#top"}
+    assert {r.url for r in frontier_join(frontier, stored, ignore_query=True).collect()} == {"/a?id=1", "/a?id=2", "/b#top"}
 
 
 def test_metadata_defaults_and_downloads(spark):

@@ -49,6 +49,27 @@ def test_shipped_and_joined_weights_agree(spark, docs):
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and a.count() == docs.count()
 
 
+def test_repeated_and_null_ids_do_not_matter(spark, rows):
+    """A score depends on the text alone, in both ways."""
+    nb = fit_nb(rows, "quality")
+    df = spark.createDataFrame(
+        [(1, "good fine"), (1, "bad good"), (None, "good fine"), (7, None), (7, ""), (8, "good fine")], "doc_id int, text string"
+    )
+    want = sorted((i or 0, t or "", None if t is None else by_hand(t)) for i, t in [tuple(r) for r in df.collect()] if t is not None)
+    for model in (nb, replace(nb, in_place=False)):
+        got = [(r.doc_id or 0, r.text, r.raw) for r in model.raw(df).collect()]
+        assert sorted(g for g in got if g[1] is not None) == want and [g[2] for g in got if g[1] is None] == [None]
+
+
+def test_a_later_filter_reaches_the_scan_and_python_runs_once(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    nb = fit_nb(docs.join(labels, "doc_id"), "toxic", classes=(0, 1))
+    for df in (toxic_filter(docs, nb), quality_filter(docs, nb), tag_domain(docs, nb, {0: "a", 1: "b"})):
+        plan = df.where("lang = 'en'")._jdf.queryExecution().executedPlan().toString()
+        assert "EqualTo(lang,en)" in plan and plan.count("ArrowEvalPython [") == 1
+
+
 def test_filters_keep_and_tag(rows):
     nb = fit_nb(rows, "quality")
     kept = quality_filter(rows, nb)

@@ -25,6 +25,24 @@ def test_encode(texts, in_place):
     assert got == {1: [3, 4], 2: [], 3: [2, 3, 2], 4: [2, 2, 3], 5: None}
 
 
+@pytest.mark.parametrize("in_place", [True, False])
+def test_encode_by_text_alone(spark, in_place):
+    df = spark.createDataFrame([(1, "a b"), (1, "a c"), (None, "a b"), (2, None)], "doc_id int, text string")
+    vocabulary = spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "word string, id int")
+    got = sorted((r.doc_id or 0, r.input_ids or []) for r in encode(df, vocabulary, in_place=in_place).collect())
+    assert got == [(0, [0, 1]), (1, [0, 1]), (1, [0, 2]), (2, [])]
+    none = vocabulary.where("id > 9")
+    got = sorted((r.doc_id or 0, r.input_ids or []) for r in encode(df, none, unk_id=9, in_place=in_place).collect())
+    assert got == [(0, [9, 9]), (1, [9, 9]), (1, [9, 9]), (2, [])]
+
+
+def test_packing_needs_unique_ids(spark):
+    df = spark.createDataFrame([(1, [1, 2]), (1, [3, 4])], "doc_id int, input_ids array<int>")
+    for run in (pack, pack_dropped):
+        with pytest.raises(ValueError):
+            run(df, 2).collect()
+
+
 def test_built_in_counters(spark):
     df = spark.createDataFrame([("một, 12 hai!",), ("",), (None,)], "text string")
     assert [r.n_tokens for r in count_tokens(df).collect()] == [3, 0, None]
@@ -33,26 +51,14 @@ def test_built_in_counters(spark):
         count_tokens(df, "no-such-model")
 
 
-def test_byte_pair_and_file_tokenizers(spark, tmp_path):
+def test_a_loader_of_ones_own(spark):
     df = spark.createDataFrame([("ab cd",), ("é",), (None,)], "text string")
 
     def load():
-        import tiktoken
-
-        enc = tiktoken.Encoding("bytes", pat_str=r"\S+|\s+", mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
-        return lambda batch: [len(t) for t in enc.encode_batch(batch)]
+        return lambda batch: [len(t.encode()) for t in batch]
 
     assert [r.n_tokens for r in count_tokens(df, load).collect()] == [5, 2, None]
 
-    from tokenizers import Tokenizer
-    from tokenizers.models import WordLevel
-    from tokenizers.pre_tokenizers import Whitespace
-
-    tok = Tokenizer(WordLevel({"ab": 0, "[UNK]": 1}, unk_token="[UNK]"))
-    tok.pre_tokenizer = Whitespace()
-    tok.save(str(tmp_path / "tok.json"))
-    assert [r.n_tokens for r in count_tokens(df, str(tmp_path / "tok.json")).collect()] == [2, 1, None]
-
 
 def packed(lists, block, batch):
     out = {}

@@ -37,11 +37,13 @@ ENTITIES = {
     "&amp;": "&",
 }
 
-_TAG = r"<[!/?]?[A-Za-z](?:\"[^\"]*\"|'[^']*'|[^'\">])*>"
+# A quote counts only where it begins an attribute's value.
+_IN_TAG = r"(?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])"
+_TAG = rf"</?[A-Za-z]{_IN_TAG}*+>|<[!?/][^>]*+>"
 _HIDDEN = (
-    r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+    r"(?is)<!--(?:-?>|.*?(?:--!?>|\z))|<(script|style)(?=[\s/>]).*?(?:</\1(?=[\s/>])[^>]*+>|\z)"
 )
-_HREF = r"(?i)<a\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?\shref\s*=\s*[\"']([^\"']*)[\"']"
+_HREF = rf"(?i)<a(?=[\s/]){_IN_TAG}*?(?<=[\s\"'/])href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 _CUT = "\u0001"
 
 
@@ -172,7 +174,8 @@ def _unescape(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def decode_all_entities(c: Column | str) -> Column:
-    """Every named and numeric reference; uses Python for the rows that need it."""
+    """Every named and numeric reference, with or without a semicolon; Python sees only the
+    rows with references that are not in ``ENTITIES``."""
     c = _col(c)
     rare = F.regexp_replace(c, "|".join(ENTITIES), "").rlike(r"&[#A-Za-z]")
     return F.coalesce(F.pandas_udf(_unescape, "string")(F.when(rare, c)), decode_entities(c))
@@ -184,16 +187,18 @@ def markup_to_nodes(c: Column | str) -> Column:
     return F.regexp_replace(bare, _TAG, _CUT)
 
 
-def html_to_text(c: Column | str, all_entities: bool = False) -> Column:
-    """Visible text: text nodes trimmed, empty ones dropped, joined by one blank."""
-    decode = decode_all_entities if all_entities else decode_entities
-    nodes = decode(markup_to_nodes(c))
+def html_to_text(c: Column | str) -> Column:
+    """Visible text: text nodes trimmed, empty ones dropped, joined by one blank.  All
+    character references are decoded."""
+    nodes = decode_all_entities(markup_to_nodes(c))
     gap = f"(?:{_SPACE}|{_CUT})*"
     return strip_ws(F.regexp_replace(nodes, f"{_SPACE}*{_CUT}{gap}", " "))
 
 
 def hrefs(c: Column | str) -> Column:
-    """All ``href`` values of ``<a>`` tags in document order, references decoded."""
+    """All ``href`` values of ``<a>`` tags in document order, quoted or not, references decoded."""
     live = F.regexp_replace(_col(c), _HIDDEN, "")
     found = F.regexp_extract_all(live, F.lit(_HREF), F.lit(1))
-    return F.transform(found, decode_entities)
+    bare = F.transform(found, lambda x: F.regexp_replace(x, "^[\"']|[\"']$", ""))
+    decoded = F.split(decode_all_entities(F.array_join(bare, _CUT)), _CUT)
+    return F.when(F.size(bare) > 0, decoded).otherwise(bare)

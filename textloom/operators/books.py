@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from textloom.functions.text import replace_extension
 from textloom.plans.checks import require_columns
+from textloom.plans.skew import balanced_join, hashable
 
 STATUSES = ("criteria", "filename_missing", "file_missing", "error", "processed")
 
@@ -44,15 +45,19 @@ def book_status(meta: DataFrame, texts: DataFrame) -> DataFrame:
     """``meta`` with ``text`` and ``status``, the first test that failed or ``processed``.
 
     ``texts`` has one row ``(name, text, error)`` per listed file.  An empty text counts
-    as processed, a null one as an error.
+    as processed, a null one as an error.  One status per record, however many files
+    share its name.
     """
     require_columns(meta, "downloads", "filename")
     require_columns(texts, "name", "text", "error")
-    found = texts.select(F.col("name").alias("epub_name"), "text", "error", F.lit(True).alias("__there"))
+    # files of one name are one file: a readable one if there is any
+    found = texts.groupBy(F.col("name").alias("epub_name")).agg(
+        F.min(F.struct((F.col("error").isNotNull() | F.col("text").isNull()).alias("bad"), "text", "error")).alias("file")
+    ).select("epub_name", "file.text", "file.error", F.lit(True).alias("__there"))
     # a record without a name gets a key of its own: null keys would all meet in one task
-    own = F.concat(F.lit("\0"), F.xxhash64(*meta.columns[:1]).cast("string"))
+    own = F.concat(F.lit("\0"), F.xxhash64(*hashable(meta)).cast("string"))
     keyed = with_epub_name(meta, "__name").withColumn("epub_name", F.coalesce("__name", own))
-    joined = keyed.join(found, "epub_name", "left")
+    joined = balanced_join(keyed, found, ["epub_name"], "left")
     status = (
         F.when(~_epub_only(), "criteria")
         .when(F.col("__name").isNull(), "filename_missing")
@@ -77,5 +82,5 @@ def epub_texts(items: DataFrame) -> DataFrame:
     files = items.groupBy("path").agg(
         F.array_join(F.transform(parts, lambda p: p["text"]), "\n\n").alias("text"), F.max("error").alias("error")
     )
-    name = F.url_decode(F.replace(F.element_at(F.split("path", "/"), -1), F.lit("+"), F.lit("%2B")))
+    name = F.element_at(F.split("path", "/"), -1)  # paths are not encoded
     return files.select(name.alias("name"), F.when(F.col("error").isNull(), F.col("text")).alias("text"), "error")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from textloom.plans.checks import require_columns
-from textloom.plans.lineage import durable
+from textloom.plans.lineage import discard, durable
 from textloom.plans.skew import lookup_join
 
 MAX_ROUNDS = 60
@@ -53,7 +53,11 @@ def _settled(edges: DataFrame) -> bool:
 def components(
     edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = MAX_ROUNDS, heavy_floor: int | None = None
 ) -> DataFrame:
-    """``(id, cluster)`` for every vertex of ``edges``; the cluster is its smallest id."""
+    """``(id, cluster)`` for every vertex of ``edges``; the cluster is its smallest id.
+
+    Of the rounds' tables only the last one stays.  More than ``max_rounds`` rounds, far
+    beyond the logarithm of any graph, raise an error.
+    """
     require_columns(edges, a, b)
     clean = edges.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"))
     now = durable(clean.distinct(), "edges")
@@ -62,7 +66,8 @@ def components(
         if rounds == max_rounds:
             raise RuntimeError(f"components did not settle in {max_rounds} rounds")
         stars = durable(_large_star(now, heavy_floor).distinct(), "large-star")
-        now = durable(_small_star(stars, heavy_floor).distinct(), "small-star")
+        before, now = now, durable(_small_star(stars, heavy_floor).distinct(), "small-star")
+        discard(before, stars)
         rounds += 1
     members = now.select(F.col("a").alias("id"), F.col("b").alias("cluster"))
     centres = now.select(F.col("b").alias("id"), F.col("b").alias("cluster")).distinct()

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, functions as F
 from textloom.functions.arrays import label_of, top1
 from textloom.operators.dedup import duplicate_clusters
 from textloom.operators.heuristics import Recipe, heur_stats, passes
-from textloom.operators.scorers import Scorer, quality_pass
+from textloom.operators.scorers import NaiveBayes, Scorer, probabilities, quality_pass
 from textloom.operators.tokens import token_counter
+from textloom.plans.barrier import computed
 from textloom.plans.checks import require_absent, require_columns
 from textloom.plans.lineage import durable
 
@@ -31,10 +32,18 @@ class CorpusConfig:
     tokenizer: str | Callable = "words"
 
 
-def _scored(df: DataFrame, scorer: Scorer, alive, text_col: str, id_col: str, name: str) -> DataFrame:
-    """Scores for living rows only: a scorer skips null texts."""
+def _scored(df: DataFrame, scorers: Mapping[str, Scorer], alive, text_col: str, id_col: str) -> DataFrame:
+    """Scores of several models for living rows only: a scorer skips null texts.  All models
+    that are shipped to the workers score in one pass over the texts."""
     fed = df.withColumn("__fed", F.when(alive, F.col(text_col)))
-    return scorer(fed, "__fed", id_col).withColumnRenamed("scores", name).drop("__fed")
+    at_once = {n: s for n, s in scorers.items() if isinstance(s, NaiveBayes) and s.in_place}
+    if at_once:
+        fed = computed(fed, {n: s.raw_column(F.col("__fed")) for n, s in at_once.items()})
+        fed = fed.withColumns({n: probabilities(n) for n in at_once})
+    for name, scorer in scorers.items():
+        if name not in at_once:
+            fed = scorer(fed, "__fed", id_col).withColumnRenamed("scores", name)
+    return fed.drop("__fed")
 
 
 def clean_corpus(
@@ -54,8 +63,7 @@ def clean_corpus(
     if config.recipe.languages is not None:
         keep = keep & F.coalesce(F.col(lang_col).isin(sorted(config.recipe.languages)), F.lit(False))
     rows = stats.withColumn("__ok", keep)
-    rows = _scored(rows, config.quality, F.col("__ok"), text_col, id_col, "__q")
-    rows = _scored(rows, config.toxic, F.col("__ok"), text_col, id_col, "__x")
+    rows = _scored(rows, {"__q": config.quality, "__x": config.toxic}, F.col("__ok"), text_col, id_col)
     status = (
         F.when(~F.col("__ok"), "heuristic")
         .when(~quality_pass("__q", config.quality_target, config.quality_threshold), "quality")
@@ -67,16 +75,18 @@ def clean_corpus(
     losers = durable(
         clusters.where(F.col(id_col) != F.col("cluster")).select(id_col, F.lit("duplicate").alias("__dup")), "losers"
     )
-    final = judged.join(losers, id_col, "left").withColumn(
-        "status", F.coalesce("status", "__dup", F.lit("kept"))
-    ).drop("__dup")
+    # only rows that are still alive take part in the join, and only kept ones are scored
+    final = alive.join(losers, id_col, "left").withColumn("status", F.coalesce("__dup", F.lit("kept"))).drop("__dup")
     kept = F.col("status") == "kept"
-    tagged = _scored(final, config.domain, kept, text_col, id_col, "__d")
-    return tagged.select(
+    tagged = _scored(final, {"__d": config.domain}, kept, text_col, id_col).select(
         *df.columns, "status",
         label_of(top1("__d"), config.id2label).alias("domains"),
         F.when(kept, token_counter(config.tokenizer)(F.col(text_col))).alias("n_tokens"),
     )
+    gone = judged.where("status is not null")
+    return tagged.unionByName(gone.withColumns({
+        c: F.lit(None).cast(tagged.schema[c].dataType) for c in ("domains", "n_tokens")
+    }))
 
 
 def funnel(df: DataFrame) -> DataFrame:

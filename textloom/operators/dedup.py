@@ -8,21 +8,23 @@ in a bucket belong to one cluster, and the smallest id of a cluster stays.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from textloom.functions.text import words
 from textloom.operators.components import components
+from textloom.plans.barrier import computed
 from textloom.plans.checks import require_columns
-from textloom.plans.lineage import durable, once
+from textloom.plans.lexicon import flat_lists, row_parts, to_lists
+from textloom.plans.lineage import durable
 from textloom.plans.skew import key_weights, lookup_join
 
 PRIME = (1 << 31) - 1
+# The usual parameters of the command-line tool.
 NUM_PERM, THRESHOLD, BANDS, ROWS, NGRAM = 112, 0.75, 14, 8, 5
-_BLOCK = 4096            # shingles hashed at a time, so memory does not follow text length
-_CACHE_WORDS = 1 << 20   # words remembered per worker
 
 
 def _hex32(s: str) -> int:
@@ -36,51 +38,50 @@ def permutations(num_perm: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(mul, dtype=np.int64), np.array(add, dtype=np.int64)
 
 
-class _WordHashes(dict):
-    """Word -> hash below PRIME, remembered; emptied when it has grown too large."""
+def _word_hashes(words: list[str]) -> np.ndarray:
+    return np.array([_hex32(w) % PRIME for w in words], dtype=np.int64)
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-        h = self[word] = _hex32(word) % PRIME
-        return h
 
+def _sets(lists: pa.Array, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """``(i, j, hashes, offsets)``: the distinct n-gram hashes of rows ``i:j``, sorted by row.
 
-def _shingler(n: int) -> Callable[[str], np.ndarray]:
-    """A function from a text to the distinct hashes of its word n-grams."""
+    Words are hashed once per batch; all else runs over the words of many rows at once.
+    """
     factors = np.array([1 + _hex32(f"pos{j}") % (PRIME - 1) for j in range(n)], dtype=np.int64)
-    known = _WordHashes()
-
-    def shingles_of(text: str) -> np.ndarray:
-        h = np.array([known[w] for w in text.split()], dtype=np.int64)
-        count = len(h) - n + 1
-        if count <= 0:
-            return np.empty(0, dtype=np.int64)
-        mixed = sum(h[j : j + count] * factors[j] % PRIME for j in range(n)) % PRIME
-        return np.unique(mixed)
-
-    return shingles_of
-
-
-def _minima(hashes: np.ndarray, mul: np.ndarray, add: np.ndarray) -> np.ndarray:
-    low = np.full(len(mul), PRIME, dtype=np.int64)
-    for i in range(0, len(hashes), _BLOCK):
-        part = (hashes[i : i + _BLOCK, None] * mul + add) % PRIME
-        np.minimum(low, part.min(axis=0), out=low)
-    return low
+    found, at, _ = flat_lists(lists)
+    coded = found.dictionary_encode()
+    known = _word_hashes(coded.dictionary.to_pylist())
+    h = known[coded.indices.to_numpy(zero_copy_only=False)] if len(found) else np.zeros(0, np.int64)
+    for i, j in row_parts(at):
+        counts = np.maximum(np.diff(at[i:j + 1]) - n + 1, 0)
+        row = np.repeat(np.arange(j - i), counts)
+        first = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(at[i:j], counts)
+        mixed = np.zeros(len(first), np.int64)
+        for k in range(n):
+            mixed += h[first + k] * factors[k] % PRIME
+        mixed %= PRIME
+        order = np.lexsort((mixed, row))
+        row, mixed = row[order], mixed[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (mixed[1:] != mixed[:-1])
+        row, mixed = row[new], mixed[new]
+        yield i, j, mixed, np.searchsorted(row, np.arange(j - i + 1))
 
 
 def shingles(df: DataFrame, n: int = NGRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, shingles)``: the distinct hashes of a document's word n-grams."""
     require_columns(df, id_col, text_col)
 
-    @F.pandas_udf("array<int>")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        shingles_of = _shingler(n)
-        for s in parts:
-            yield s.map(shingles_of, na_action="ignore")
+    @F.arrow_udf("array<int>")
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for lists in parts:
+            valid = lists.is_valid().to_numpy(zero_copy_only=False)
+            done = list(_sets(lists, n))
+            sizes = np.concatenate([np.diff(d[3]) for d in done]) if done else np.zeros(0, np.int64)
+            items = np.concatenate([d[2] for d in done]) if done else np.zeros(0, np.int64)
+            yield to_lists(items, np.concatenate([[0], np.cumsum(sizes)]), valid, pa.int32())
 
-    return df.select(id_col, once(run)(F.col(text_col)).alias("shingles"))
+    return computed(df, {"__s": run(words(text_col))}, [id_col]).withColumnRenamed("__s", "shingles")
 
 
 def signatures(
@@ -90,15 +91,22 @@ def signatures(
     """``(id_col, signature, *keep)``; null for a text of fewer than ``n`` words."""
     require_columns(df, id_col, text_col, *keep)
 
-    @F.pandas_udf("array<int>")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        shingles_of = _shingler(n)
+    @F.arrow_udf("array<int>")
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         mul, add = permutations(num_perm)
-        for s in parts:
-            found = s.map(shingles_of, na_action="ignore")
-            yield found.map(lambda h: _minima(h, mul, add) if len(h) else None, na_action="ignore")
+        for lists in parts:
+            low = np.zeros((len(lists), num_perm), np.int64)
+            some = np.zeros(len(lists), bool)
+            for i, j, hashes, at in _sets(lists, n):
+                full = np.flatnonzero(np.diff(at))
+                some[i + full] = True
+                if len(full):
+                    for k in range(num_perm):
+                        low[i + full, k] = np.minimum.reduceat((hashes * mul[k] + add[k]) % PRIME, at[full])
+            sizes = np.where(some, num_perm, 0)
+            yield to_lists(low[some].ravel(), np.concatenate([[0], np.cumsum(sizes)]), some, pa.int32())
 
-    return df.select(id_col, once(run)(F.col(text_col)).alias("signature"), *keep)
+    return computed(df, {"__s": run(words(text_col))}, [id_col, *keep]).select(id_col, F.col("__s").alias("signature"), *keep)
 
 
 def _band_keys(b: int, r: int, *scope: str) -> list[Column]:
@@ -199,38 +207,62 @@ def _same_signature(
 
 
 def _verified(
-    banded: DataFrame, sets: DataFrame, id_col: str, threshold: float, heavy_floor: int | None
+    met: DataFrame, sets: DataFrame, id_col: str, threshold: float, heavy_floor: int | None
 ) -> DataFrame:
-    """Edges between bucket members whose shingle sets reach the threshold.
+    """Edges that join exactly what all similar pairs of all buckets would join.
 
-    Members that differ from their bucket's smallest id are compared among themselves
-    in the next round, until each one is attached or stands alone: no bucket is cut off
-    after some number of comparisons, and none is compared pair by pair.
+    First each member is compared with its bucket's smallest id.  Then only members that
+    lie outside their bucket's largest cluster are left; they meet the bucket's other
+    clusters through their prefix shingles: of two sets at the threshold, the
+    ``n - ceil(threshold n) + 1`` smallest elements always share one, so members that are
+    unlike do not meet, and no number of rounds depends on the size of a bucket.
     """
-    rest, found = durable(banded, "rest"), None
-    while True:
-        buckets = rest.groupBy("band", "key").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("w"))
-        pairs = durable(
-            lookup_join(rest, durable(buckets.where("w > 1"), "buckets"), ["band", "key"], "w", heavy_floor=heavy_floor)
-            .where("id <> b").withColumnRenamed("id", "a"),
-            "round",
-        )
-        if pairs.isEmpty():
-            return found
-        judged = durable(jaccard(pairs.select("a", "b").distinct(), sets, id_col, heavy_floor), "judged")
-        near = judged.where(F.col("jaccard") >= threshold).select("a", "b")
-        found = near if found is None else found.unionByName(near)
-        rest = durable(
-            pairs.join(near, ["a", "b"], "left_anti").select(F.col("a").alias("id"), "band", "key"), "rest"
-        )
+    stars = durable(jaccard(_stars(met, "id", heavy_floor), sets, id_col, heavy_floor), "judged")
+    near = stars.where(F.col("jaccard") >= threshold).select("a", "b")
+    found = components(near, heavy_floor=heavy_floor).withColumnRenamed("cluster", "c")
+    placed = durable(
+        met.join(found, "id", "left").select("band", "key", "id", F.coalesce("c", "id").alias("cluster")), "placed"
+    )
+    sizes = placed.groupBy("band", "key", "cluster").agg(F.count(F.lit(1)).alias("w"))
+    mains = durable(
+        sizes.groupBy("band", "key").agg(
+            F.max_by("cluster", F.struct("w", "cluster")).alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("w").alias("w")
+        ).where("parts > 1").drop("parts"),
+        "open-buckets",
+    )
+    rows = lookup_join(placed, mains, ["band", "key"], "w", heavy_floor=heavy_floor)
+    size = F.size("shingles")
+    prefix = F.slice(F.array_sort("shingles"), 1, size - F.ceil(F.lit(threshold) * size).cast("int") + 1)
+    heads = sets.select(F.col(id_col).alias("id"), prefix.alias("prefix"))
+    rows = durable(
+        rows.join(heads, "id").select(
+            "band", "key", "id", "cluster", (F.col("cluster") != F.col("main")).alias("stray"), F.explode("prefix").alias("e")
+        ),
+        "prefixes",
+    )
+    strays = rows.where("stray").select("band", "key", "e", F.col("id").alias("a"), F.col("cluster").alias("ca"))
+    pairs = (
+        strays.join(rows, ["band", "key", "e"]).where("ca <> cluster and (not stray or a > id)")
+        .select("a", F.col("id").alias("b")).distinct()
+    )
+    late = jaccard(pairs, sets, id_col, heavy_floor).where(F.col("jaccard") >= threshold).select("a", "b")
+    return near.unionByName(late)
+
+
+def bands_for(threshold: float, num_perm: int = NUM_PERM) -> tuple[int, int]:
+    """Bands and rows whose turning point ``(1 / b) ** (1 / r)`` lies nearest the threshold."""
+    if not 0 < threshold <= 1:
+        raise ValueError("threshold must lie in (0, 1]")
+    fits = [(num_perm // r, r) for r in range(1, num_perm + 1)]
+    return min(fits, key=lambda x: (abs((1 / x[0]) ** (1 / x[1]) - threshold), x[1]))
 
 
 def duplicate_clusters(
     df: DataFrame,
     num_perm: int = NUM_PERM,
-    threshold: float = THRESHOLD,
-    b: int = BANDS,
-    r: int = ROWS,
+    threshold: float | None = None,
+    b: int | None = None,
+    r: int | None = None,
     n: int = NGRAM,
     verify: bool = False,
     scope_col: str | None = None,
@@ -240,12 +272,23 @@ def duplicate_clusters(
 ) -> DataFrame:
     """``(id_col, cluster)`` of every document that has a duplicate.
 
-    With ``b`` and ``r`` given, sharing a bucket decides, as in the usual tool, and
-    ``threshold`` has no effect.  ``verify=True`` also demands that the exact Jaccard
-    similarity reaches ``threshold``.  ``scope_col`` keeps clusters within one value of
-    a column (a file, say); the default is the whole corpus.
+    Sharing a bucket decides, as in the usual tool.  Without ``verify``, a ``threshold``
+    sets the bands and rows (``bands_for``) and cannot be given together with them; the
+    default is 14 bands of 8.  ``verify=True`` demands that the exact Jaccard similarity of
+    bucket members reaches ``threshold`` (0.75 by default).  One edge per member joins
+    what all pairs of a bucket would, so chains of neighbours would add nothing.
+    ``scope_col`` keeps clusters within one value of a column (a file, say); the default
+    is the whole corpus.  Rows that share an id are one document.
     """
     require_columns(df, id_col, text_col, *([scope_col] if scope_col else []))
+    if (b is None) != (r is None):
+        raise ValueError("give both b and r, or neither")
+    if threshold is not None and not verify:
+        if b is not None:
+            raise ValueError("without verify, give either a threshold or b and r")
+        b, r = bands_for(threshold, num_perm)
+    if b is None:
+        b, r = BANDS, ROWS
     _check_bands(num_perm, b, r)
     banded, edges = _same_signature(df, num_perm, b, r, n, id_col, text_col, scope_col, heavy_floor)
     if not verify:
@@ -258,7 +301,7 @@ def duplicate_clusters(
         )
         ids = met.select(F.col("id").alias(id_col)).distinct()
         sets = durable(shingles(df.join(ids, id_col, "left_semi"), n, id_col, text_col), "shingles")
-        near = _verified(met, sets, id_col, threshold, heavy_floor)
+        near = _verified(met, sets, id_col, THRESHOLD if threshold is None else threshold, heavy_floor)
     all_edges = edges if near is None else edges.unionByName(near)
     return components(all_edges, heavy_floor=heavy_floor).withColumnRenamed("id", id_col)
 

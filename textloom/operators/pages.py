@@ -8,11 +8,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from textloom.functions.markup import first, has_class, html_nodes, inside, select, text_of
 from textloom.functions.text import hrefs, html_to_text, record_filename, remove_label, url_join, url_without_tail
+from textloom.plans.barrier import computed
 from textloom.plans.checks import require_columns
 from textloom.plans.lineage import durable
 from textloom.plans.skew import balanced_join
 
 
+@dataclass(frozen=True)
+class NextRule:
+    """Where a listing page names its next page.  The defaults are the site's fixed values."""
+
+    box: str = "wp-pagenavi"
+    current: str = "current"
+    next_link: str = "nextpostslink"
+    page: str = "page"
+
+
 @dataclass(frozen=True)
 class BookTemplate:
     """Where a book page keeps its fields.  The defaults are the site's fixed values."""
@@ -116,7 +127,7 @@ def book_records(pages: DataFrame, template: BookTemplate = BookTemplate()) -> D
     links = select(n, lambda x: (x["tag"] == "a") & inside(x, category_box))
     downloads, broken = _downloads(t)
     return (
-        pages.where("html is not null").select("url", html_nodes("html").alias("nodes"))
+        computed(pages.where("html is not null"), {"nodes": html_nodes("html")}, ["url"])
         .withColumn("__broken", broken)
         .where("not __broken")
         .select(
@@ -175,7 +186,7 @@ def link_tiers(pages: DataFrame, rule: LinkRule = LinkRule()) -> DataFrame:
     tier3 = F.filter(hrefs("html"), lambda h: h.contains("/") & rule.is_plain_book(h))
     none = F.array().cast("array<string>")
     return (
-        pages.withColumn("nodes", html_nodes(F.when(marked, F.col("html"))))
+        computed(pages, {"nodes": html_nodes(F.when(marked, F.col("html")))})
         .withColumns({"t1": tier1, "titled": titled})
         .withColumn("t2", tier2)
         .withColumn(
@@ -215,8 +226,7 @@ def category_urls(pages: DataFrame, rule: LinkRule = LinkRule()) -> DataFrame:
         n, lambda a: (a["tag"] == "a") & a["href"].contains(rule.category) & F.exists(entries, lambda li: inside(a, li))
     )
     return (
-        pages.where(F.col("html").contains(rule.menu_class))
-        .select(html_nodes("html").alias("nodes"))
+        computed(pages.where(F.col("html").contains(rule.menu_class)), {"nodes": html_nodes("html")}, [])
         .select(F.explode(F.transform(links, lambda a: a["href"])).alias("category"))
         .distinct()
     )
@@ -225,19 +235,19 @@ def category_urls(pages: DataFrame, rule: LinkRule = LinkRule()) -> DataFrame:
 # --- pagination --------------------------------------------------------------------------
 
 
-def next_edges(pages: DataFrame, navi_class: str = "wp-pagenavi") -> DataFrame:
+def next_edges(pages: DataFrame, rule: NextRule = NextRule()) -> DataFrame:
     """``(src, dst)``: a page and the page its pagination block names as the next one."""
     require_columns(pages, "url", "html")
     n = F.col("nodes")
-    navi = first(select(n, lambda x: (x["tag"] == "div") & has_class(x, navi_class)))
-    current = first(select(n, lambda x: (x["tag"] == "span") & has_class(x, "current") & inside(x, F.col("navi"))))
+    navi = first(select(n, lambda x: (x["tag"] == "div") & has_class(x, rule.box)))
+    current = first(select(n, lambda x: (x["tag"] == "span") & has_class(x, rule.current) & inside(x, F.col("navi"))))
     sibling = first(
         select(
             n,
             lambda x: (x["parent"] == F.col("current")["parent"]) & (x["idx"] > F.col("current")["idx"]) & (x["tag"] != "#text"),
         )
     )
-    follows = F.when((F.col("sibling")["tag"] == "a") & F.col("sibling")["href"].contains("page"), F.col("sibling")["href"])
+    follows = F.when((F.col("sibling")["tag"] == "a") & F.col("sibling")["href"].contains(rule.page), F.col("sibling")["href"])
 
     def anchor(test) -> Column:
         return first(
@@ -245,11 +255,10 @@ def next_edges(pages: DataFrame, navi_class: str = "wp-pagenavi") -> DataFrame:
         )["href"]
 
     href = F.coalesce(
-        follows, anchor(lambda x: has_class(x, "nextpostslink")), anchor(lambda x: F.array_contains(x["rel"], "next"))
+        follows, anchor(lambda x: has_class(x, rule.next_link)), anchor(lambda x: F.array_contains(x["rel"], "next"))
     )
     return (
-        pages.where(F.col("html").contains(navi_class))
-        .select("url", html_nodes("html").alias("nodes"))
+        computed(pages.where(F.col("html").contains(rule.box)), {"nodes": html_nodes("html")}, ["url"])
         .withColumn("navi", navi).where("navi is not null")
         .withColumn("current", current).withColumn("sibling", sibling)
         .select(F.col("url").alias("src"), F.nullif(href, F.lit("")).alias("href"))
@@ -304,13 +313,19 @@ def follow_chain(
 # --- the catalogue -------------------------------------------------------------------------
 
 
-def frontier_join(frontier: DataFrame, pages: DataFrame, url_col: str = "url") -> DataFrame:
-    """Stored pages of a frontier of URLs; both sides are matched without query and
-    fragment.  URLs that were never fetched give no row."""
+def url_requested(url: Column | str) -> Column:
+    """A URL as it is requested: without its fragment."""
+    return F.regexp_replace(url, "(?s)#.*$", "")
+
+
+def frontier_join(frontier: DataFrame, pages: DataFrame, url_col: str = "url", ignore_query: bool = False) -> DataFrame:
+    """Stored pages of a frontier of URLs; fragments are not requested and do not count,
+    nor does the query with ``ignore_query``.  URLs that were never fetched give no row."""
     require_columns(frontier, url_col)
     require_columns(pages, "url", "html")
-    wanted = frontier.select(url_without_tail(url_col).alias("__u")).distinct()
-    return balanced_join(pages.withColumn("__u", url_without_tail("url")), wanted, ["__u"]).drop("__u")
+    key = url_without_tail if ignore_query else url_requested
+    wanted = frontier.select(key(url_col).alias("__u")).distinct()
+    return balanced_join(pages.withColumn("__u", key("url")), wanted, ["__u"]).drop("__u")
 
 
 def category_books(pages: DataFrame, categories: DataFrame, rule: LinkRule = LinkRule(), root: str | None = None) -> DataFrame:
@@ -341,7 +356,7 @@ def crawl_catalog(
     categories = category_urls(pages.where(F.col("url") == home), rule)
     books = durable(category_books(pages, categories, rule, home), "category-books")
     unique = books.where("book is not null").select(F.col("book").alias("url")).distinct()
-    return book_records(pages.join(unique, "url", "left_semi"), template)
+    return book_records(frontier_join(unique, pages), template)
 
 
 def download_formats(meta: DataFrame, id_col: str = "url") -> DataFrame:

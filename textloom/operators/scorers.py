@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, RegexTokenizer
@@ -22,8 +23,18 @@ from pyspark.sql.types import ArrayType, DoubleType
 from textloom.functions.arrays import label_of, softmax, top1
 from textloom.functions.text import collapse_newlines, words
 from textloom.plans.checks import require_columns
-from textloom.plans.lineage import durable, once
-from textloom.plans.lexicon import attach_by_word, explode_words, map_words, ship, within_limits
+from textloom.plans.barrier import computed
+from textloom.plans.lineage import durable
+from textloom.plans.lexicon import (
+    attach_by_text,
+    attach_by_word,
+    distinct_texts,
+    explode_words,
+    map_words,
+    ship,
+    sum_rows,
+    within_limits,
+)
 
 Scorer = Callable[[DataFrame, str, str], DataFrame]
 
@@ -41,19 +52,18 @@ class NaiveBayes:
     in_place: bool      # weights are small enough to ship to every worker
 
     def raw(self, df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-        """Add ``raw``: log scores per class in units of ``1 / UNIT``; null for a null text."""
-        require_columns(df, text_col, id_col)
+        """Add ``raw``: log scores per class in units of ``1 / UNIT``; null for a null text.
+        They depend on the text alone."""
+        require_columns(df, text_col)
         if self.in_place:
-            return df.withColumn("raw", self.raw_column(F.col(text_col)))
-        prior = F.array(*[F.lit(p).cast("long") for p in self.priors])
-        known = attach_by_word(explode_words(df, id_col, text_col), self.weights).where("w0 is not null")
-        sums = known.groupBy(id_col).agg(*[F.sum(f"w{i}").alias(f"__s{i}") for i in range(len(self.priors))])
-        total = F.array(*[
-            F.coalesce(F.col(f"__s{i}"), F.lit(0)) + F.lit(p).cast("long") for i, p in enumerate(self.priors)
-        ])
-        scored = df.join(sums, id_col, "left")
-        raw = F.when(F.col(text_col).isNotNull(), F.coalesce(total, prior))
-        return scored.select(*df.columns, raw.alias("raw"))
+            return computed(df, {"raw": self.raw_column(F.col(text_col))})
+        texts = distinct_texts(df, text_col)
+        known = attach_by_word(explode_words(texts, "digest", "text"), self.weights).where("w0 is not null")
+        k = range(len(self.priors))
+        sums = known.groupBy("digest").agg(*[F.sum(f"w{i}").alias(f"s{i}") for i in k])
+        total = F.array(*[F.coalesce(F.col(f"s{i}"), F.lit(0)) + F.lit(self.priors[i]).cast("long") for i in k])
+        scores = durable(texts.select("digest", "w").join(sums, "digest", "left").select("digest", "w", total.alias("raw")), "scores")
+        return attach_by_text(df, text_col, scores, "raw")
 
     def raw_column(self, text: Column) -> Column:
         """The same as a column, for a model that fits every worker: no shuffle."""
@@ -61,8 +71,13 @@ class NaiveBayes:
             raise ValueError("the model is too large to ship; use raw()")
         priors = np.array(self.priors, dtype=np.int64)
         shipped = ship(self.weights, "word", [f"w{i}" for i in range(len(self.priors))])
-        score = map_words(shipped, "array<bigint>", lambda v, at: priors + v[at[at >= 0]].sum(axis=0))
-        return score(text)
+
+        def score(values: np.ndarray, at: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            none = np.zeros((1, len(priors)), np.int64)  # an unknown word, at -1, adds nothing
+            rows = sum_rows(np.concatenate([values, none])[at], offsets) + priors
+            return rows.ravel(), np.arange(len(rows) + 1) * len(priors)
+
+        return map_words(shipped, "array<bigint>", score, pa.int64())(text)
 
     def __call__(self, df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
         return self.raw(df, text_col, id_col).withColumn("scores", probabilities("raw")).drop("raw")
@@ -155,11 +170,11 @@ def fit_linear(
 def batch_model(make_predict_fn: Callable, batch_size: int = 256) -> Scorer:
     """A model brought by the user: ``make_predict_fn()`` loads it once per worker and
     returns a function from an array of texts to an array of class probabilities."""
-    predict = once(predict_batch_udf(make_predict_fn, return_type=ArrayType(DoubleType()), batch_size=batch_size))
+    predict = predict_batch_udf(make_predict_fn, return_type=ArrayType(DoubleType()), batch_size=batch_size)
 
     def score(frame: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
         scores = predict(F.coalesce(collapse_newlines(text_col), F.lit("")))
-        return frame.withColumn("scores", F.when(F.col(text_col).isNotNull(), scores))
+        return computed(frame, {"scores": F.when(F.col(text_col).isNotNull(), scores)})
 
     return score
 

@@ -53,17 +53,10 @@ def corpus_summary(
 
 
 def domain_distribution(df: DataFrame, domain_col: str = "domains") -> DataFrame:
-    """Documents and share per domain.
-
-    After the grouped count there is one row per class name; gathering these is what
-    gives the total without a second pass over the documents.
-    """
+    """Documents and share per domain; the total is a scalar subquery over the counts."""
     require_columns(df, domain_col)
     counts = df.groupBy(domain_col).agg(F.count(F.lit(1)).alias("n"))
-    packed = counts.agg(F.sum("n").alias("total"), F.collect_list(F.struct(domain_col, "n")).alias("rows"))
-    return packed.select("total", F.inline("rows")).select(
-        domain_col, "n", (F.col("n") / F.col("total")).alias("share")
-    )
+    return counts.select(domain_col, "n", (F.col("n") / counts.agg(F.sum("n")).scalar()).alias("share"))
 
 
 def concat_items(

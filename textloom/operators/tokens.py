@@ -6,18 +6,25 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textloom.functions.arrays import attention_mask, pad_right
 from textloom.functions.text import WS_CHARS, word_count
-from textloom.plans.checks import require_columns
-from textloom.plans.lineage import durable, once
-from textloom.plans.lexicon import attach_by_word, explode_words, fits_broadcast, map_words, ship
+from textloom.plans.checks import require_columns, require_unique
+from textloom.plans.barrier import computed
+from textloom.plans.lineage import durable
+from textloom.plans.lexicon import (
+    attach_by_text,
+    attach_by_word,
+    distinct_texts,
+    explode_words,
+    fits_broadcast,
+    map_words,
+    ship,
+)
 from textloom.plans.ordering import with_row_index
 
-# Model names whose byte-pair encoder is the one named here.
-BPE_OF_MODEL = {"gpt-4": "cl100k_base", "gpt-3.5-turbo": "cl100k_base"}
-
 # runs of letters, runs of digits, single signs
 PRE_TOKEN = r"\p{L}+|\p{N}+|[^" + WS_CHARS + r"\p{L}\p{N}]"
 
@@ -32,39 +39,14 @@ def _python_counter(load: Callable[[], Callable[[list[str]], list[int]]]) -> Cal
             known = s.dropna()
             yield pd.Series(lengths(known.tolist()), index=known.index, dtype="Int32").reindex(s.index)
 
-    return once(count)
-
-
-def _bpe(name: str):
-    def load():
-        import tiktoken
-
-        enc = tiktoken.get_encoding(name)
-        return lambda texts: [len(t) for t in enc.encode_batch(texts, disallowed_special=())]
-
-    return load
-
-
-def _tokenizer_file(path: str):
-    def load():
-        from pyspark import SparkFiles
-        from tokenizers import Tokenizer
-        import os
-
-        local = path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
-        tok = Tokenizer.from_file(local)
-        return lambda texts: [len(e.ids) for e in tok.encode_batch(texts, add_special_tokens=False)]
-
-    return load
+    return count
 
 
 def token_counter(tokenizer: str | Callable = "words") -> Callable[[Column], Column]:
     """Column function for a tokenizer.
 
-    ``words`` and ``regex`` are built-in expressions; a model name in
-    ``BPE_OF_MODEL`` uses that encoder; ``*.json`` is a tokenizer file (ship it with
-    ``SparkContext.addFile``); a callable is a loader that returns a function from a
-    list of texts to their token counts.
+    ``words`` and ``regex`` are built-in expressions; a callable is a loader that
+    returns a function from a list of texts to their token counts.
     """
     if callable(tokenizer):
         return _python_counter(tokenizer)
@@ -72,10 +54,6 @@ def token_counter(tokenizer: str | Callable = "words") -> Callable[[Column], Col
         return word_count
     if tokenizer == "regex":
         return lambda c: F.regexp_count(c, F.lit(PRE_TOKEN))
-    if tokenizer in BPE_OF_MODEL:
-        return _python_counter(_bpe(BPE_OF_MODEL[tokenizer]))
-    if tokenizer.endswith(".json"):
-        return _python_counter(_tokenizer_file(tokenizer))
     raise ValueError(f"unknown tokenizer {tokenizer!r}")
 
 
@@ -84,7 +62,7 @@ def count_tokens(
 ) -> DataFrame:
     """``df`` with the number of tokens per row, special tokens not counted."""
     require_columns(df, text_col)
-    return df.withColumn(name, token_counter(tokenizer)(F.col(text_col)))
+    return computed(df, {name: token_counter(tokenizer)(F.col(text_col))})
 
 
 def build_vocabulary(df: DataFrame, text_col: str = "text", first_id: int = 0) -> DataFrame:
@@ -116,25 +94,27 @@ def encode(
     if in_place:
         shipped = ship(vocabulary, "word", ["id"])
 
-        def ids_of(values: np.ndarray, at: np.ndarray) -> list[int]:
-            found = at[at >= 0] if unk_id is None else at
-            ids = np.where(found >= 0, values[found, 0], -1 if unk_id is None else unk_id)
-            return [*head, *ids.tolist()]
+        def ids_of(values: np.ndarray, at: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            stand_in = np.array([-1 if unk_id is None else unk_id], np.int64)  # an unknown word is at -1
+            ids = np.concatenate([values[:, 0], stand_in])[at]
+            used = np.ones(len(at), bool) if unk_id is not None else at >= 0
+            ends = np.concatenate([[0], np.cumsum(used)])[offsets]
+            ids = np.insert(ids[used], np.repeat(ends[:-1], len(head)), np.tile(head, len(offsets) - 1).astype(np.int64))
+            return ids, ends + np.arange(len(offsets)) * len(head)
 
-        ids = df.select(id_col, map_words(shipped, "array<int>", ids_of)(F.col(text_col)).alias("input_ids"))
+        column = map_words(shipped, "array<int>", ids_of, pa.int32())(F.col(text_col))
+        ids = computed(df, {"__ids": column}).select(id_col, F.col("__ids").alias("input_ids"))
     else:
-        found = attach_by_word(explode_words(df, id_col, text_col), vocabulary)
+        texts = distinct_texts(df, text_col)
+        found = attach_by_word(explode_words(texts, "digest", "text"), vocabulary)
         token = F.coalesce("id", F.lit(unk_id).cast("int"))
-        rows = found.where(token.isNotNull()).groupBy(id_col).agg(
+        rows = found.where(token.isNotNull()).groupBy("digest").agg(
             F.array_sort(F.collect_list(F.struct("pos", token.alias("t")))).alias("ts")
         )
         body = F.coalesce(F.transform("ts", lambda x: x["t"]), F.array().cast("array<int>"))
         whole = F.concat(F.array(*[F.lit(h) for h in head]).cast("array<int>"), body)
-        ids = (
-            df.select(id_col, F.col(text_col).isNotNull().alias("has"))
-            .join(rows, id_col, "left")
-            .select(id_col, F.when(F.col("has"), whole).alias("input_ids"))
-        )
+        coded = durable(texts.select("digest", "w").join(rows, "digest", "left").select("digest", "w", whole.alias("__ids")), "ids")
+        ids = attach_by_text(df, text_col, coded, "__ids").select(id_col, F.col("__ids").alias("input_ids"))
     return ids.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1)))
 
 
@@ -175,7 +155,9 @@ def token_offsets(df: DataFrame, map_batch: int = 1000, id_col: str = "doc_id",
     over it stay small; token arrays take no part, only their lengths, which are stored
     first so that nothing is tokenised twice."""
     require_columns(df, id_col, ids_col)
-    return _offsets(durable(df.select(id_col, _length(ids_col)), "lengths"), map_batch, id_col)
+    lengths = durable(df.select(id_col, _length(ids_col)), "lengths")
+    require_unique(lengths.select(id_col), id_col)
+    return _offsets(lengths, map_batch, id_col)
 
 
 def pack(
@@ -184,13 +166,14 @@ def pack(
     """``(batch, block, input_ids, attention_mask, labels)``: the token arrays of each
     batch put end to end and cut into blocks; the rest of a batch is dropped.
 
-    Token arrays are stored once.  Only pieces that land in a whole block are shuffled
-    to it, and a block collects at most ``block_size`` of them.
+    Ids must be unique.  Token arrays are stored once and meet their offsets by id; pieces that land in
+    a whole block are cut out and shuffled to it, and a block collects at most ``block_size`` of them.
     """
     require_columns(df, id_col, ids_col)
     if block_size < 1:
         raise ValueError("block_size must be positive")
     stored = durable(df.select(id_col, ids_col, _length(ids_col)), "tokens")
+    require_unique(stored.select(id_col), id_col)
     at = _offsets(stored.select(id_col, "n"), map_batch, id_col).drop("row_idx")
     rows = stored.drop("n").join(at.where("n > 0"), id_col)
     size = F.lit(block_size).cast("long")

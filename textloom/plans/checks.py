@@ -15,3 +15,9 @@ def require_absent(df: DataFrame, *names: str) -> None:
     taken = [n for n in names if n in df.columns]
     if taken:
         raise ValueError(f"column(s) {taken} would be overwritten; rename them first")
+
+
+def require_unique(df: DataFrame, name: str) -> None:
+    """One narrow count per key; raises if a key repeats or is null."""
+    if not df.groupBy(name).count().where(f"count > 1 or `{name}` is null").isEmpty():
+        raise ValueError(f"{name} must be unique and not null")

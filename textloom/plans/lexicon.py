@@ -1,9 +1,10 @@
 """Turning words into numbers through a table with one row per word.
 
 A table of at most ``MAX_BROADCAST_WORDS`` rows (checked) is shipped once to every
-worker, and documents are mapped where they lie: no shuffle.  A larger table is
-joined to the exploded words instead, hot words split over several tasks.  Both
-ways give the same values.
+worker, and documents are mapped where they lie: no shuffle.  For a larger table the
+words of every distinct text are exploded and joined instead, hot words split over
+several tasks, and the result is joined back to the rows by the text's digest.  A result
+depends on the text alone in both ways, whatever the rows' ids.
 """
 
 from __future__ import annotations
@@ -11,15 +12,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textloom.functions.text import words
-from textloom.plans.lineage import durable, once
-from textloom.plans.skew import balanced_join
+from textloom.plans.lineage import durable
+from textloom.plans.skew import balanced_join, lookup_join
 
 MAX_BROADCAST_WORDS = 500_000
 MAX_BROADCAST_BYTES = 64 << 20
+_WORDS_AT_ONCE = 1 << 20
 
 
 def within_limits(rows: int, word_bytes: int, width: int) -> bool:
@@ -40,24 +43,63 @@ def ship(table: DataFrame, word_col: str, value_cols: Sequence[str]):
     return table.sparkSession.sparkContext.broadcast((position, values))
 
 
+def flat_lists(lists: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """``(items, offsets, valid)`` of a list column; a null list has no items."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return lists.flatten(), np.concatenate([[0], np.cumsum(sizes)]), lists.is_valid().to_numpy(zero_copy_only=False)
+
+
+def row_parts(offsets: np.ndarray, most: int = _WORDS_AT_ONCE) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that hold about ``most`` items, at least one row each."""
+    n, i = len(offsets) - 1, 0
+    while i < n:
+        j = min(max(int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1, i + 1), n)
+        yield i, j
+        i = j
+
+
+def sum_rows(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sums of ``values`` between offsets; zero for a row without items."""
+    out = np.zeros((len(offsets) - 1, *values.shape[1:]), values.dtype)
+    full = np.flatnonzero(np.diff(offsets))
+    if len(full):
+        out[full] = np.add.reduceat(values, offsets[full], axis=0)
+    return out
+
+
+def to_lists(items: np.ndarray, offsets: np.ndarray, valid: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(
+        pa.array(offsets, pa.int32()), pa.array(items, kind), mask=pa.array(~valid) if len(valid) else None
+    )
+
+
 def map_words(
-    shipped, returns: str, fold: Callable[[np.ndarray, np.ndarray], np.ndarray | list]
+    shipped, returns: str, fold: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]],
+    kind: pa.DataType,
 ) -> Callable[[Column], Column]:
-    """An Arrow function: text -> ``fold(values, positions of its known words)``.
+    """An Arrow function from a text to a list of numbers.
 
-    ``fold`` also sees unknown words, as position -1.
+    ``fold(values, positions, offsets)`` gets the word positions of many rows at once
+    (-1: unknown) and returns the items of all their lists and the lists' offsets.  Only
+    the distinct words of a batch are looked up.
     """
 
-    @F.pandas_udf(returns)
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(returns)
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         position, values = shipped.value
-        for s in parts:
-            yield s.map(
-                lambda t: fold(values, np.array([position.get(w, -1) for w in t.split()], dtype=np.int64)),
-                na_action="ignore",
-            )
+        for lists in parts:
+            found, offsets, valid = flat_lists(lists)
+            coded = found.dictionary_encode()
+            known = np.array([position.get(w, -1) for w in coded.dictionary.to_pylist()], dtype=np.int64)
+            at = known[coded.indices.to_numpy(zero_copy_only=False)] if len(found) else np.zeros(0, np.int64)
+            done = [
+                fold(values, at[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) for i, j in row_parts(offsets)
+            ]
+            items = np.concatenate([d[0] for d in done]) if done else np.zeros(0, np.int64)
+            sizes = np.concatenate([np.diff(d[1]) for d in done]) if done else np.zeros(0, np.int64)
+            yield to_lists(items, np.concatenate([[0], np.cumsum(sizes)]), valid, kind)
 
-    return once(run)
+    return lambda text: run(words(text))
 
 
 def explode_words(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -68,3 +110,22 @@ def explode_words(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def attach_by_word(tokens: DataFrame, table: DataFrame) -> DataFrame:
     """Left join of exploded words to a word table, safe against frequent words."""
     return balanced_join(durable(tokens, "words"), table, ["word"], "left")
+
+
+def text_digest(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
+
+
+def distinct_texts(df: DataFrame, text_col: str) -> DataFrame:
+    """``(digest, text, w)``: every text once, with the number of its rows; stored."""
+    text = F.col(text_col)
+    rows = df.where(text.isNotNull()).select(text_digest(text).alias("digest"), text.alias("text"))
+    return durable(rows.groupBy("digest").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("w")), "texts")
+
+
+def attach_by_text(df: DataFrame, text_col: str, results: DataFrame, name: str) -> DataFrame:
+    """``df`` with ``results[name]`` of its text (``digest``, ``w`` and ``name``); null for a
+    null text.  Rows and ids may repeat."""
+    keyed = df.withColumn("__digest", text_digest(F.col(text_col)))
+    right = results.select(F.col("digest").alias("__digest"), "w", name)
+    return lookup_join(keyed, right, ["__digest"], "w", "left").select(*df.columns, name)

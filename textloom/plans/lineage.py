@@ -8,6 +8,7 @@ carries real sizes, so the planner picks join strategies from facts.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,17 +22,10 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(_KEY, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError(f"set {_KEY} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="textloom-")
-    spark.conf.set(_KEY, folder)
-    return folder
-
-
-def once(udf):
-    """Keep the planner from copying a Python function into filters it infers or pushes
-    down: each copy would send the texts through Python again."""
-    return udf.asNondeterministic()
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="textloom-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -45,4 +39,13 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Remove tables that ``durable`` wrote and nothing will read again."""
+    for df in stored:
+        where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)

@@ -52,13 +52,18 @@ def lookup_join(
     parts = F.when(F.col(weight) > limit, F.ceil(F.col(weight) / limit)).otherwise(1).cast("long")
     heavy = right.where(F.col(weight) > limit).select(*on, parts.alias("__parts"))
     dealt = left.join(F.broadcast(heavy), on, "left").withColumn(
-        "__salt", F.pmod(F.xxhash64(*left.columns), F.coalesce("__parts", F.lit(1)))
+        "__salt", F.pmod(F.xxhash64(*hashable(left)), F.coalesce("__parts", F.lit(1)))
     ).drop("__parts")
     salts = F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))
     copies = right.withColumn("__salt", salts).drop(weight)
     return dealt.join(copies, [*on, "__salt"], how).drop("__salt")
 
 
+def hashable(df: DataFrame) -> list[str]:
+    """The columns that can be hashed: those without a map inside."""
+    return [f"`{f.name}`" for f in df.schema if "map<" not in f.dataType.simpleString()]
+
+
 def key_weights(df: DataFrame, on: Sequence[str], weight: str) -> DataFrame:
     """Rows per key; the map side counts first, so a hot key costs one row per task."""
     return df.groupBy(*on).agg(F.count(F.lit(1)).alias(weight))

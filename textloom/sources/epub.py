@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import io
 import posixpath
 import re
@@ -29,8 +30,16 @@ def _documents(blob: bytes) -> list[str]:
             for e in ElementTree.fromstring(z.read(package)).iter()
             if e.tag.endswith("}item") and "html" in e.attrib.get("media-type", "")
         ]
-        present = set(z.namelist())
-        return [re.sub(r"^\s*<\?xml.*?\?>", "", z.read(n).decode("utf-8", "replace")) for n in listed if n in present]
+        return [re.sub(r"^\s*<\?xml.*?\?>", "", _decoded(z.read(n))) for n in listed]  # a missing member is an error
+
+
+def _decoded(raw: bytes) -> str:
+    """By byte-order mark, else by the declared encoding, else UTF-8; never guessed."""
+    for mark, name in ((codecs.BOM_UTF8, "utf-8-sig"), (codecs.BOM_UTF16_LE, "utf-16"), (codecs.BOM_UTF16_BE, "utf-16")):
+        if raw.startswith(mark):
+            return raw.decode(name)
+    declared = re.match(rb"""\s*<\?xml[^>]*?encoding\s*=\s*["']([A-Za-z0-9._-]+)["']""", raw)
+    return raw.decode(declared[1].decode("ascii") if declared else "utf-8")
 
 
 def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -54,4 +63,4 @@ def epub_items(spark: SparkSession, path: str) -> DataFrame:
 
 def epub_item_texts(items: DataFrame) -> DataFrame:
     """Items with their visible text."""
-    return items.withColumn("text", html_to_text("html", all_entities=True))
+    return items.withColumn("text", html_to_text("html"))

@@ -34,15 +34,20 @@ def split_off(df: DataFrame, bad: Column, path: str) -> DataFrame:
     return df.where(~flag)
 
 
-def book_texts(books: DataFrame, id_col: str = "path", title_col: str = "title", text_col: str = "text") -> DataFrame:
-    """Book texts under their safe title.  Books that would share a file name are all
-    kept; ``n_same_name`` tells how many there are."""
+def book_texts(
+    books: DataFrame, id_col: str = "path", title_col: str = "title", text_col: str = "text",
+    default_title: str = "Unknown Title",
+) -> DataFrame:
+    """``(safe_title, n_same_name, id_col, text_col)``: book texts under their safe title.
+
+    A book without a title gets the default one.  Books that would share a file name are
+    all kept; ``n_same_name`` tells how many there are.
+    """
     require_columns(books, id_col, title_col, text_col)
-    named = books.select(id_col, safe_title(title_col).alias("safe_title"), text_col)
-    # counting and joining need keys only; texts take part in one join by id
-    keys = named.select(id_col, "safe_title")
-    counts = key_weights(keys, ["safe_title"], "n_same_name").withColumn("__w", F.col("n_same_name"))
-    return lookup_join(keys, counts, ["safe_title"], "__w").join(named.drop("safe_title"), id_col)
+    title = F.coalesce(F.col(title_col), F.lit(default_title))
+    named = books.select(safe_title(title).alias("safe_title"), id_col, text_col)
+    counts = key_weights(named, ["safe_title"], "n_same_name").withColumn("__w", F.col("n_same_name"))
+    return lookup_join(named, counts, ["safe_title"], "__w").select("safe_title", "n_same_name", id_col, text_col)
 
 
 def write_book_texts(books: DataFrame, path: str, as_files: bool = False, **cols: str) -> str:
