@@ -8,11 +8,14 @@ from textloom.llm.decontaminate import find_leaks, without_leaks
 from textloom.llm.language import fit_language_model, with_language
 from textloom.llm.mixing import fit_domain_model, fit_mix, mixed
 from textloom.llm.near_text import near_duplicates, without_near_duplicates
-from textloom.llm.queries import WEIGHTS, domain, held_out, table
+from textloom.llm.queries import domain, held_out, table
 from textloom.llm.shards import shard_documents
 from textloom.plans import durable
 
 LEAST_SCORE = 0.1  # of a language; below it a text is rejected
+# Shares of the tokens after mixing.  No document is lost for them, so shares far below a
+# domain's own would repeat all other documents many times.
+SHARES = {"q1t0": 0.70, "q0t0": 0.13, "q1t1": 0.13, "q0t1": 0.04}
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +38,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights ask: every one at least once, those of scarce
     domains more often."""
     model = fit_domain_model(docs, table(spark, sf_dir, "labels"), domain())
-    return mixed(docs, fit_mix(docs, model, WEIGHTS, least=1.0))
+    return mixed(docs, fit_mix(docs, model, SHARES, least=1.0))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
