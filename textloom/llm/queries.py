@@ -13,6 +13,7 @@ from textloom.llm.lines import repeated_lines
 from textloom.llm.mixing import document_rates, fit_domain_model, fit_mix
 from textloom.llm.near_text import near_duplicates
 from textloom.llm.near_vectors import near_vectors
+from textloom.llm.oracles import ORACLES
 from textloom.llm.pages import extract_pages
 from textloom.llm.repeats import repeated_spans
 from textloom.llm.shards import assign_shards
@@ -111,4 +112,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_embedding_dedup, op8_repeated_spans, op9_line_dedup, op10_html_extraction,
     )
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
