@@ -35,7 +35,7 @@ BANDS, ROWS = 28, 4
 HASHES = BANDS * ROWS
 SLACK = 4.0                   # standard deviations below the threshold at which a signature refuses a pair
 BLOCK = 256                   # members of a band that are compared with as many others in one task
-DEALT = 256                   # members that one task compares with a common centre
+DEALT = 64                    # members that one task compares with a common centre
 BROADCAST_IDS = 1_000_000     # ids that are broadcast at most (8 MB); more are joined by shuffle
 
 _RANDOM = np.random.default_rng(75)
