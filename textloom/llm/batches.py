@@ -1,7 +1,7 @@
 """Arrow columns of text as one run of bytes, cut into pieces of bounded size.
 
 The operators of this package read texts as UTF-8 bytes in numpy.  A batch is worked
-through in slices of a few megabytes, whatever its number of rows, and a single long
+through in slices of a megabyte, whatever its number of rows, and a single long
 text is cut into several slices, so memory does not follow the longest text.
 """
 
@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -33,7 +33,7 @@ CLASSES = ((80, 48, 16), (24, 20, 12))
 WINDOWS = 2               # windows of a document that lie in a copy of the shortest item, at least
 MAX_STRIDE = 6            # words from one window to the next, at most
 AGREED = 0.6              # share of steps at which the embeddings of a hit agree, at least
-PART, SLICE = 4 << 20, 1 << 20  # bytes that are brought to normal form, and searched, at a time
+PART, SLICE = 2 << 20, 1 << 19  # bytes that are brought to normal form, and searched, at a time
 DIAGONAL = 16             # hits whose alignments differ by less are checked once
 
 _BLANK = np.zeros(256, bool)

@@ -20,6 +20,7 @@ from textloom.plans import durable
 SHARDS = 16
 RANGES = 16            # per shard
 RANGE_ROWS = 1 << 20   # records of a range, about; more records make more ranges
+RANGE_BYTES = 64 << 20  # text of a range, about, as whole rows may be sorted by range
 MAX_RANGES = 1 << 14   # of all shards together, whatever the input
 SAMPLES = 64           # keys drawn per range, on average
 OVERFULL = 2           # times the mean
@@ -86,7 +87,7 @@ def _splitters(records: DataFrame, shards: int, ranges: int) -> tuple[list[int],
     total, rows = records.agg(
         F.sum(F.col("size") * F.col("copies")), F.count(F.lit(1))
     ).first()
-    wanted = min(max(shards * ranges, -(-rows // RANGE_ROWS)), MAX_RANGES)
+    wanted = min(max(shards * ranges, -(-rows // RANGE_ROWS), -(-total // RANGE_BYTES)), MAX_RANGES)
     rate = wanted * SAMPLES / total
     cuts = _quantiles(_draw(records, rate, 0), wanted)
     mean = total / wanted
