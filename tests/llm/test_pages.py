@@ -29,6 +29,15 @@ def test_side_matter_is_left_out(side):
         assert main_text(f"<html><body>{page}</body></html>", TREE) == want, page
 
 
+@pytest.mark.parametrize("box", [
+    "article class='has-sidebar post'", "div class='content sidebar-left'", "div class='post category-advertising tag-social'",
+    "main class='page nav-open'", "section id=entry",
+])
+def test_layout_names_do_not_hide_the_article(box):
+    page = f"<nav><a>home</a></nav><{box}><div class=entry-header><h1>Title of it</h1></div><p>{'some words of the text ' * 6}</p><p>Yes it is.</p></{box.split()[0]}><footer>end</footer>"
+    assert main_text(page, TREE) == f"Title of it {('some words of the text ' * 6).strip()} Yes it is."
+
+
 def test_pages_without_an_article():
     text = "a long paragraph of the story that has enough words to be told from all the rest of it " * 2
     page = f"<div><a>one</a><a>two</a></div><h1>the story</h1><p>{text}</p><p>{text}</p><p>{text}</p><p><a>next</a> <a>last</a></p>"

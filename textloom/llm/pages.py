@@ -34,13 +34,16 @@ HOLDERS = BLOCKS - frozenset("p hr h1 h2 h3 h4 h5 h6 html body option legend sum
 SIDE_TAGS = frozenset("nav aside footer form dialog menu".split())
 MAIN_TAGS = frozenset("article main".split())
 SIDE_WORDS = frozenset(
-    "ad ads adv advert advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent "
-    "gdpr notice notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social "
-    "related recommended recommendations breadcrumb breadcrumbs menu navbar navigation nav sidebar widget widgets footer "
-    "masthead toolbar comment comments disqus replies reply respond discussion feedback pagination pager copyright search "
-    "contentinfo complementary dialog teaser teasers".split()
+    "ad ads adv side header form logo topbar toolbar overlay modal feedback respond reply replies discussion search skip "
+    "contentinfo complementary dialog alert disclaimer".split()
 )
-MAIN_WORDS = frozenset("article content post entry story maincontent articlebody text body".split())
+SIDE_STARTS = tuple(
+    "advert adsby adsense banner sponsor promo cookie consent gdpr notice notif popup newsletter subscri signup login "
+    "share sharing social related recommend breadcrumb menu submenu nav sidebar widget footer masthead comment disqus "
+    "pagin pager copyright teaser".split()
+)
+MAIN_WORDS = frozenset("article content post entry story main page body text".split())
+STATES = ("category-", "tag-", "has-", "no-", "not-", "with-", "without-", "is-")  # say nothing about the element's role
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?>(?:=\s*"[^"]*"|=\s*'[^']*'|[^>])*))>|<!--(?:(?:-?>)|.*?(?:--!?>|\Z))|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z].*\Z""", re.S)
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=\s|/|$)""", re.S | re.I)
@@ -65,21 +68,36 @@ class Block:
     item: bool
 
 
+def _side(word: str) -> bool:
+    return word in SIDE_WORDS or word.startswith(SIDE_STARTS)
+
+
 def _names(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Whether an element's names speak for boilerplate, and for main text."""
+    """Whether an element's names speak for boilerplate, and for main text.
+
+    A name made of main words alone outweighs the others (``content sidebar-left``); a
+    header that is named after an article (``entry-header``) holds its title.
+    """
     if not attributes or tag in ("body", "html"):
         return False, False
-    words: set[str] = set()
-    hidden = False
+    hidden, side, main = False, False, False
     for name, a, b, c in _NAMED.findall(attributes):
         name, value = name.lower(), (a or b or c)
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             hidden = True
         elif name in ("class", "id", "role"):
-            words.update(_WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
-    if tag in MAIN_TAGS and not words & {"comment", "comments", "reply", "teaser", "related", "ad", "ads"}:
-        return hidden, bool(words & MAIN_WORDS)  # an article's layout classes say nothing against it
-    return hidden or bool(words & SIDE_WORDS), bool(words & MAIN_WORDS)
+            for part in value.split():
+                if part.lower().startswith(STATES):
+                    continue
+                words = set(_WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", part).lower()))
+                found = {w for w in words if _side(w)}
+                if found == {"header"} and words & MAIN_WORDS:
+                    found = set()
+                side |= bool(found)
+                main |= bool(words) and words <= MAIN_WORDS
+    if tag in MAIN_TAGS:  # layout classes say nothing against an article, unless it is a comment or teaser
+        side = side and bool(re.search(r"comment|reply|replies|teaser|related|\bads?\b", attributes, re.I))
+    return hidden or (side and not main), main
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -185,6 +203,8 @@ LABELLED = (
     "<table><tr><td><a>S</a><td><a>S</a></table><h1>*S</h1><p>*L<p>*L<p>*L<p>*L<hr><p><a>S</a> <a>S</a>",
     "<ul><li><a>S</a><li><a>S</a></ul><div><h2>*S</h2><p>*L</p><p>*L</p><p>*L</p></div><ul><li><a>S</a><li><a>S</a></ul><p>S</p>",
     "<section class=newsletter><p>A</p></section><section><h2>*S</h2><p>*L</p><p>*L</p></section><ul><li><a>S</a></ul>",
+    "<div>S</div><div><h1>*S</h1><p>*L</p><p>*L</p><p>*L</p></div><div>S</div>",
+    "<h1>*S</h1><p>*L</p><p>*L</p><p>*L</p><div>S</div>",
     "<div class=popup>A</div><main><h1>*S</h1><p>*A</p><p>*A</p></main><div class=banner>A</div><div class=comments><p>A</p><p>A</p></div>",
 )
 FILLINGS = 24
