@@ -1,9 +1,13 @@
+import random
 import re
 from collections import defaultdict
 
+import numpy as np
+
 from tests.llm.conftest import LONG, SF
 from textloom.llm.queries import op8_repeated_spans
 from textloom.llm.repeats import repeated_spans, without_spans
+from textloom.llm.shingles import word_hashes
 
 
 def sentences(t):
@@ -12,9 +16,14 @@ def sentences(t):
         k for k in range(len(words))
         if k == 0 or t[words[k - 1][1] - 1:words[k - 1][1]] in (b".", b"!", b"?", b",", b";", b":") or b"\n" in t[words[k - 1][1]:words[k][0]]
     ]
-    out = []
+    data = np.frombuffer(t, np.uint8)
+    hashes = word_hashes(data, *(np.array([w[k] for w in words], np.int64) for k in (0, 1)))
+    parts = []
     for a, b in zip(first, [*first[1:], len(words)]):
-        out += [a] if b - a <= 16 else range(a, b, 8)
+        parts += [a, *(k for k in range(a + 1, b) if b - a > 16 and hashes[k] % 8 == 0)]
+    out = []
+    for a, b in zip(parts, [*parts[1:], len(words)]):
+        out += [a] if b - a <= 48 else range(a, b, 24)
     return words, out
 
 
@@ -62,6 +71,16 @@ def test_a_passage_stays_where_it_stands_first(spark):
     assert texts == {1: passage, 2: "Else.\n\nMore.", 3: "Own start here.  Own end.", 4: "Nothing of that kind."}
 
 
+def test_a_passage_without_marks_between_other_words(spark):
+    """Its cuts do not depend on what stands before it."""
+    rng = random.Random(5)
+    passage = " ".join(f"pass{rng.randrange(10**6)}" for _ in range(60))
+    rows = [(k, " ".join([*(f"own{rng.randrange(10**6)}" for _ in range(7 + 3 * k)), passage, *(f"end{rng.randrange(10**6)}" for _ in range(9))])) for k in range(6)]
+    found = repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in found} == {1, 2, 3, 4, 5} and {r.first_id for r in found} == {0}
+    assert all(rows[r.doc_id][1][r.start:r.end] in passage for r in found)
+
+
 def test_odd_rows(odd, none):
     found = repeated_spans(odd)
     assert {r.doc_id for r in found.collect()} == {7}  # its own sentences over and over

@@ -1,8 +1,10 @@
 """Repeated passages by sliding sentence spans.
 
-A text is read as sentences; clauses count as sentences of their own, and one of more
-than 16 words without any mark is cut after every eighth word.  At every sentence begins
-a span: the shortest run of at least three sentences with at least 25 words.  Spans are
+A text is read as sentences; clauses count as sentences of their own.  One of more than
+16 words without any mark is cut before words chosen by their hash (one in eight), so a
+passage is cut alike wherever it stands; what is still longer than 48 words is cut after
+every 24th.  At every
+sentence begins a span: the shortest run of at least three sentences with at least 25 words.  Spans are
 hashed and joined over the whole corpus; every place at which a span stands, but the
 first, is removed.
 
@@ -25,25 +27,36 @@ from textloom.plans import durable
 from textloom.plans.skew import lookup_join
 
 SENTENCES, WORDS = 3, 25   # of a span, at least
-LONG, STEP = 16, 8         # a sentence of more words is cut after every STEP of them
+LONG, ONE_IN = 16, 8       # a sentence of more words is cut before words chosen by their hash
+LONGEST, STEP = 48, 24     # what is still longer is cut after every STEP words
 FIELD_BITS = 26            # the bit field takes 8 MB
 
 _MARK = np.zeros(256, bool)
 _MARK[[ord(c) for c in ".!?,;:"]] = True
 
 
-def sentence_starts(data: np.ndarray, start: np.ndarray, end: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _parts(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of every word, how many words its sentence has and which of them it is."""
+    first = np.flatnonzero(new)
+    sizes = np.diff(np.append(first, len(new)))
+    return np.repeat(sizes, sizes), np.arange(len(new)) - np.repeat(first, sizes)
+
+
+def sentence_starts(
+    data: np.ndarray, start: np.ndarray, end: np.ndarray, at: np.ndarray, hashes: np.ndarray
+) -> np.ndarray:
     """Which words begin a sentence, for rows whose words are ``at[i]:at[i + 1]``."""
     n = len(start)
     new = np.zeros(n + 1, bool)
     new[at] = True
+    new = new[:n]
     lines = np.concatenate([[0], np.cumsum(data == 10)])
-    new[1:n] |= _MARK[data[end[:-1] - 1]] | (lines[start[1:]] > lines[end[:-1]])
-    first = np.flatnonzero(new)
-    sizes = np.diff(np.append(first[first < n], n))
-    place = np.arange(n) - np.repeat(first[first < n], sizes)
-    new[:n] |= (np.repeat(sizes, sizes) > LONG) & (place % STEP == 0)
-    return np.flatnonzero(new[:n])
+    new[1:] |= _MARK[data[end[:-1] - 1]] | (lines[start[1:]] > lines[end[:-1]])
+    size, _ = _parts(new)
+    new |= (size > LONG) & (hashes % np.uint64(ONE_IN) == 0)
+    size, place = _parts(new)
+    new |= (size > LONGEST) & (place % STEP == 0)
+    return np.flatnonzero(new)
 
 
 def spans(column: pa.Array):
@@ -56,7 +69,8 @@ def spans(column: pa.Array):
         start, end, words_at = word_spans(part, at)
         if not len(start):
             continue
-        marks = sentence_starts(part, start, end, words_at)
+        words = word_hashes(part, start, end)
+        marks = sentence_starts(part, start, end, words_at, words)
         bounds = np.append(marks, len(start))
         row = np.searchsorted(words_at, marks, "right") - 1
         last = np.maximum(np.searchsorted(bounds, marks + WORDS), np.arange(len(marks)) + SENTENCES)
@@ -66,7 +80,7 @@ def spans(column: pa.Array):
         if not ok.any():
             continue
         row, lo, hi = row[ok], marks[ok], stop[ok]
-        hashes = run_hashes(word_hashes(part, start, end), lo, hi)
+        hashes = run_hashes(words, lo, hi)
         yield i + row, hashes.view(np.int64), start[lo] - at[row], end[hi - 1] - at[row]
 
 
