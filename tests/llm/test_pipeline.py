@@ -1,9 +1,12 @@
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry_point
 import corpus_pipeline
 from tests.llm.conftest import SF, python_free
 from tests.llm.test_decontaminate import normal
 from tests.llm.test_near_text import brute
-from textloom.llm.queries import QUERIES
+from textloom.llm.mixing import _profiled, fit_domain_model
+from textloom.llm.queries import QUERIES, WEIGHTS, domain
 from textloom.plans import durable
 
 
@@ -50,3 +53,13 @@ def test_empty_input(spark, docs):
     for _, stage in corpus_pipeline.STAGES:
         now = stage(spark, now, SF)
     assert now.count() == 0
+
+
+def test_the_mix_stage_reaches_the_weights_of_op4(spark, docs):
+    """Shares of the tokens that its rows hold, by the posteriors of the same model."""
+    model = fit_domain_model(docs, spark.read.parquet(f"{SF}/labels.parquet"), domain())
+    rows = corpus_pipeline.mix(spark, docs, SF).groupBy("doc_id").count()
+    profiles = _profiled(docs, model, "text", [F.col("doc_id")]).join(rows, "doc_id")
+    sums = profiles.agg(*[F.sum(F.col("count") * F.col("t") * F.get("p", F.lit(k))) for k in range(len(model.domains))]).first()
+    reached = {d: x / sum(sums) for d, x in zip(model.domains, sums)}
+    assert set(reached) == set(WEIGHTS) and all(abs(reached[d] - WEIGHTS[d]) <= 0.02 for d in WEIGHTS)
