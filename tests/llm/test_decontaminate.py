@@ -101,3 +101,27 @@ def test_normal_form():
     data, at = D.normal(pa.array([t.lower() + "\0" for t in texts]))
     parts = [data[at[i]:at[i + 1]].tobytes().rstrip(b"\0") for i in range(len(texts))]
     assert parts == [b"a b c", b"", b"", b"x y", "é".encode()]
+
+
+@pytest.mark.parametrize("least, below, recall", [(80, 150, 0.92), (150, 10**6, 0.96)])
+def test_recall_at_the_limit_by_size(docs, items, least, below, recall):
+    """Copies with 0.17 to 0.2 edits a byte; what is found does not depend on the sizes of the other items."""
+    rng = random.Random(21)
+    texts = [t for t in map(normal, items.values()) if least <= len(t.encode()) < below]
+    hosts = [r.text.split()[:40] for r in docs.collect()]
+    planted = []
+    while len(planted) < 200:
+        k = rng.randrange(len(texts))
+        copy = edited(texts[k], 0.205, rng)
+        size, (edits, _) = len(texts[k].encode()), D.edit_distance_within(texts[k].encode(), normal(copy).encode())
+        if 0.17 * size <= edits <= 0.2 * size:
+            w = hosts[len(planted) % len(hosts)]
+            at = rng.randrange(len(w) + 1)
+            planted.append((k, " ".join([*w[:at], copy, *w[at:]])))
+    column = pa.array([t.lower() + "\0" for _, t in planted])
+    hits = []
+    for others in ([], ["a short item of some forty bytes or more"]):
+        index = D.build_index(list(range(len(texts) + len(others))), pa.array([t + "\0" for t in texts + others]))
+        hits.append({(row, item) for row, item, *_ in D.search(index, column, D.MAX_RATIO) if item < len(texts)})
+    assert sum((row, k) in hits[0] for row, (k, _) in enumerate(planted)) >= recall * len(planted)
+    assert hits[0] == hits[1]
