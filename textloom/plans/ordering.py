@@ -1,14 +1,15 @@
 """Global row numbers without a single-task window.
 
 The key column alone is range-partitioned and sorted, so every task numbers its
-own slice; the slices' lengths (one number per partition) give the offsets.
+own slice; the slices' lengths (one number per partition) give the offsets.  Running
+totals work alike.
 """
 
 from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textloom.plans.checks import require_absent
 from textloom.plans.lineage import durable
@@ -16,16 +17,10 @@ from textloom.plans.lineage import durable
 _SLICE_BITS = 33  # monotonically_increasing_id keeps the partition above this bit
 
 
-def with_row_index(df: DataFrame, *keys: Column | str, name: str = "row_idx") -> DataFrame:
-    """``df`` with a dense 0-based index in the order of ``keys`` (unique together).
-
-    The indexed rows are stored before they are counted, so a re-run of a lost
-    task cannot shift the numbers.  Pass narrow frames: everything in ``df`` is
-    shuffled once.
-    """
-    require_absent(df, name)
+def _slices(df: DataFrame, keys: tuple[Column | str, ...]) -> DataFrame:
+    """``df`` in sorted slices by ranges of ``keys``, stored: ``__slice`` and ``__pos`` in it."""
     order = [F.col(k) if isinstance(k, str) else k for k in keys]
-    slices = durable(
+    return durable(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("__mid", F.monotonically_increasing_id())
@@ -33,6 +28,17 @@ def with_row_index(df: DataFrame, *keys: Column | str, name: str = "row_idx") ->
         .withColumn("__pos", F.col("__mid").bitwiseAND((1 << _SLICE_BITS) - 1)),
         "row-index",
     )
+
+
+def with_row_index(df: DataFrame, *keys: Column | str, name: str = "row_idx") -> DataFrame:
+    """``df`` with a dense 0-based index in the order of ``keys`` (unique together).
+
+    The indexed rows are stored before they are counted, so a re-run of a lost
+    task cannot shift the numbers.  Pass narrow frames: everything in ``df`` is
+    shuffled once.
+    """
+    require_absent(df, name)
+    slices = _slices(df, keys)
     sizes = slices.groupBy("__slice").count().orderBy("__slice").collect()
     starts = [0, *accumulate(r["count"] for r in sizes)]
     rows = [(r["__slice"], s) for r, s in zip(sizes, starts)]
@@ -44,6 +50,32 @@ def with_row_index(df: DataFrame, *keys: Column | str, name: str = "row_idx") ->
     )
 
 
+def with_running_total(
+    df: DataFrame, value: str, *keys: Column | str, name: str = "before", index: str = "row_idx"
+) -> DataFrame:
+    """``df`` with ``name``, the sum of ``value`` (whole numbers, not null) over all rows
+    before this one in the order of ``keys`` (unique together), and the row's ``index``.
+
+    Two levels: every slice of the range partition adds up its own rows in a window, and
+    the slices' totals, one number per partition, give the bases.  No window without
+    partitions.  Pass narrow frames, as for ``with_row_index``.
+    """
+    require_absent(df, name, index)
+    slices = _slices(df, keys)
+    totals = slices.groupBy("__slice").agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("v")).orderBy("__slice").collect()
+    starts = [0, *accumulate(r["n"] for r in totals)]
+    bases = [0, *accumulate(r["v"] for r in totals)]
+    rows = [(r["__slice"], s, b) for r, s, b in zip(totals, starts, bases)]
+    offsets = df.sparkSession.createDataFrame(rows, "__slice bigint, __start bigint, __base bigint")
+    earlier = Window.partitionBy("__slice").orderBy("__pos").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        slices.withColumn("__sum", F.coalesce(F.sum(value).over(earlier), F.lit(0)))
+        .join(F.broadcast(offsets), "__slice")
+        .withColumns({name: F.col("__base") + F.col("__sum"), index: F.col("__start") + F.col("__pos")})
+        .drop("__slice", "__mid", "__pos", "__start", "__base", "__sum")
+    )
+
+
 def range_scan(df: DataFrame, key: str, skip: int, take: int) -> DataFrame:
     """Rows ``skip`` .. ``skip + take - 1`` in the order of the unique column ``key``.
 
