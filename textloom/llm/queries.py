@@ -18,10 +18,14 @@ from textloom.llm.pages import extract_pages
 from textloom.llm.repeats import repeated_spans
 from textloom.llm.shards import assign_shards
 from textloom.llm.token_counts import count_tokens
+from textloom.llm.token_files import read_boundaries, write_token_files
+from textloom.plans import fresh_path
 from textloom.sources import read_table
 
 VOCABULARY = "word_bpe_49k.json"  # a file of the installed public tokenizers
 MAX_TOKENS = 2048
+BYTE_VOCABULARY = "byte_bpe_50k.json"
+END_ID = 2
 # Domains are the pairs of labels; their shares of the tokens after mixing.
 WEIGHTS = {"q1t0": 0.78, "q0t0": 0.12, "q1t1": 0.07, "q0t1": 0.03}
 
@@ -106,10 +110,19 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the files of token ids, read back from the files."""
+    path = write_token_files(
+        table(spark, sf_dir, "documents"), fresh_path(spark, "token-files"),
+        vocabulary(public_tokenizers.path(BYTE_VOCABULARY)), END_ID,
+    )
+    return read_boundaries(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding, op2_decontamination, op3_token_counts, op4_mixing, op5_language, op6_minhash_dedup,
-        op7_embedding_dedup, op8_repeated_spans, op9_line_dedup, op10_html_extraction,
+        op7_embedding_dedup, op8_repeated_spans, op9_line_dedup, op10_html_extraction, op12_token_files,
     )
 }
 
