@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from textloom.llm.alignment import align
 from textloom.llm.decontaminate import find_leaks
 from textloom.llm.language import fit_language_model, identify_language
 from textloom.llm.lines import repeated_lines
@@ -15,6 +16,7 @@ from textloom.llm.near_text import near_duplicates
 from textloom.llm.near_vectors import near_vectors
 from textloom.llm.oracles import ORACLES
 from textloom.llm.pages import extract_pages
+from textloom.llm.prefix_trie import ends_digest, prefix_trie
 from textloom.llm.repeats import repeated_spans
 from textloom.llm.shards import assign_shards
 from textloom.llm.token_counts import count_tokens
@@ -26,6 +28,7 @@ VOCABULARY = "word_bpe_49k.json"  # a file of the installed public tokenizers
 MAX_TOKENS = 2048
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 END_ID = 2
+PIECES = "piece_bpe_32k.model"
 # Domains are the pairs of labels; their shares of the tokens after mixing.
 WEIGHTS = {"q1t0": 0.78, "q0t0": 0.12, "q1t1": 0.07, "q0t1": 0.03}
 
@@ -110,6 +113,16 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every shared beginning of the rebuilt conversations."""
+    trie = prefix_trie(table(spark, sf_dir, "conversations"))
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    return trie.nodes.join(ends_digest(trie), ["k1", "k2"], "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", none).alias("ends_sha256"),
+    )
+
+
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the files of token ids, read back from the files."""
     path = write_token_files(
@@ -119,10 +132,26 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_boundaries(spark, path)
 
 
+def piece_model(path: str) -> bytes:
+    with open(path, "rb") as f:
+        return f.read()
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers' ids meet on every whole text, and how common their links are."""
+    rows = align(
+        table(spark, sf_dir, "documents"), vocabulary(public_tokenizers.path(BYTE_VOCABULARY)),
+        piece_model(public_tokenizers.path(PIECES)),
+    )
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return rows.withColumn("groups_sha256", digest).drop("groups")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding, op2_decontamination, op3_token_counts, op4_mixing, op5_language, op6_minhash_dedup,
-        op7_embedding_dedup, op8_repeated_spans, op9_line_dedup, op10_html_extraction, op12_token_files,
+        op7_embedding_dedup, op8_repeated_spans, op9_line_dedup, op10_html_extraction,
+        op11_prefix_trie, op12_token_files, op13_alignment,
     )
 }
 
