@@ -1,7 +1,9 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.operators import build_vocabulary, count_tokens, encode, pack, pack_dropped, token_offsets
+from textloom.operators import build_vocabulary, count_tokens, encode, pack, pack_dropped, token_offsets, tokens
 
 TEXTS = [(3, "b a b"), (1, "a c"), (2, ""), (5, None), (4, "d b b a")]
 
@@ -101,3 +103,80 @@ def test_pack_keeps_every_token_it_does_not_report(spark, docs):
     blocks = pack(ids, 64, 50).count()
     lost = pack_dropped(ids, 64, 50).agg(F.sum("tokens"), F.sum("blocks"), F.sum("dropped")).first()
     assert blocks == lost[1] and lost[0] == 64 * blocks + lost[2]
+
+
+def packed_globally(lists, block):
+    flat = [t for k in sorted(lists) for t in lists[k] or []]
+    return {(0, i): flat[i * block:(i + 1) * block] for i in range(len(flat) // block)}
+
+
+@pytest.mark.parametrize("lists", LISTS)
+@pytest.mark.parametrize("block", [4, 7])
+def test_global_packing_has_one_remainder(spark, lists, block):
+    df = spark.createDataFrame([(k, v) for k, v in lists.items()], "doc_id int, input_ids array<int>").repartition(3)
+    rows = pack(df, block, mode="global").collect()
+    assert {(r.batch, r.block): r.input_ids for r in rows} == packed_globally(lists, block)
+    assert all(r.labels == r.input_ids and r.attention_mask == [1] * block for r in rows)
+    n = sum(map(len, lists.values()))
+    assert [tuple(r) for r in pack_dropped(df, block, mode="global").collect()] == [(0, n, n // block, n % block)]
+
+
+def test_global_packing_over_many_slices(spark):
+    """Documents without tokens, null ones, one that holds a third of all tokens and fills many blocks;
+    blocks run over the borders of slices."""
+    rng = random.Random(6)
+    lists = {k * 3 - 500: [rng.randrange(1000) for _ in range(rng.choice([0, 0, 1, 2, 9, 40]))] for k in range(400)}
+    lists[-2] = list(range(2500))
+    lists[1] = None
+    df = spark.createDataFrame([(k, v) for k, v in lists.items()], "doc_id int, input_ids array<int>").repartition(9)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # small slices stay apart
+    try:
+        got = {(r.batch, r.block): r.input_ids for r in pack(df, 64, mode="global").collect()}
+        at = {r.doc_id: (r.row_idx, r.start, r.batch_total) for r in token_offsets(df, mode="global").collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert got == packed_globally(lists, 64)
+    total, start = sum(len(v or []) for v in lists.values()), 0
+    for i, k in enumerate(sorted(lists)):
+        assert at[k] == (i, start, total)
+        start += len(lists[k] or [])
+
+
+def test_stretches_of_any_length(spark, monkeypatch):
+    """Rows that begin, end and fill stretches; ids that are strings."""
+    rng = random.Random(9)
+    for stretch, block in ((8, 4), (64, 64), (30, 7), (1000, 16)):
+        monkeypatch.setattr(tokens, "STRETCH_TOKENS", stretch)
+        lists = {f"é{k:04d}": [rng.randrange(99) for _ in range(rng.choice([0, 1, 3, stretch, 2 * stretch, 200]))] for k in range(120)}
+        df = spark.createDataFrame(list(lists.items()), "doc_id string, input_ids array<int>").repartition(4)
+        got = {(r.batch, r.block): r.input_ids for r in pack(df, block, mode="global").collect()}
+        assert got == packed_globally(lists, block)
+
+
+def test_global_packing_plans_no_single_task_and_one_shuffle_of_tokens(spark):
+    df = spark.range(1000).select(F.col("id").alias("doc_id"), F.array_repeat(F.lit(7), 5).alias("input_ids"))
+    plan = pack(df, 8, mode="global")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(stretch" in plan and "Join" not in plan
+    for out in (pack(df, 8, mode="global"), token_offsets(df, mode="global")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan and "Window" in plan
+    with pytest.raises(ValueError, match="mode"):
+        pack(df, 8, mode="all")
+    none = df.limit(0)
+    assert pack(none, 8, mode="global").count() == 0 and token_offsets(none, mode="global").count() == 0
+
+
+def test_running_total(spark):
+    from textloom.plans import with_running_total
+
+    rng = random.Random(7)
+    rows = [(k, rng.randrange(-5, 10**12)) for k in rng.sample(range(10_000), 700)]
+    df = spark.createDataFrame(rows, "k int, v long").repartition(8)
+    got = {r.k: (r.row_idx, r.before) for r in with_running_total(df, "v", F.col("k").desc()).collect()}
+    total = 0
+    for i, (k, v) in enumerate(sorted(rows, reverse=True)):
+        assert got[k] == (i, total)
+        total += v
+    with pytest.raises(ValueError):
+        with_running_total(df.withColumn("before", F.lit(1)), "v", "k")

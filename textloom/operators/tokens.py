@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textloom.functions.arrays import attention_mask, pad_right
 from textloom.functions.text import WS_CHARS, word_count
-from textloom.plans.checks import require_columns, require_unique
+from textloom.plans.checks import require_absent, require_columns, require_unique
 from textloom.plans.barrier import computed
 from textloom.plans.lineage import durable
 from textloom.plans.lexicon import (
@@ -23,7 +23,7 @@ from textloom.plans.lexicon import (
     map_words,
     ship,
 )
-from textloom.plans.ordering import with_row_index
+from textloom.plans.ordering import with_row_index, with_running_total
 
 # runs of letters, runs of digits, single signs
 PRE_TOKEN = r"\p{L}+|\p{N}+|[^" + WS_CHARS + r"\p{L}\p{N}]"
@@ -88,6 +88,23 @@ def encode(
     Words outside the vocabulary become ``unk_id``, or are left out if it is None.
     """
     require_columns(df, id_col, text_col)
+    ids = with_ids(df, vocabulary, "__ids", bos_id, unk_id, text_col, in_place).select(id_col, F.col("__ids").alias("input_ids"))
+    return ids.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1)))
+
+
+def with_ids(
+    df: DataFrame,
+    vocabulary: DataFrame,
+    name: str = "input_ids",
+    bos_id: int | None = None,
+    unk_id: int | None = None,
+    text_col: str = "text",
+    in_place: bool | None = None,
+) -> DataFrame:
+    """``df`` with the token ids of its whole texts; null for a null text.  Ids depend on the
+    text alone; a vocabulary too large to be shipped is joined by word (``in_place``)."""
+    require_columns(df, text_col)
+    require_absent(df, name)
     head = [] if bos_id is None else [bos_id]
     if in_place is None:
         in_place = fits_broadcast(vocabulary, "word")
@@ -103,19 +120,17 @@ def encode(
             return ids, ends + np.arange(len(offsets)) * len(head)
 
         column = map_words(shipped, "array<int>", ids_of, pa.int32())(F.col(text_col))
-        ids = computed(df, {"__ids": column}).select(id_col, F.col("__ids").alias("input_ids"))
-    else:
-        texts = distinct_texts(df, text_col)
-        found = attach_by_word(explode_words(texts, "digest", "text"), vocabulary)
-        token = F.coalesce("id", F.lit(unk_id).cast("int"))
-        rows = found.where(token.isNotNull()).groupBy("digest").agg(
-            F.array_sort(F.collect_list(F.struct("pos", token.alias("t")))).alias("ts")
-        )
-        body = F.coalesce(F.transform("ts", lambda x: x["t"]), F.array().cast("array<int>"))
-        whole = F.concat(F.array(*[F.lit(h) for h in head]).cast("array<int>"), body)
-        coded = durable(texts.select("digest", "w").join(rows, "digest", "left").select("digest", "w", whole.alias("__ids")), "ids")
-        ids = attach_by_text(df, text_col, coded, "__ids").select(id_col, F.col("__ids").alias("input_ids"))
-    return ids.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1)))
+        return computed(df, {name: column})
+    texts = distinct_texts(df, text_col)
+    found = attach_by_word(explode_words(texts, "digest", "text"), vocabulary)
+    token = F.coalesce("id", F.lit(unk_id).cast("int"))
+    rows = found.where(token.isNotNull()).groupBy("digest").agg(
+        F.array_sort(F.collect_list(F.struct("pos", token.alias("t")))).alias("ts")
+    )
+    body = F.coalesce(F.transform("ts", lambda x: x["t"]), F.array().cast("array<int>"))
+    whole = F.concat(F.array(*[F.lit(h) for h in head]).cast("array<int>"), body)
+    coded = durable(texts.select("digest", "w").join(rows, "digest", "left").select("digest", "w", whole.alias(name)), "ids")
+    return attach_by_text(df, text_col, coded, name)
 
 
 def truncate_pad(df: DataFrame, pad_id: int, max_len: int = 256, ids_col: str = "input_ids") -> DataFrame:
@@ -130,8 +145,21 @@ def truncate_pad(df: DataFrame, pad_id: int, max_len: int = 256, ids_col: str =
 
 # --- packing ------------------------------------------------------------------------
 
-
-def _offsets(lengths: DataFrame, map_batch: int, id_col: str) -> DataFrame:
+MODES = ("batch", "global")
+STRETCH_TOKENS = 4 << 20   # tokens that one window of a global packing puts in order
+MAX_STRETCHES = 100_000    # stretches ever; a larger corpus has longer ones
+
+
+def _offsets(lengths: DataFrame, map_batch: int, id_col: str, mode: str) -> DataFrame:
+    """``(id_col, row_idx, batch, start, n, batch_total)`` of ``(id_col, n)``."""
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    if mode == "global":
+        # the running total needs no batch: slices of the range partition and their bases
+        total = lengths.agg(F.sum("n")).first()[0] or 0
+        rows = with_running_total(lengths, "n", id_col, name="start")
+        whole = F.lit(0).cast("long").alias("batch")
+        return rows.select(id_col, "row_idx", whole, "start", "n", F.lit(total).cast("long").alias("batch_total"))
     if map_batch < 1:
         raise ValueError("map_batch must be positive")
     rows = with_row_index(lengths, id_col).withColumn("batch", F.floor(F.col("row_idx") / map_batch))
@@ -149,36 +177,58 @@ def _length(ids_col: str) -> Column:
     return F.coalesce(F.size(ids_col), F.lit(0)).cast("long").alias("n")
 
 
-def token_offsets(df: DataFrame, map_batch: int = 1000, id_col: str = "doc_id", ids_col: str = "input_ids") -> DataFrame:
+def token_offsets(
+    df: DataFrame, map_batch: int = 1000, id_col: str = "doc_id", ids_col: str = "input_ids", mode: str = "batch"
+) -> DataFrame:
     """``(id_col, row_idx, batch, start, n, batch_total)``: where each row's tokens begin
-    in its batch.  A batch is ``map_batch`` consecutive rows by ``id_col``, so windows
-    over it stay small; token arrays take no part, only their lengths, which are stored
+    in its batch.
+
+    ``mode="batch"``: a batch is ``map_batch`` consecutive rows by ``id_col``, so windows over
+    it stay small.  ``mode="global"``: the whole table is batch 0, and ``start`` is a running
+    total in two levels.  Token arrays take no part, only their lengths, which are stored
     first so that nothing is tokenised twice."""
     require_columns(df, id_col, ids_col)
     lengths = durable(df.select(id_col, _length(ids_col)), "lengths")
     require_unique(lengths.select(id_col), id_col)
-    return _offsets(lengths, map_batch, id_col)
+    return _offsets(lengths, map_batch, id_col, mode)
 
 
 def pack(
-    df: DataFrame, block_size: int, map_batch: int = 1000, id_col: str = "doc_id", ids_col: str = "input_ids"
+    df: DataFrame, block_size: int, map_batch: int = 1000, id_col: str = "doc_id", ids_col: str = "input_ids",
+    mode: str = "batch",
 ) -> DataFrame:
     """``(batch, block, input_ids, attention_mask, labels)``: the token arrays of each
     batch put end to end and cut into blocks; the rest of a batch is dropped.
 
+    With ``mode="global"`` the whole table is batch 0: blocks run across all rows, and only one
+    remainder of fewer than ``block_size`` tokens is dropped in all.  Rows stand in the order
+    of ``id_col``; a null array counts as empty; an empty table gives no block.
+
     Ids must be unique.  Token arrays are stored once and meet their offsets by id; pieces that land in
     a whole block are cut out and shuffled to it, and a block collects at most ``block_size`` of them.
+    In a global packing they are shuffled once only (``_stretches``).
     """
     require_columns(df, id_col, ids_col)
     if block_size < 1:
         raise ValueError("block_size must be positive")
     stored = durable(df.select(id_col, ids_col, _length(ids_col)), "tokens")
     require_unique(stored.select(id_col), id_col)
-    at = _offsets(stored.select(id_col, "n"), map_batch, id_col).drop("row_idx")
+    if mode == "global":
+        return _as_blocks(_global_pieces(stored, block_size, id_col, ids_col), block_size, "stretch").withColumn(
+            "batch", F.lit(0).cast("long")
+        ).select("batch", "block", "input_ids", "attention_mask", "labels")
+    at = _offsets(stored.select(id_col, "n"), map_batch, id_col, mode).drop("row_idx")
     rows = stored.drop("n").join(at.where("n > 0"), id_col)
     size = F.lit(block_size).cast("long")
+    return _as_blocks(_pieces(rows, block_size, F.floor(F.col("batch_total") / size), ids_col, "batch"), block_size, "batch")
+
+
+def _pieces(rows: DataFrame, block_size: int, blocks: Column, ids_col: str, *keep: str) -> DataFrame:
+    """``(*keep, start, block, part)``: the parts of rows at ``start`` that lie in the first ``blocks``
+    blocks.  They are cut before the explode, so no output row carries a whole document."""
+    size = F.lit(block_size).cast("long")
     first = F.floor(F.col("start") / size)
-    last = F.least(F.floor((F.col("start") + F.col("n") - 1) / size), F.floor(F.col("batch_total") / size) - 1)
+    last = F.least(F.floor((F.col("start") + F.col("n") - 1) / size), blocks - 1)
 
     def piece(block: Column) -> Column:
         lo = F.greatest(block * size - F.col("start"), F.lit(0))
@@ -187,23 +237,76 @@ def pack(
             block.alias("block"), F.slice(ids_col, (lo + 1).cast("int"), (hi - lo).cast("int")).alias("part")
         )
 
-    # pieces are cut before the explode, so no output row carries a whole document
-    pieces = rows.where(last >= first).select(
-        "batch", "start", F.inline(F.transform(F.sequence(first, last), piece))
-    )
-    blocks = pieces.groupBy("batch", "block").agg(
+    return rows.where(last >= first).select(*keep, "start", F.inline(F.transform(F.sequence(first, last), piece)))
+
+
+def _as_blocks(pieces: DataFrame, block_size: int, group: str) -> DataFrame:
+    blocks = pieces.groupBy(group, "block").agg(
         F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("start", "part"))), lambda p: p["part"])).alias("input_ids")
     )
     return blocks.select(
-        "batch", "block", "input_ids",
+        group, "block", "input_ids",
         F.array_repeat(F.lit(1), block_size).alias("attention_mask"),
         F.col("input_ids").alias("labels"),
     )
 
 
-def pack_dropped(df: DataFrame, block_size: int, map_batch: int = 1000, id_col: str = "doc_id", ids_col: str = "input_ids") -> DataFrame:
+def _stretches(stored: DataFrame, block_size: int, id_col: str) -> tuple[int, int, pa.Table]:
+    """``(total, length, firsts)``: the tokens of all rows, the length of a stretch of them (whole
+    blocks), and the rows ``(id, start, n)`` in which a stretch begins, one a stretch at most.
+
+    Any other row lies whole in the stretch that the nearest of these rows before it ends in,
+    so a row's stretch follows from its id, without a join."""
+    lengths = stored.select(F.col(id_col).alias("id"), "n").where("n > 0")
+    total = lengths.agg(F.sum("n")).first()[0] or 0
+    length = -(-max(STRETCH_TOKENS, -(-total // MAX_STRETCHES)) // block_size) * block_size
+    rows = with_running_total(lengths, "n", "id", name="start")
+    begins = F.floor((F.col("start") + F.col("n") - 1) / length) > F.floor((F.col("start") - 1) / length)
+    firsts = rows.where(begins).select("id", "start", "n").toArrow()
+    return total, length, firsts.sort_by("start")
+
+
+def _global_pieces(stored: DataFrame, block_size: int, id_col: str, ids_col: str) -> DataFrame:
+    """``(stretch, start, block, part)`` of one packing of all rows.
+
+    The tokens of the corpus are dealt in stretches of equal length, whatever the rows'
+    lengths, and shuffled to them once; a window over a stretch gives the places, and as a
+    block lies in one stretch, its parts are there already."""
+    total, length, firsts = _stretches(stored, block_size, id_col)
+    shipped = stored.sparkSession.sparkContext.broadcast(firsts)
+
+    @F.arrow_udf("array<struct<stretch:bigint,lo:int,n:bigint>>")
+    def parts_of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        known, starts, sizes = (shipped.value[c].to_numpy() for c in ("id", "start", "n"))
+        for ids, n in batches:
+            ids, n = ids.to_numpy(zero_copy_only=False), n.to_numpy()
+            at = np.searchsorted(known, ids, "right") - 1
+            first = known[at] == ids
+            end = (starts[at] + sizes[at] - 1) // length
+            begin = np.where(first, starts[at] // length, end)
+            count = end - begin + 1
+            row = np.repeat(np.arange(len(ids)), count)
+            offsets = np.concatenate([[0], np.cumsum(count)])
+            stretch = begin[row] + np.arange(len(row)) - offsets[row]
+            lo = np.where(first[row], np.maximum(stretch * length - starts[at][row], 0), 0)
+            hi = np.where(first[row], np.minimum((stretch + 1) * length - starts[at][row], n[row]), n[row])
+            parts = pa.StructArray.from_arrays([pa.array(stretch), pa.array(lo.astype(np.int32)), pa.array(hi - lo)], ["stretch", "lo", "n"])
+            yield pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), parts)
+
+    rows = computed(stored.where("n > 0"), {"parts": parts_of(F.col(id_col), F.col("n"))}, [id_col, ids_col])
+    cut = F.transform("parts", lambda p: F.struct(p["stretch"], p["lo"], p["n"], F.slice(ids_col, p["lo"] + 1, p["n"].cast("int")).alias(ids_col)))
+    dealt = rows.select(F.col(id_col).alias("id"), F.inline(cut))
+    before = Window.partitionBy("stretch").orderBy("id", "lo").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("stretch") * length + F.coalesce(F.sum("n").over(before), F.lit(0))
+    return _pieces(dealt.withColumn("start", start), block_size, F.lit(total // block_size), ids_col, "stretch")
+
+
+def pack_dropped(
+    df: DataFrame, block_size: int, map_batch: int = 1000, id_col: str = "doc_id", ids_col: str = "input_ids",
+    mode: str = "batch",
+) -> DataFrame:
     """Per batch: tokens that came in, whole blocks, tokens lost as the remainder."""
-    at = token_offsets(df, map_batch, id_col, ids_col)
+    at = token_offsets(df, map_batch, id_col, ids_col, mode)
     return at.groupBy("batch").agg(F.sum("n").alias("tokens")).select(
         "batch", "tokens",
         F.floor(F.col("tokens") / block_size).alias("blocks"),
