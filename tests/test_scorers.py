@@ -130,3 +130,50 @@ def test_corpus_job_gives_one_status_per_document(spark):
     }
     steps = [(r.stage, r.rows_in, r.rows_out) for r in funnel(out).orderBy("step").collect()]
     assert steps[:3] == [("heuristic", 7, 5), ("quality", 5, 4), ("toxic", 4, 3)] and steps[3][2] == sum(s == "kept" for s, *_ in got.values())
+
+
+def load_small_model():
+    """Logits from ids and mask by hand: class k adds (id + k) % 3 of the unmasked ids."""
+    def predict(ids, mask):
+        assert ids.shape == mask.shape and ids.shape[1] == 6
+        return np.stack([(((ids + k) % 3) * mask).sum(axis=1).astype(float) for k in range(3)], axis=1)
+
+    return predict
+
+
+def logits_by_hand(ids, length=6):
+    return [float(sum((i + k) % 3 for i in ids[:length])) for k in range(3)]
+
+
+def test_tensor_scores_of_token_rows(spark):
+    from textloom.operators import tensor_scores, truncate_pad
+
+    lists = {1: [5, 3], 2: [], 3: list(range(20)), 4: [7] * 6, 5: None, 6: [2, 2, 2, 2, 2, 2, 2]}
+    rows = spark.createDataFrame([(k, v, "x") for k, v in lists.items()], "doc_id int, input_ids array<int>, keep string").repartition(2)
+    padded = truncate_pad(rows, 0, 6).withColumn("input_ids", F.when(F.col("doc_id") != 5, F.col("input_ids")))
+    for batch in (1, 2, 256):
+        got = {r.doc_id: r for r in tensor_scores(padded, load_small_model, 6, batch).collect()}
+        assert got[5].logits is None and got[5].scores is None and all(r.keep == "x" for r in got.values())
+        for k, v in lists.items():
+            if v is not None:
+                want = logits_by_hand(v)
+                assert got[k].logits == want
+                powers = [math.exp(x - max(want)) for x in want]
+                assert got[k].scores == pytest.approx([p / sum(powers) for p in powers])
+    assert tensor_scores(padded.limit(0), load_small_model, 6).count() == 0
+    with pytest.raises(ValueError, match="overwritten"):
+        tensor_scores(padded.withColumn("scores", F.lit(1)), load_small_model, 6)
+
+
+def test_tensor_model_is_a_scorer(spark, rows):
+    from textloom.operators import build_vocabulary, encode, tensor_model, tensor_scores, truncate_pad
+
+    vocabulary = build_vocabulary(rows, first_id=2)
+    scorer = tensor_model(load_small_model, vocabulary, 6, pad_id=0, bos_id=1, unk_id=9)
+    got = {r.doc_id: r.scores for r in scorer(rows).collect()}
+    known = encode(rows.where("text is not null"), vocabulary, bos_id=1, unk_id=9)
+    want = {r.doc_id: r.scores for r in tensor_scores(truncate_pad(known, 0, 6), load_small_model, 6).collect()}
+    assert got[5] is None and {k: v for k, v in got.items() if k != 5} == want
+    tagged = {r.doc_id: r.predictions for r in toxic_predictions(rows, scorer).collect()}
+    assert all(tagged[k] == v.index(max(v)) for k, v in want.items()) and tagged[5] is None
+    assert set(scorer(rows.withColumn("scores_old", F.lit(1))).columns) == {*rows.columns, "scores_old", "scores"}

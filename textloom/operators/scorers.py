@@ -20,9 +20,10 @@ from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from textloom.functions.arrays import label_of, softmax, top1
+from textloom.functions.arrays import attention_mask, label_of, pad_right, softmax, top1
 from textloom.functions.text import collapse_newlines, words
-from textloom.plans.checks import require_columns
+from textloom.operators.tokens import with_ids
+from textloom.plans.checks import require_absent, require_columns
 from textloom.plans.barrier import computed
 from textloom.plans.lineage import durable
 from textloom.plans.lexicon import (
@@ -179,6 +180,47 @@ def batch_model(make_predict_fn: Callable, batch_size: int = 256) -> Scorer:
     return score
 
 
+def tensor_scores(
+    df: DataFrame, make_predict_fn: Callable, max_len: int = 256, batch_size: int = 256,
+    ids_col: str = "input_ids", mask_col: str = "attention_mask",
+) -> DataFrame:
+    """``df`` with ``logits`` and ``scores`` (their softmax) of rows of ``max_len`` token ids and
+    their mask, as ``truncate_pad`` makes them.
+
+    ``make_predict_fn()`` loads the user's model once per worker and returns a function from two
+    whole-number tensors of ``batch_size`` x ``max_len``, ids and mask, to logits, one row of
+    classes each.  A row without ids is not shown to the model and has neither.
+    """
+    require_columns(df, ids_col, mask_col)
+    require_absent(df, "logits", "scores")
+    predict = predict_batch_udf(
+        make_predict_fn, return_type=ArrayType(DoubleType()), batch_size=batch_size, input_tensor_shapes=[[max_len], [max_len]]
+    )
+    there = F.col(ids_col).isNotNull() & F.col(mask_col).isNotNull()
+    blank = F.array_repeat(F.lit(0), max_len)  # stands in for a missing row, as tensors have no nulls
+    tensors = [F.when(there, F.col(c).cast("array<int>")).otherwise(blank) for c in (ids_col, mask_col)]
+    scored = computed(df, {"logits": F.when(there, predict(*tensors))})
+    return scored.withColumn("scores", softmax("logits"))
+
+
+def tensor_model(
+    make_predict_fn: Callable, vocabulary: DataFrame, max_len: int = 256, pad_id: int = 0, bos_id: int | None = None,
+    unk_id: int | None = None, batch_size: int = 256,
+) -> Scorer:
+    """A scorer that turns texts into fixed-length rows of ids and masks and gives them to the
+    user's model (``tensor_scores``)."""
+
+    def score(frame: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+        ids = with_ids(frame, vocabulary, "__input_ids", bos_id, unk_id, text_col)
+        rows = ids.withColumns({
+            "__mask": F.when(F.col("__input_ids").isNotNull(), attention_mask("__input_ids", max_len)),
+            "__input_ids": pad_right("__input_ids", pad_id, max_len),
+        })
+        return tensor_scores(rows, make_predict_fn, max_len, batch_size, "__input_ids", "__mask").select(*frame.columns, "scores")
+
+    return score
+
+
 # --- the three filters ------------------------------------------------------------
 
 
