@@ -1 +1 @@
-from textloom.streaming.ingest import stream_distinct_urls, stream_filter
+from textloom.streaming.ingest import stream_distinct_urls, stream_filter, stream_split

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from textloom.plans.lineage import discard, durable
+
 
 def _source(spark: SparkSession, src: str, schema: StructType, glob: str | None, files_per_trigger: int) -> DataFrame:
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
@@ -36,6 +38,39 @@ def stream_filter(
     return _sink(transform(_source(spark, src, schema, glob, files_per_trigger)), dst, checkpoint, once)
 
 
+def _write_part(df: DataFrame, dst: str, batch_id: int) -> None:
+    """The rows of one micro-batch; a replayed batch writes over what it left before."""
+    df.write.mode("overwrite").parquet(f"{dst}/batch_id={batch_id}")
+
+
+def stream_split(
+    spark: SparkSession, src: str, kept: str, rejects: str, checkpoint: str, schema: StructType,
+    score: Callable[[DataFrame], DataFrame], keep: Column, glob: str | None = None, once: bool = True,
+    files_per_trigger: int = 1000,
+) -> StreamingQuery:
+    """Score documents as their files arrive, and part them into two tables.
+
+    ``score`` is any function of a frame that a batch job uses, joins and models included; each
+    micro-batch runs through it once, is stored, and is then written to ``kept`` where
+    ``keep`` holds and to ``rejects`` where it does not (or is null).  Both tables are
+    partitioned by ``batch_id``; a batch that is replayed after a failure has the same rows and
+    the same number and replaces its own part, so every document ends in exactly one table, once.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        scored = durable(score(batch), "scored")
+        good = F.coalesce(keep, F.lit(False))
+        _write_part(scored.where(good), kept, batch_id)
+        _write_part(scored.where(~good), rejects, batch_id)
+        discard(scored)
+
+    rows = _source(spark, src, schema, glob, files_per_trigger)
+    writer = rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    if once:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def stream_distinct_urls(
     spark: SparkSession, src: str, dst: str, checkpoint: str, schema: StructType, url_col: str = "url",
     extract: Callable[[DataFrame], DataFrame] | None = None, glob: str | None = None, once: bool = True,
