@@ -33,7 +33,8 @@ _PIECE = re.compile(
 _ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 
 
-def _nodes(page: str) -> list[tuple]:
+def page_nodes(page: str) -> list[tuple]:
+    """``(idx, last, parent, tag, classes, href, rel, text)`` of a page's nodes in document order."""
     out: list[list] = []
     open_: list[int] = []
 
@@ -67,7 +68,7 @@ def _nodes(page: str) -> list[tuple]:
 def _node_lists(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
     names = ("idx", "last", "parent", "tag", "classes", "href", "rel", "text")
     for s in pages:
-        yield s.map(lambda p: [dict(zip(names, n)) for n in _nodes(p)], na_action="ignore")
+        yield s.map(lambda p: [dict(zip(names, n)) for n in page_nodes(p)], na_action="ignore")
 
 
 def html_nodes(c: Column | str) -> Column:

@@ -19,7 +19,7 @@ from textloom.functions.text import html_to_text
 ITEMS = "path string, item_idx int, html string, error string"
 
 
-def _documents(blob: bytes) -> list[str]:
+def epub_documents(blob: bytes) -> list[str]:
     """HTML members in the order of the package manifest."""
     with zipfile.ZipFile(io.BytesIO(blob)) as z:
         box = ElementTree.fromstring(z.read("META-INF/container.xml"))
@@ -46,7 +46,7 @@ def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for path, blob in zip(batch["path"], batch["content"]):
             try:
-                items = [(path, i, h, None) for i, h in enumerate(_documents(blob))]
+                items = [(path, i, h, None) for i, h in enumerate(epub_documents(blob))]
             except Exception as e:  # a bad file becomes a row, it never stops the job
                 items = [(path, None, None, f"{type(e).__name__}: {e}")]
             yield pd.DataFrame(items, columns=["path", "item_idx", "html", "error"]).astype({"item_idx": "Int32"})
