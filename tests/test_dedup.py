@@ -2,12 +2,16 @@ import pathlib
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textloom.operators import bands, components, duplicate_clusters, exact_dedup, jaccard, minhash_dedup, shingles, signatures
+from textloom.operators import (
+    bands, candidates, components, duplicate_clusters, exact_dedup, jaccard, minhash_dedup, shingles, signatures, slot_similarity,
+)
+from textloom.operators import dedup
+from textloom.operators.dedup import NUM_PERM, PRIME, _hex32, bands_for, permutations
 from textloom.plans import shared_folder
-from textloom.operators.dedup import NUM_PERM, PRIME, _hex32, bands_for
 
 
 def shingler(n):
@@ -201,3 +205,68 @@ def test_components_leave_only_their_last_table(spark):
     assert components(edges).count() == 65
     new = [p.name for p in set(root.glob("*")) - before]
     assert len(new) == 1 and new[0].startswith("small-star")
+
+
+def test_slot_similarity_is_the_share_of_equal_slots(spark):
+    rng = np.random.default_rng(3)
+    sigs = {i: rng.integers(0, 3, 112).tolist() for i in range(40)}
+    sigs[40] = None
+    signed = spark.createDataFrame(list(sigs.items()), "doc_id int, signature array<int>").repartition(3)
+    pairs = [(a, b) for a in range(41) for b in (0, 1, 7) if a != b]
+    df = spark.createDataFrame([(a, b, "x") for a, b in pairs], "a int, b int, keep string").repartition(4)
+    for floor in (None, 5):  # 5: one document in most pairs is dealt over tasks
+        got = {(r.a, r.b): r.estimate for r in slot_similarity(df, signed, heavy_floor=floor).collect()}
+        assert got == {(a, b): sum(x == y for x, y in zip(sigs[a], sigs[b])) / 112 for a, b in pairs if a != 40}
+    assert slot_similarity(df.limit(0), signed).count() == 0
+
+
+def test_slot_similarity_is_near_the_exact_one(spark, docs):
+    signed = signatures(docs)
+    pairs = candidates(bands(signed))
+    exact = {(r.a, r.b): r.jaccard for r in jaccard(pairs, shingles(docs)).collect()}
+    guessed = {(r.a, r.b): r.estimate for r in slot_similarity(pairs, signed).collect()}
+    assert exact.keys() == guessed.keys() and len(exact) > 5
+    assert max(abs(exact[p] - guessed[p]) for p in exact) < 4 / (2 * 112**0.5)
+
+
+def boilerplate(shared, unique):
+    """A passage of ``shared`` shingles, one of which is the smallest under the first permutation by far."""
+    mul, add = permutations(1)
+    for k in range(100_000):
+        passage = [f"s{k}x{j}" for j in range(shared + 4)]
+        h = [_hex32(w) % PRIME for w in passage]
+        factors = [1 + _hex32(f"pos{j}") % (PRIME - 1) for j in range(5)]
+        grams = [sum(x * f % PRIME for x, f in zip(h[i:i + 5], factors)) % PRIME for i in range(shared)]
+        if min((g * int(mul[0]) + int(add[0])) % PRIME for g in grams) < PRIME // unique:
+            return " ".join(passage)
+
+
+def test_a_shingle_that_a_whole_bucket_shares_makes_no_pairs(spark, monkeypatch):
+    """5,000 unlike texts in one bucket through a passage they share, and a few near copies outside
+    the bucket's largest cluster."""
+    rng = random.Random(2)
+    n = 5000
+    passage = boilerplate(12, n * 60)
+    rows = [(i, passage + " " + " ".join(f"u{rng.randrange(10**9)}" for _ in range(60))) for i in range(n)]
+    rows += [(n + k, rows[4000 + k][1] + " more") for k in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    met, meeting = [], dedup._meeting
+    monkeypatch.setattr(dedup, "_meeting", lambda r, f: met.append(meeting(r, f)) or met[-1])
+    got = duplicate_clusters(df, num_perm=6, b=6, r=1, verify=True)
+    assert sorted((r.doc_id, r.cluster) for r in got.collect()) == sorted(
+        [(4000 + k, 4000 + k) for k in range(5)] + [(n + k, 4000 + k) for k in range(5)]
+    )
+    assert met[0].count() <= 5
+
+
+def test_a_hot_meeting_is_dealt_and_loses_nothing(spark):
+    rng = random.Random(3)
+    rows = [("k", 0, e, i, i % 40, i % 40 != 7) for i in range(300) for e in ([1] if i % 3 else [1, 2 + i % 5])]
+    df = spark.createDataFrame(rows, "key string, band int, e int, id long, cluster long, stray boolean").repartition(5)
+    want = {
+        (max(a, b) if sa and sb else (a if sa else b), min(a, b) if sa and sb else (b if sa else a))
+        for (_, _, e, a, ca, sa), (_, _, f, b, cb, sb) in combinations(rows, 2) if e == f and ca != cb and (sa or sb)
+    }
+    for floor in (None, 100):
+        got = [(r.a, r.b) for r in dedup._meeting(df, floor).collect()]
+        assert len(got) == len(set(got)) and set(got) == want

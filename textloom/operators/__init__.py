@@ -18,7 +18,9 @@ from textloom.operators.dedup import (
     minhash_dedup,
     shingles,
     signatures,
+    slot_similarity,
 )
+from textloom.operators.evaluation import auc, held_out
 from textloom.operators.heuristics import Recipe, heur_filter, heur_stats
 from textloom.operators.pages import (
     BookTemplate,
@@ -46,6 +48,8 @@ from textloom.operators.scorers import (
     fit_nb,
     quality_filter,
     tag_domain,
+    tensor_model,
+    tensor_scores,
     toxic_filter,
     toxic_predictions,
     toxic_rejects,

@@ -14,17 +14,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from textloom.functions.text import words
 from textloom.operators.components import components
 from textloom.plans.barrier import computed
 from textloom.plans.checks import require_columns
-from textloom.plans.lexicon import flat_lists, row_parts, to_lists
+from textloom.plans.lexicon import flat_lists, row_parts, to_lists, word_lists
 from textloom.plans.lineage import durable
 from textloom.plans.skew import key_weights, lookup_join
 
 PRIME = (1 << 31) - 1
 # The usual parameters of the command-line tool.
 NUM_PERM, THRESHOLD, BANDS, ROWS, NGRAM = 112, 0.75, 14, 8, 5
+PAIRS_AT_ONCE = 1_000_000  # pairs that one shingle of a bucket may make in a task
 
 
 def _hex32(s: str) -> int:
@@ -42,13 +42,13 @@ def _word_hashes(words: list[str]) -> np.ndarray:
     return np.array([_hex32(w) % PRIME for w in words], dtype=np.int64)
 
 
-def _sets(lists: pa.Array, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def _sets(texts: pa.Array, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(i, j, hashes, offsets)``: the distinct n-gram hashes of rows ``i:j``, sorted by row.
 
     Words are hashed once per batch; all else runs over the words of many rows at once.
     """
     factors = np.array([1 + _hex32(f"pos{j}") % (PRIME - 1) for j in range(n)], dtype=np.int64)
-    found, at, _ = flat_lists(lists)
+    found, at, _ = word_lists(texts)
     coded = found.dictionary_encode()
     known = _word_hashes(coded.dictionary.to_pylist())
     h = known[coded.indices.to_numpy(zero_copy_only=False)] if len(found) else np.zeros(0, np.int64)
@@ -74,14 +74,14 @@ def shingles(df: DataFrame, n: int = NGRAM, id_col: str = "doc_id", text_col: st
 
     @F.arrow_udf("array<int>")
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for lists in parts:
-            valid = lists.is_valid().to_numpy(zero_copy_only=False)
-            done = list(_sets(lists, n))
+        for texts in parts:
+            valid = texts.is_valid().to_numpy(zero_copy_only=False)
+            done = list(_sets(texts, n))
             sizes = np.concatenate([np.diff(d[3]) for d in done]) if done else np.zeros(0, np.int64)
             items = np.concatenate([d[2] for d in done]) if done else np.zeros(0, np.int64)
             yield to_lists(items, np.concatenate([[0], np.cumsum(sizes)]), valid, pa.int32())
 
-    return computed(df, {"__s": run(words(text_col))}, [id_col]).withColumnRenamed("__s", "shingles")
+    return computed(df, {"__s": run(F.col(text_col))}, [id_col]).withColumnRenamed("__s", "shingles")
 
 
 def signatures(
@@ -94,10 +94,10 @@ def signatures(
     @F.arrow_udf("array<int>")
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         mul, add = permutations(num_perm)
-        for lists in parts:
-            low = np.zeros((len(lists), num_perm), np.int64)
-            some = np.zeros(len(lists), bool)
-            for i, j, hashes, at in _sets(lists, n):
+        for texts in parts:
+            low = np.zeros((len(texts), num_perm), np.int64)
+            some = np.zeros(len(texts), bool)
+            for i, j, hashes, at in _sets(texts, n):
                 full = np.flatnonzero(np.diff(at))
                 some[i + full] = True
                 if len(full):
@@ -106,7 +106,7 @@ def signatures(
             sizes = np.where(some, num_perm, 0)
             yield to_lists(low[some].ravel(), np.concatenate([[0], np.cumsum(sizes)]), some, pa.int32())
 
-    return computed(df, {"__s": run(words(text_col))}, [id_col, *keep]).select(id_col, F.col("__s").alias("signature"), *keep)
+    return computed(df, {"__s": run(F.col(text_col))}, [id_col, *keep]).select(id_col, F.col("__s").alias("signature"), *keep)
 
 
 def _band_keys(b: int, r: int, *scope: str) -> list[Column]:
@@ -164,6 +164,36 @@ def jaccard(pairs: DataFrame, sets: DataFrame, id_col: str = "doc_id", heavy_flo
     return both.select(*pairs.columns, (shared / (F.size("sa") + F.size("sb") - shared)).alias("jaccard"))
 
 
+def slot_similarity(
+    pairs: DataFrame, signatures: DataFrame, id_col: str = "doc_id", heavy_floor: int | None = None
+) -> DataFrame:
+    """``pairs (a, b, ...)`` with ``estimate``, the share of equal slots of their signatures.
+
+    No shingle is looked at: two rows of numbers travel for a pair and are compared as flat
+    arrays, many pairs at once.  With n slots the estimate's standard error is at most
+    1 / (2 sqrt(n)).  A pair without both signatures (a text too short for a shingle) has none.
+    """
+    require_columns(pairs, "a", "b")
+    require_columns(signatures, id_col, "signature")
+
+    @F.arrow_udf("int")
+    def equal_slots(left: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for a, b in left:
+            (x, at, _), (y, to, _) = flat_lists(a), flat_lists(b)
+            if not np.array_equal(at, to):
+                raise ValueError("signatures of unequal length")
+            same = (x.to_numpy(zero_copy_only=False) == y.to_numpy(zero_copy_only=False)).astype(np.int64)
+            ends = np.concatenate([[0], np.cumsum(same)])
+            yield pa.array((ends[at[1:]] - ends[at[:-1]]).astype(np.int32))
+
+    pairs = durable(pairs, "pairs")
+    signed = signatures.where("signature is not null")
+    left = pairs.join(signed.select(F.col(id_col).alias("a"), F.col("signature").alias("sa")), "a")
+    right = key_weights(pairs, ["b"], "w").join(signed.select(F.col(id_col).alias("b"), F.col("signature").alias("sb")), "b")
+    both = lookup_join(left, right, ["b"], "w", heavy_floor=heavy_floor)
+    return both.select(*pairs.columns, (equal_slots("sa", "sb") / F.size("sa")).alias("estimate"))
+
+
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, n_copies)``: the smallest id of every distinct text.  Digests are
     combined before the shuffle, so a text copied without end costs a row per task."""
@@ -213,9 +243,12 @@ def _verified(
 
     First each member is compared with its bucket's smallest id.  Then only members that
     lie outside their bucket's largest cluster are left; they meet the bucket's other
-    clusters through their prefix shingles: of two sets at the threshold, the
-    ``n - ceil(threshold n) + 1`` smallest elements always share one, so members that are
-    unlike do not meet, and no number of rounds depends on the size of a bucket.
+    clusters through their prefix shingles: of two sets at the threshold, the first
+    ``n - ceil(threshold n) + 1`` elements in any common order always share one, so members
+    that are unlike do not meet, and no number of rounds depends on the size of a bucket.
+    The order is that of rising frequency (``_prefixes``): a shingle that most members have
+    stands last and leaves the prefixes.  Members that still meet in great numbers are dealt
+    over several tasks (``_meeting``).
     """
     stars = durable(jaccard(_stars(met, "id", heavy_floor), sets, id_col, heavy_floor), "judged")
     near = stars.where(F.col("jaccard") >= threshold).select("a", "b")
@@ -231,22 +264,47 @@ def _verified(
         "open-buckets",
     )
     rows = lookup_join(placed, mains, ["band", "key"], "w", heavy_floor=heavy_floor)
-    size = F.size("shingles")
-    prefix = F.slice(F.array_sort("shingles"), 1, size - F.ceil(F.lit(threshold) * size).cast("int") + 1)
-    heads = sets.select(F.col(id_col).alias("id"), prefix.alias("prefix"))
+    heads = _prefixes(sets.withColumnRenamed(id_col, "id").join(rows.select("id").distinct(), "id", "left_semi"), threshold, heavy_floor)
     rows = durable(
         rows.join(heads, "id").select(
             "band", "key", "id", "cluster", (F.col("cluster") != F.col("main")).alias("stray"), F.explode("prefix").alias("e")
         ),
         "prefixes",
     )
-    strays = rows.where("stray").select("band", "key", "e", F.col("id").alias("a"), F.col("cluster").alias("ca"))
-    pairs = (
-        strays.join(rows, ["band", "key", "e"]).where("ca <> cluster and (not stray or a > id)")
+    late = jaccard(_meeting(rows, heavy_floor), sets, id_col, heavy_floor).where(F.col("jaccard") >= threshold).select("a", "b")
+    return near.unionByName(late)
+
+
+def _prefixes(sets: DataFrame, threshold: float, heavy_floor: int | None) -> DataFrame:
+    """``(id, prefix)``: the rarest ``n - ceil(threshold n) + 1`` of the n shingles of every set."""
+    spread = durable(sets.select("id", F.explode("shingles").alias("e")), "set-elements")
+    counts = durable(spread.groupBy("e").agg(F.count(F.lit(1)).alias("f")).withColumn("w", F.col("f")), "set-counts")
+    ranked = lookup_join(spread, counts, ["e"], "w", heavy_floor=heavy_floor)
+    ordered = ranked.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("f", "e"))).alias("s"))
+    size = F.size("s")
+    prefix = F.slice("s", 1, size - F.ceil(F.lit(threshold) * size).cast("int") + 1)
+    return ordered.select("id", F.transform(prefix, lambda x: x["e"]).alias("prefix"))
+
+
+def _meeting(rows: DataFrame, heavy_floor: int | None) -> DataFrame:
+    """``(a, b)``: members of different clusters of a bucket that share a prefix shingle ``e``, one
+    of them outside the largest cluster.
+
+    Where ``w`` members, ``s`` of them outside, share one, the members are dealt over tasks by
+    their ids and the ``s`` visit every share, so no task makes more than ``PAIRS_AT_ONCE`` pairs
+    or so of one shingle."""
+    meet = ["band", "key", "e"]
+    groups = rows.groupBy(*meet).agg(F.count(F.lit(1)).alias("w"), F.count_if("stray").alias("s")).where("s > 0 and w > 1")
+    shares = F.least("w", F.ceil(F.col("w") * F.col("s") / (heavy_floor or PAIRS_AT_ONCE))).cast("long")
+    groups = durable(groups.withColumn("shares", shares), "meetings")
+    outside = lookup_join(rows.where("stray"), groups.drop("w"), meet, "s", heavy_floor=heavy_floor)
+    visits = F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))
+    left = outside.select(*meet, F.col("id").alias("a"), F.col("cluster").alias("ca"), visits.alias("share"))
+    right = lookup_join(rows, groups.drop("s"), meet, "w", heavy_floor=heavy_floor).withColumn("share", F.pmod(F.xxhash64("id"), "shares"))
+    return (
+        left.join(right, [*meet, "share"]).where("ca <> cluster and (not stray or a > id)")
         .select("a", F.col("id").alias("b")).distinct()
     )
-    late = jaccard(pairs, sets, id_col, heavy_floor).where(F.col("jaccard") >= threshold).select("a", "b")
-    return near.unionByName(late)
 
 
 def bands_for(threshold: float, num_perm: int = NUM_PERM) -> tuple[int, int]:

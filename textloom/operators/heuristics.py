@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from textloom.functions.text import WS_CHARS, words
 from textloom.plans.checks import require_absent, require_columns
 from textloom.plans.barrier import computed
-from textloom.plans.lexicon import flat_lists, row_parts
+from textloom.plans.lexicon import row_parts, word_lists
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -74,8 +74,8 @@ def _repeated_share(text: Column, n: int, of_words: bool) -> Column:
 
     @F.arrow_udf("double")
     def by_words(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for lists in parts:
-            found, offsets, valid = flat_lists(lists)
+        for texts in parts:
+            found, offsets, valid = word_lists(texts)
             coded = found.dictionary_encode()
             names = pd.util.hash_array(np.array(coded.dictionary.to_pylist(), object)) if len(found) else np.zeros(0, np.uint64)
             yield pa.array(shares(names[coded.indices.to_numpy(zero_copy_only=False)], offsets), mask=~valid)
@@ -89,7 +89,7 @@ def _repeated_share(text: Column, n: int, of_words: bool) -> Column:
             sizes = pc.utf8_length(filled).to_numpy(zero_copy_only=False)
             yield pa.array(shares(points.astype(np.uint64) + np.uint64(1), np.concatenate([[0], np.cumsum(sizes)])), mask=~valid)
 
-    return by_words(words(text)) if of_words else by_chars(text)
+    return by_words(text) if of_words else by_chars(text)
 
 
 def listed_share(w: Column, listed: Collection[str]) -> Column:
@@ -112,6 +112,11 @@ RULES: dict[str, Callable[[Column, Column, Column], Column]] = {
 }
 
 
+# The rules that look at words and lines; neither is cut for the others.
+OF_WORDS = {"word_count", "stop_word_ratio", "flagged_word_ratio"}
+OF_LINES = {"mean_line_length", "max_line_length", "repeated_line_ratio"}
+
+
 @dataclass(frozen=True)
 class Recipe:
     """Ordered bounds ``(rule, min, max)``; ``None`` leaves a side open."""
@@ -144,7 +149,9 @@ def heur_stats(
     require_columns(df, text_col)
     require_absent(df, *names)
     t = F.col(text_col)
-    wide = computed(df, {"__w": words(t), "__l": F.split(t, "\n")})
+    parts = {"__w": (words(t), OF_WORDS), "__l": (F.split(t, "\n"), OF_LINES)}
+    used = {c: value for c, (value, rules_of) in parts.items() if rules_of & set(names)}
+    wide = computed(df, used) if used else df
     return computed(wide, {n: recipe.rule(n)(t, F.col("__w"), F.col("__l")) for n in names}, df.columns)
 
 

@@ -49,6 +49,20 @@ def flat_lists(lists: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return lists.flatten(), np.concatenate([[0], np.cumsum(sizes)]), lists.is_valid().to_numpy(zero_copy_only=False)
 
 
+def word_lists(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """``(words, offsets, valid)`` of a text column, as ``words`` cuts them: between runs of the
+    same white space, never an empty word.  Cutting in the worker ships one text a row
+    instead of one string a word."""
+    valid = texts.is_valid().to_numpy(zero_copy_only=False)
+    lists = pc.utf8_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+    found, offsets, _ = flat_lists(lists)
+    full = pc.not_equal(found, "")
+    kept = full.to_numpy(zero_copy_only=False)
+    if not kept.all():  # white space at a text's ends, and texts without a word
+        found, offsets = found.filter(full), np.concatenate([[0], np.cumsum(kept)])[offsets]
+    return found, offsets, valid
+
+
 def row_parts(offsets: np.ndarray, most: int = _WORDS_AT_ONCE) -> Iterator[tuple[int, int]]:
     """Ranges of rows that hold about ``most`` items, at least one row each."""
     n, i = len(offsets) - 1, 0
@@ -87,8 +101,8 @@ def map_words(
     @F.arrow_udf(returns)
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         position, values = shipped.value
-        for lists in parts:
-            found, offsets, valid = flat_lists(lists)
+        for texts in parts:
+            found, offsets, valid = word_lists(texts)
             coded = found.dictionary_encode()
             known = np.array([position.get(w, -1) for w in coded.dictionary.to_pylist()], dtype=np.int64)
             at = known[coded.indices.to_numpy(zero_copy_only=False)] if len(found) else np.zeros(0, np.int64)
@@ -99,7 +113,7 @@ def map_words(
             sizes = np.concatenate([np.diff(d[1]) for d in done]) if done else np.zeros(0, np.int64)
             yield to_lists(items, np.concatenate([[0], np.cumsum(sizes)]), valid, kind)
 
-    return lambda text: run(words(text))
+    return run
 
 
 def explode_words(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
