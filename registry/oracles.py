@@ -17,8 +17,11 @@ from registry.queries import (
     SKIP,
     STOP_WORDS,
     TAKE,
+    TENSOR_FACTORS,
+    TENSOR_MOD,
+    TENSOR_SCALE,
 )
-from registry.tables import BOOK_URL, CATEGORY, LIST_URL, NEXT_URL, STEP
+from registry.tables import BOOK_URL, CATEGORY, LIST_URL, NEXT_URL, SITE, STEP
 
 # Patterns of this file's own: a result of the library is held against them.
 BLANKS = r"\t\n\x0b\f\r\x1c-\x1f \x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -176,6 +179,22 @@ def bayes(name: str, labels: str, classes: tuple) -> str:
 
 QUALITY = bayes("quality", "SELECT doc_id, quality AS label FROM labels", (0, 1))
 TOXIC = bayes("toxic", "SELECT doc_id, toxic AS label FROM labels", (0, 1))
+HELD = "substr(md5(doc_id::VARCHAR), 1, 1) < '4'"
+
+
+def auc(label: str) -> str:
+    """The share of pairs in order, from the numbers of smaller and equal scores."""
+    model = bayes("fold", f"SELECT doc_id, {label} AS label FROM labels WHERE NOT {HELD}", (0, 1))
+    return q(
+        """SELECT sum(pos)::BIGINT AS n_pos, sum(neg)::BIGINT AS n_neg,
+        round(sum(pos * (below + neg / 2.0))::DOUBLE / (sum(pos) * sum(neg))::DOUBLE, 6) AS auc FROM below""",
+        WORDS, model,
+        f"counts AS (SELECT s1 - s0 AS score, count(*) FILTER ({label} = 1) AS pos, count(*) FILTER ({label} = 0) AS neg"
+        f" FROM fold_raw JOIN labels USING (doc_id) WHERE {HELD} GROUP BY 1)",
+        "below AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM counts)",
+    )
+
+
 DOMAIN = bayes("domain", "SELECT doc_id, lang AS label FROM documents", LANGS)
 BEST_DOMAIN = "CASE greatest(s0, s1, s2, s3) WHEN s0 THEN 'de' WHEN s1 THEN 'en' WHEN s2 THEN 'es' ELSE 'fr' END"
 
@@ -200,6 +219,29 @@ offsets AS (
     n, (sum(n) OVER (PARTITION BY row_idx // {MAP_BATCH}))::BIGINT AS batch_total
   FROM numbered)"""
 
+PLACED = f"""placed AS (SELECT batch, spot // {BLOCK} AS block, spot, id FROM (
+  SELECT batch, start + generate_subscripts(input_ids, 1) - 1 AS spot, unnest(input_ids) AS id FROM offsets) x)"""
+GLOBAL_OFFSETS = """numbered AS (
+  SELECT doc_id, input_ids, len(input_ids) AS n, row_number() OVER (ORDER BY doc_id) - 1 AS row_idx FROM encoded),
+offsets AS (
+  SELECT doc_id, input_ids, row_idx, 0::BIGINT AS batch,
+    coalesce(sum(n) OVER (ORDER BY row_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+    n, (sum(n) OVER ())::BIGINT AS batch_total
+  FROM numbered)"""
+
+
+def tensor_logits() -> str:
+    half = TENSOR_MOD // 2
+    each = [
+        f"list_sum(list_transform(range(1, {MAX_LEN + 1}), lambda i: mask[i] * ((padded_ids[i] * {k}) % {TENSOR_MOD} - {half})))::BIGINT AS l{j}"
+        for j, k in enumerate(TENSOR_FACTORS)
+    ]
+    return f"logits AS (SELECT doc_id, {', '.join(each)} FROM padded)"
+
+
+BEST_TENSOR = "CASE greatest(l0, l1, l2) WHEN l0 THEN 0 WHEN l1 THEN 1 ELSE 2 END::INTEGER"
+TENSOR_SUM = " + ".join(f"exp((l{j} - greatest(l0, l1, l2))::DOUBLE / {TENSOR_SCALE})" for j in range(len(TENSOR_FACTORS)))
+
 # --- MinHash ----------------------------------------------------------------------------------------
 
 P = 2147483647
@@ -277,6 +319,10 @@ LABEL_NAMES = {0: "news", 1: "books", 2: "web", 3: "law", 4: "health", 5: "sport
 ORACLES: dict[str, str] = {
     "src_read_split": "SELECT doc_id, lang, source, n_chars FROM documents WHERE lang = 'en'",
     "range_scan": f"SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT {TAKE} OFFSET {SKIP}",
+    # DuckDB keeps the stored order of rows that nothing sorts
+    "range_scan_stored": f"SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem LIMIT {TAKE} OFFSET {SKIP}",
+    "stored_row_index": "SELECT row_number() OVER () - 1 AS row_idx, l_orderkey, l_linenumber FROM lineitem",
+    "publish_roundtrip": q(f"SELECT doc_id, lang, source, 2::INTEGER AS version FROM heur WHERE {HEUR_OK}", HEUR),
     "json_metadata_roundtrip": q(
         f"SELECT url, title, {host('url')} AS categories, pdf, epub, filename FROM books", BOOKS),
     "concat_pages": "SELECT conv_id, coalesce(string_agg(text, '' ORDER BY turn), '') AS text FROM conversations GROUP BY conv_id",
@@ -299,6 +345,8 @@ ORACLES: dict[str, str] = {
         f"SELECT page_id, {epub_name('filename')} AS epub_name FROM books WHERE {EPUB_ONLY} AND filename IS NOT NULL"
         f" AND {epub_name('filename')} NOT IN (SELECT name FROM files)", BOOKS, FILES),
     "attach_predictions": "SELECT doc_id, source, quality, toxic FROM documents JOIN labels USING (doc_id)",
+    "zip_predictions": q(
+        "SELECT doc_id, source, (s1 > s0)::INTEGER AS predictions FROM documents JOIN toxic_raw USING (doc_id)", WORDS, TOXIC),
     "id2label": "SELECT vec_id, CASE label " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in LABEL_NAMES.items()) + " END AS domains FROM embeddings",
     "pagination_chain": q(
         "SELECT first_value(url) OVER w AS start, row_number() OVER w - 1 AS depth, url FROM hosted"
@@ -364,7 +412,11 @@ ORACLES: dict[str, str] = {
     "link_tiers": f"SELECT {LIST_URL} AS url, {BOOK_URL} AS link FROM pages",
     "next_edges": f"SELECT {LIST_URL} AS src, {NEXT_URL} AS dst FROM {NUMBERED_SITE}",
     "pagination_rules": f"SELECT {CATEGORY} AS start, {STEP} AS depth, {LIST_URL} AS url FROM {NUMBERED_SITE}",
-    "category_urls": f"SELECT {CATEGORY} AS category FROM pages WHERE page_id < 5",
+    "category_urls": f"SELECT DISTINCT {lit(SITE + 'category/')} || {host('url')} || '/' AS category FROM pages",
+    "page_node_rows": f"""SELECT page_id, CASE WHEN contains(url, '#') THEN 'ValueError: no page' END AS error,
+      CASE WHEN contains(url, '#') THEN 0 ELSE len({hrefs('html')}) END::BIGINT AS n_links,
+      CASE WHEN contains(url, '#') THEN '' ELSE array_to_string({hrefs('html')}, ' ') END AS links
+      FROM pages WHERE contains(url, '#') OR len({hrefs('html')}) > 0""",
     "crawl_catalog": f"SELECT {BOOK_URL} AS url, {SITE_TITLE} AS title, 'Author ' || page_id % 17 AS author, {SITE_TITLE} || '.pdf' AS filename FROM pages",
     "epub_branch": """SELECT conv_id, status, CASE WHEN status = 'processed' THEN text END AS text FROM (
       SELECT conv_id, coalesce(string_agg(nullif(text, ''), chr(10) || chr(10) ORDER BY turn), '') AS text,
@@ -403,6 +455,14 @@ ORACLES: dict[str, str] = {
         "SELECT doc_id, source, 0::INTEGER AS predictions FROM documents JOIN toxic_raw USING (doc_id) WHERE s0 >= s1", WORDS, TOXIC),
     "toxic_rejects": q(
         "SELECT doc_id, source, 1::INTEGER AS predictions FROM documents JOIN toxic_raw USING (doc_id) WHERE s1 > s0", WORDS, TOXIC),
+    "quality_auc": auc("quality"),
+    "toxic_auc": auc("toxic"),
+    "tensor_scores": q(
+        f"""SELECT doc_id, l0 || ',' || l1 || ',' || l2 AS logits, {BEST_TENSOR} AS predictions, round(1 / ({TENSOR_SUM}), 6) AS p
+        FROM logits""", WORDS, ENCODED, PADDED, tensor_logits()),
+    "tensor_filter": q(
+        f"SELECT doc_id, source, 0::INTEGER AS predictions FROM documents JOIN logits USING (doc_id) WHERE {BEST_TENSOR} = 0",
+        WORDS, ENCODED, PADDED, tensor_logits()),
     "domain_tag": q(f"SELECT doc_id, {BEST_DOMAIN} AS domains FROM domain_raw", WORDS, DOMAIN),
     "token_count": f"SELECT doc_id, len(regexp_extract_all(text, {lit(PRE_TOKEN)}))::INTEGER AS n_tokens FROM documents",
     "encode_docs": q(f"SELECT doc_id, {ids('input_ids')} AS input_ids, len(input_ids)::INTEGER AS n_ids FROM encoded", WORDS, ENCODED),
@@ -417,13 +477,18 @@ ORACLES: dict[str, str] = {
         f"""SELECT batch, block, string_agg(id::VARCHAR, ',' ORDER BY spot) AS input_ids, string_agg(id::VARCHAR, ',' ORDER BY spot) AS labels,
         count(*)::INTEGER AS n FROM placed GROUP BY batch, block HAVING count(*) = {BLOCK}""",
         WORDS, ENCODED, OFFSETS,
-        f"""placed AS (SELECT batch, spot // {BLOCK} AS block, spot, id FROM (
-          SELECT batch, start + generate_subscripts(input_ids, 1) - 1 AS spot, unnest(input_ids) AS id FROM offsets) x)"""),
+        PLACED),
     "clm_labels_blocks": q(
         f"""SELECT batch, block, string_agg(CASE WHEN id = {BOS} THEN '-100' ELSE id::VARCHAR END, ',' ORDER BY spot) AS labels FROM placed GROUP BY batch, block HAVING count(*) = {BLOCK}""",
         WORDS, ENCODED, OFFSETS,
-        f"""placed AS (SELECT batch, spot // {BLOCK} AS block, spot, id FROM (
-          SELECT batch, start + generate_subscripts(input_ids, 1) - 1 AS spot, unnest(input_ids) AS id FROM offsets) x)"""),
+        PLACED),
+    "token_offsets_global": q("SELECT doc_id, row_idx, batch, start, n, batch_total FROM offsets", WORDS, ENCODED, GLOBAL_OFFSETS),
+    "pack_blocks_global": q(
+        f"""SELECT batch, block, string_agg(id::VARCHAR, ',' ORDER BY spot) AS input_ids, string_agg(id::VARCHAR, ',' ORDER BY spot) AS labels,
+        count(*)::INTEGER AS n FROM placed GROUP BY batch, block HAVING count(*) = {BLOCK}""", WORDS, ENCODED, GLOBAL_OFFSETS, PLACED),
+    "pack_dropped_global": q(
+        f"""SELECT batch, sum(n)::BIGINT AS tokens, (sum(n) // {BLOCK})::BIGINT AS blocks, (sum(n) % {BLOCK})::BIGINT AS dropped
+        FROM offsets GROUP BY batch""", WORDS, ENCODED, GLOBAL_OFFSETS),
     "pack_dropped": q(
         f"""SELECT batch, sum(n)::BIGINT AS tokens, (sum(n) // {BLOCK})::BIGINT AS blocks, (sum(n) % {BLOCK})::BIGINT AS dropped
         FROM offsets GROUP BY batch""", WORDS, ENCODED, OFFSETS),
@@ -433,6 +498,10 @@ ORACLES: dict[str, str] = {
     "dedup_candidates": q("SELECT a, b FROM near", minhash()),
     "dedup_pairs": q(
         "SELECT a, b, round(jaccard, 6) AS jaccard FROM alike WHERE jaccard >= 0.75", minhash(), similar("SELECT a, b FROM near")),
+    "dedup_pairs_estimated": q(
+        """SELECT a, b, round(equal::DOUBLE / 112, 6) AS estimate FROM (
+          SELECT n.a, n.b, count(*) FILTER (x.value = y.value) AS equal FROM near n JOIN sig x ON x.doc_id = n.a
+          JOIN sig y ON y.doc_id = n.b AND y.slot = x.slot GROUP BY n.a, n.b) z WHERE equal >= 0.75 * 112""", minhash()),
     "dedup_clusters": q("SELECT doc_id, cluster FROM clusters", minhash(), clustered(edges())),
     "dedup_keep": q(KEEP, minhash(), clustered(edges())),
     "dedup_keep_verified": q(
@@ -450,5 +519,8 @@ ORACLES: dict[str, str] = {
             FROM (VALUES (1, 'heuristic'), (2, 'quality'), (3, 'toxic'), (4, 'duplicate')) s(step, stage)
             LEFT JOIN final f ON f.status = s.stage GROUP BY ALL) y) z""", *CORPUS),
     "stream_filter": q(f"SELECT doc_id, lang, source FROM heur WHERE {HEUR_OK}", HEUR),
+    "stream_split": q(
+        """SELECT doc_id, source, (s1 > s0)::INTEGER AS predictions, CASE WHEN s1 > s0 THEN 'rejects' ELSE 'kept' END AS sink
+        FROM documents JOIN toxic_raw USING (doc_id)""", WORDS, TOXIC),
     "stream_distinct_urls": q(f"SELECT DISTINCT {ABSOLUTE} AS link FROM hrefs", LINKS),
 }

@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+import numpy as np
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from registry.tables import (
@@ -23,6 +25,7 @@ from registry.tables import (
     host_chain,
     labelled,
     listing_pages,
+    menu_pages,
     page_hrefs,
     pages,
     table,
@@ -31,7 +34,7 @@ from textloom import functions as X
 from textloom import operators as O
 from textloom import sources as S
 from textloom.plans import fresh_path, range_scan
-from textloom.streaming import stream_distinct_urls, stream_filter
+from textloom.streaming import stream_distinct_urls, stream_filter, stream_split
 
 LANGS = ("de", "en", "es", "fr")  # fixed values: the languages of the documents table
 STOP_WORDS = ("the", "of", "and", "to", "de", "la", "que", "el", "der", "die", "und", "le", "les", "et")
@@ -39,6 +42,7 @@ FLAGGED_WORDS = ("worthless", "stupid", "idiot", "hate", "pills", "casino")
 SKIP, TAKE = 120, 700         # range scan
 BLOCK, MAP_BATCH = 128, 100   # packing
 MAX_LEN, PAD, BOS = 256, 0, 1  # fixed-length rows; word ids start at 2
+TENSOR_FACTORS, TENSOR_MOD, TENSOR_SCALE = (3, 5, 7), 11, 64  # whole-number model over ids
 
 RECIPE = O.Recipe(
     bounds=(
@@ -76,6 +80,28 @@ def range_scan_query(spark, sf):
     return range_scan(table(spark, sf, "documents"), "doc_id", SKIP, TAKE).select("doc_id", "lang", "n_chars")
 
 
+@query
+def range_scan_stored(spark, sf):
+    rows = S.range_scan_stored(table(spark, sf, "lineitem"), SKIP, TAKE)
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+
+
+@query
+def stored_row_index(spark, sf):
+    return S.with_stored_index(table(spark, sf, "lineitem")).select("row_idx", "l_orderkey", "l_linenumber")
+
+
+@query
+def publish_roundtrip(spark, sf):
+    docs, path = table(spark, sf, "documents"), fresh_path(spark, "published")
+    S.publish_version(docs.select("doc_id", "lang", "source"), path, run="all")
+    docs.select("doc_id").write.parquet(f"{path}/data/v0000000002-broken")  # a run that never committed
+    for _ in range(2):  # the second time nothing is written
+        S.publish_version(O.heur_filter(docs, RECIPE).select("doc_id", "lang", "source"), path, run="clean")
+    numbers = [v.number for v in S.published_versions(spark, path)]
+    return S.read_version(spark, path).withColumn("version", F.lit(numbers[-1]))
+
+
 @query
 def json_metadata_roundtrip(spark, sf):
     meta = books(spark, sf).withColumn("author", F.lit(None).cast("string")).withColumn("categories", F.array(F.regexp_extract("url", "//([^/]*)", 1)))
@@ -143,6 +169,15 @@ def attach_predictions(spark, sf):
     return table(spark, sf, "documents").select("doc_id", "source").join(table(spark, sf, "labels"), "doc_id")
 
 
+@query
+def zip_predictions(spark, sf):
+    docs = table(spark, sf, "documents")
+    scored = O.toxic_predictions(S.with_stored_index(docs), _toxic(spark, sf))
+    path = fresh_path(spark, "predictions")  # a list in row order, without any key
+    S.write_in_order(scored.select("row_idx", "predictions"), path, "row_idx")
+    return S.zip_stored(docs.select("doc_id", "source"), S.read_table(spark, path).select("predictions"))
+
+
 @query
 def id2label(spark, sf):
     names = {0: "news", 1: "books", 2: "web", 3: "law", 4: "health", 5: "sports"}
@@ -353,7 +388,18 @@ def pagination_rules(spark, sf):
 
 @query
 def category_urls(spark, sf):
-    return O.category_urls(home_pages(spark, sf))
+    return O.category_urls(menu_pages(spark, sf))
+
+
+@query
+def page_node_rows(spark, sf):
+    shown = F.when(~F.col("url").contains("#"), F.col("html"))  # the others are bad input
+    rows = S.page_node_rows(pages(spark, sf).select("page_id", shown.alias("html")), keep=["page_id"])
+    links = rows.where("error is not null or (tag = 'a' and href is not null)")
+    return links.groupBy("page_id", "error").agg(
+        F.count("href").alias("n_links"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "href"))), lambda x: x["href"]), " ").alias("links"),
+    )
 
 
 @query
@@ -477,6 +523,48 @@ def toxic_rejects(spark, sf):
     return O.toxic_rejects(documents(spark, sf), _toxic(spark, sf)).select("doc_id", "source", "predictions")
 
 
+def _auc(spark, sf, label):
+    rows = labelled(spark, sf)
+    model = O.fit_nb(rows.where(~O.held_out("doc_id")), label, classes=(0, 1))
+    scored = model.raw(rows.where(O.held_out("doc_id"))).withColumn("score", F.col("raw")[1] - F.col("raw")[0])
+    return O.auc(scored, "score", label).withColumn("auc", F.round("auc", 6))
+
+
+@query
+def quality_auc(spark, sf):
+    return _auc(spark, sf, "quality")
+
+
+@query
+def toxic_auc(spark, sf):
+    return _auc(spark, sf, "toxic")
+
+
+def load_tensor_model():
+    def predict(ids: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        each = [(mask * ((ids.astype(np.int64) * k) % TENSOR_MOD - TENSOR_MOD // 2)).sum(axis=1) for k in TENSOR_FACTORS]
+        return np.stack(each, axis=1) / float(TENSOR_SCALE)
+
+    return predict
+
+
+@query
+def tensor_scores(spark, sf):
+    rows = O.truncate_pad(_encoded(spark, sf), PAD, MAX_LEN)
+    scored = O.tensor_scores(rows, load_tensor_model, MAX_LEN)
+    whole = F.transform("logits", lambda x: (x * TENSOR_SCALE).cast("long"))
+    return scored.select(
+        "doc_id", joined(whole).alias("logits"), X.top1("logits").alias("predictions"), F.round(F.array_max("scores"), 6).alias("p")
+    )
+
+
+@query
+def tensor_filter(spark, sf):
+    docs = documents(spark, sf)
+    scorer = O.tensor_model(load_tensor_model, O.build_vocabulary(docs, first_id=2), MAX_LEN, PAD, BOS)
+    return O.toxic_filter(docs, scorer).select("doc_id", "source", "predictions")
+
+
 @query
 def domain_tag(spark, sf):
     return _tagged(spark, sf).select("doc_id", "domains")
@@ -535,6 +623,22 @@ def pack_blocks(spark, sf):
     return blocks.select("batch", "block", joined("input_ids").alias("input_ids"), joined("labels").alias("labels"), F.size("attention_mask").alias("n"))
 
 
+@query
+def token_offsets_global(spark, sf):
+    return O.token_offsets(_encoded(spark, sf), mode="global")
+
+
+@query
+def pack_blocks_global(spark, sf):
+    blocks = O.pack(_encoded(spark, sf), BLOCK, mode="global")
+    return blocks.select("batch", "block", joined("input_ids").alias("input_ids"), joined("labels").alias("labels"), F.size("attention_mask").alias("n"))
+
+
+@query
+def pack_dropped_global(spark, sf):
+    return O.pack_dropped(_encoded(spark, sf), BLOCK, mode="global")
+
+
 @query
 def pack_dropped(spark, sf):
     return O.pack_dropped(_encoded(spark, sf), BLOCK, MAP_BATCH)
@@ -570,6 +674,13 @@ def dedup_pairs(spark, sf):
     return pairs.where("jaccard >= 0.75").select("a", "b", F.round("jaccard", 6).alias("jaccard"))
 
 
+@query
+def dedup_pairs_estimated(spark, sf):
+    signed = O.signatures(documents(spark, sf))
+    pairs = O.slot_similarity(O.candidates(O.bands(signed)), signed)
+    return pairs.where("estimate >= 0.75").select("a", "b", F.round("estimate", 6).alias("estimate"))
+
+
 @query
 def dedup_clusters(spark, sf):
     return O.duplicate_clusters(documents(spark, sf))
@@ -628,6 +739,21 @@ def stream_filter_query(spark, sf):
     return spark.read.parquet(dst)
 
 
+@query
+def stream_split_query(spark, sf):
+    docs = table(spark, sf, "documents")
+    dst = fresh_path(spark, "stream-scored")
+    model = _toxic(spark, sf)
+    run = stream_split(
+        spark, sf, f"{dst}/kept", f"{dst}/rejects", f"{dst}/checkpoint", docs.schema,
+        lambda d: O.toxic_predictions(d, model).select("doc_id", "source", "predictions"), F.col("predictions") == 0,
+        glob="documents.parquet",
+    )
+    run.awaitTermination()
+    both = [spark.read.parquet(f"{dst}/{t}").withColumn("sink", F.lit(t)) for t in ("kept", "rejects")]
+    return both[0].unionByName(both[1]).select("doc_id", "source", "predictions", "sink")
+
+
 @query
 def stream_distinct_urls_query(spark, sf):
     rows = table(spark, sf, "pages")

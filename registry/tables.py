@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textloom.functions import html_to_text, hrefs, sanitize_filename, url_without_tail
+from textloom.functions import html_to_text, hrefs, sanitize_filename, url_host, url_without_tail
 from textloom.operators.books import with_epub_name
 from textloom.operators.pages import LinkRule, page_records
 from textloom.plans import with_row_index
@@ -126,5 +126,14 @@ def home_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _site(spark, sf_dir).where("page_id < 5").selectExpr(f"'{SITE}' AS url", f"{HOME_HTML} AS html")
 
 
+def menu_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every given page under a menu that names a category for its host, and a link beside the menu."""
+    menu = F.concat(
+        F.lit('<ul><li class="menu-item a"><a href="' + SITE + 'category/'), url_host("url"),
+        F.lit('/">c</a></li></ul><a href="/category/no/">no</a>'), F.col("html"),
+    )
+    return pages(spark, sf_dir).select("url", menu.alias("html"))
+
+
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _site(spark, sf_dir).where("page_id < 5").selectExpr(f"{CATEGORY} AS start")
