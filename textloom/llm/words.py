@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 700_000
 JOINED_BYTES = 64 << 10   # words handed to the library as one text
 
 _SOLID = np.zeros(256, bool)      # a byte that is a sign by itself and not white space
@@ -74,6 +74,15 @@ def per_process(key: str, make: Callable):
     return kept[key]
 
 
+def last_of_process(name: str, key: str, make: Callable):
+    """Like ``per_process``, but of the keys of one name only the last stays."""
+    slot = per_process(name, dict)
+    if key not in slot:
+        slot.clear()
+        slot[key] = make()
+    return slot[key]
+
+
 def digest(content: bytes) -> str:
     return hashlib.sha256(content).hexdigest()[:16]
 
@@ -223,8 +232,8 @@ GAP = "▁"  # fixed value: how pieces write a space
 
 
 class Pieces:
-    """A piece tokenizer that puts a space before every text: ids of words that begin with a
-    space or a line feed, and the bytes of every id."""
+    """A piece tokenizer that puts a space before every text: ids of words, and the bytes of
+    every id."""
 
     def __init__(self, model: bytes):
         import sentencepiece
@@ -237,7 +246,7 @@ class Pieces:
         ]
         self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
         self.is_byte = np.array([self.model.is_byte(i) for i in range(n)])
-        (self.gap,) = self.model.encode(["\n"])[0][:1]  # the space put before a text
+        self.feed = self.model.encode("\n")  # the space put before a text, and the line feed
 
     def spans_words(self) -> bool:
         """Whether a piece goes on over a space or holds a line feed, so that words cannot be
@@ -245,12 +254,27 @@ class Pieces:
         pieces = [self.model.id_to_piece(i) for i in range(len(self.model)) if not self.is_byte[i]]
         return any("\n" in p or any(p[k] == GAP != p[k - 1] for k in range(1, len(p))) for p in pieces)
 
+    def ends_letters(self, marks: bytes) -> bytes:
+        """Those of ``marks`` that follow a letter in no piece, so that words can end before them."""
+        pieces = [p for i, p in enumerate(map(self.model.id_to_piece, range(len(self.model)))) if not self._control(i)]
+        after = {p[k] for p in pieces for k in range(1, len(p)) if p[k - 1].isascii() and p[k - 1].isalpha()}
+        return bytes(m for m in marks if chr(m) not in after)
+
+    def _control(self, i: int) -> bool:
+        return self.model.is_byte(i) or self.model.is_control(i) or self.model.is_unknown(i)
+
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        ids = self.model.encode([w[w[:1] == b" ":].decode() for w in words], num_threads=1)
-        for i, w in enumerate(words):
-            if w[:1] == b"\n":  # after a line feed stands no space
-                if ids[i][0] != self.gap:
-                    raise ValueError("the vocabulary joins a space to a line feed")
-                ids[i] = ids[i][1:]
+        """A word without a space before it is encoded after a line feed, which joins nothing."""
+        texts, drop = [], []
+        for w in words:
+            first = w[:1]
+            texts.append((w[1:] if first == b" " else w if first == b"\n" else b"\n" + w).decode())
+            drop.append(0 if first == b" " else 1 if first == b"\n" else 2)
+        ids = self.model.encode(texts, num_threads=1)
+        for i, n in enumerate(drop):
+            if n:
+                if ids[i][:2] != self.feed:
+                    raise ValueError("the vocabulary joins a line feed to what stands beside it")
+                ids[i] = ids[i][n:]
         sizes = np.array([len(x) for x in ids], np.int64)
         return np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(sizes.sum())), sizes
