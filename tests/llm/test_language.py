@@ -1,3 +1,5 @@
+import random
+
 from tests.llm.conftest import ODD, SF
 from textloom.llm.language import LanguageModel, fit_language_model, identify_language, with_language
 from textloom.llm.queries import op5_language
@@ -47,3 +49,29 @@ def test_few_or_no_languages(spark, odd, none):
     empty = fit_language_model(none)
     assert empty.families == {} and {r.lang_pred for r in identify_language(odd, empty).collect()} == {"und"}
     assert isinstance(empty, LanguageModel)
+
+
+def test_noise_and_languages_that_were_not_learned_are_rejected(spark):
+    """Clean texts of the learned languages stay, short ones too."""
+    rng = random.Random(9)
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
+    model = fit_language_model(docs)
+    finnish = (
+        "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto "
+        "heidän on toimittava toisiaan kohtaan veljeyden hengessä jokaisella on oikeus elämään vapauteen ja turvallisuuteen"
+    ).split()
+    polish = (
+        "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem "
+        "i powinni postępować wobec innych w duchu braterstwa każdy człowiek ma prawo do życia wolności i bezpieczeństwa"
+    ).split()
+    bad = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(3, 11))) for _ in range(120)) for _ in range(30)]
+    bad += [" ".join(rng.choices(words, k=150)) for words in (finnish, polish) for _ in range(30)]
+    clean = [r.text for r in docs.where("n_chars > 20").orderBy("doc_id").limit(300).collect()]
+    short = [" ".join(t.split()[:k]) for k, t in zip((1, 2, 3, 5, 8, 13) * 20, clean[:120])]
+    rows = [(k, t) for k, t in enumerate(bad + clean + short)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    usual = {r.doc_id: r.usual for r in identify_language(df, model).collect()}
+    kept = {r.doc_id for r in with_language(df, model).collect()}
+    assert sum(k in kept for k in range(len(bad))) <= 2
+    letters = {k for k, t in rows if k >= len(bad) and any(c.isalpha() for c in t)}
+    assert letters - kept == set(), sorted((usual[k], rows[k][1][:60]) for k in letters - kept)

@@ -4,6 +4,11 @@ Features are frequencies of hashed 3- and 4-grams of lower-case bytes.  One line
 support vector machine per family tells it from all others; within a family one machine
 per pair of languages votes (one versus one).  A score is a mean of weights over the
 n-grams of the whole text, so a text of any length is read once, in slices.
+
+Machines that only tell languages apart find one for any text.  How usual a text is for
+its language is therefore measured beside: the mean log frequency of its n-grams, in
+standard deviations from that of labelled texts that the frequencies were not counted on.
+Noise and languages that were not learned lie far below them.
 """
 
 from __future__ import annotations
@@ -38,6 +43,10 @@ SIZE = 2 << HASH_BITS        # 3-grams in the lower half, 4-grams in the upper
 SAMPLE = 300                 # texts per language that a model is fitted on, about
 STEPS, PENALTY = 150, 1e-4   # of the solver
 UNKNOWN = "und"
+RARE = 1e-5                  # frequency of an n-gram that the sample does not hold
+OVERLAP = 8                  # n-grams that share a byte, about: so many count as one observation
+LEAST_SPREAD = 0.05          # of mean log frequencies between texts, at least
+UNUSUAL = 10.0               # standard deviations below which a text is not of its language
 
 _SPACED = np.arange(256, dtype=np.uint32)
 _SPACED[:128] = 32
@@ -53,6 +62,9 @@ class LanguageModel:
     weights: np.ndarray   # one column per machine, and a last row of zeros
     biases: np.ndarray
     scales: np.ndarray
+    langs: tuple[str, ...] = ()
+    usual: np.ndarray | None = None    # log frequencies, one column per language, and a last row of zeros
+    spread: np.ndarray | None = None   # per language: mean log frequency, its deviation between texts and inside one
 
 
 def _grams(data: np.ndarray, lo: int, hi: int, row_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,7 +89,8 @@ def _grams(data: np.ndarray, lo: int, hi: int, row_ends: np.ndarray) -> tuple[np
     return i3, i4
 
 
-def _margins(column: pa.Array, weights: np.ndarray, biases: np.ndarray) -> np.ndarray:
+def _means(column: pa.Array, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean weights over the n-grams of every text, and the number of n-grams."""
     data, at = flat(column)
     n = len(at) - 1
     total, count = np.zeros((n, weights.shape[1])), np.zeros(n)
@@ -91,15 +104,16 @@ def _margins(column: pa.Array, weights: np.ndarray, biases: np.ndarray) -> np.nd
         for k in range(weights.shape[1]):
             w = np.ascontiguousarray(weights[:, k])
             total[i:j, k] += sums(w[i3] + w[i4], starts, ends)
-    return total / np.maximum(count, 1)[:, None] + biases
+    return total / np.maximum(count, 1)[:, None], count
 
 
 def _profiles(df: DataFrame) -> DataFrame:
-    """``(lang, key, buckets, shares)``: n-gram frequencies of the texts of a sample."""
+    """``(lang, key, buckets, shares, grams)``: n-gram frequencies of the texts of a sample, and how
+    many n-grams they have."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         data, at = flat(batch.column(2))
-        buckets, shares = [], []
+        buckets, shares, grams = [], [], []
         for i in range(batch.num_rows):
             counts = np.zeros(SIZE + 1)
             for lo, hi, _, _ in byte_slices(at[i:i + 2]):
@@ -107,16 +121,18 @@ def _profiles(df: DataFrame) -> DataFrame:
                     counts += np.bincount(g, minlength=SIZE + 1)
             some = np.flatnonzero(counts[:SIZE])
             buckets.append(some.astype(np.int32))
-            shares.append(counts[some] / max(counts[:SIZE].sum(), 1))
+            grams.append(int(counts[:SIZE].sum()))
+            shares.append(counts[some] / max(grams[-1], 1))
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(buckets, pa.list_(pa.int32())),
-             pa.array(shares, pa.list_(pa.float64()))],
-            ["lang", "key", "buckets", "shares"],
+             pa.array(shares, pa.list_(pa.float64())), pa.array(grams, pa.int64())],
+            ["lang", "key", "buckets", "shares", "grams"],
         )
 
     return map_batches(df, run, [
         T.StructField("lang", T.StringType()), T.StructField("key", T.LongType()),
         T.StructField("buckets", T.ArrayType(T.IntegerType())), T.StructField("shares", T.ArrayType(T.DoubleType())),
+        T.StructField("grams", T.LongType()),
     ])
 
 
@@ -151,6 +167,34 @@ def _fit_machine(rows: pd.DataFrame) -> pd.DataFrame:
     })
 
 
+def _fit_usual(rows: pd.DataFrame) -> pd.DataFrame:
+    """Log frequencies of a language's n-grams from two thirds of its texts, and what they come to in
+    the others."""
+    rows = rows[rows["grams"] > 0].sort_values("key", kind="stable")
+    apart = np.arange(len(rows)) % 3 == 0
+    if len(rows) < 6:
+        apart[:] = False
+    total = np.zeros(SIZE)
+    for buckets, shares in zip(rows["buckets"][~apart], rows["shares"][~apart]):
+        total[np.asarray(buckets, np.int64)] += shares
+    usual = np.log(total / max((~apart).sum(), 1) + RARE)
+    judged = rows[apart] if apart.any() else rows
+    means, inner, grams = [], [], judged["grams"].to_numpy()
+    for buckets, shares in zip(judged["buckets"], judged["shares"]):
+        x = usual[np.asarray(buckets, np.int64)]
+        means.append(float(np.dot(x, shares)))
+        inner.append(float(np.dot((x - means[-1]) ** 2, shares)))
+    means, inner = np.array(means), np.array(inner)
+    some = grams >= np.median(grams) if len(grams) else np.zeros(0, bool)  # the longer half tells how texts differ
+    centre = float(np.median(means[some])) if len(means) else 0.0
+    between = 1.4826 * float(np.median(np.abs(means[some] - centre))) if len(means) else 1.0
+    inside = float(np.sqrt(np.mean(inner))) if len(inner) else 1.0
+    return pd.DataFrame({
+        "lang": [rows["lang"].iloc[0] if len(rows) else None], "usual": [usual], "centre": [centre],
+        "between": [max(between, LEAST_SPREAD)], "inside": [max(inside, LEAST_SPREAD)],
+    })
+
+
 def _text(text_col: str) -> tuple[Column, Column]:
     text = F.col(f"`{text_col}`")
     return F.lower(text), F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
@@ -186,7 +230,8 @@ def fit_language_model(
             machines.append((a, b))
     weights = np.zeros((SIZE + 1, len(machines)))
     biases, scales = np.zeros(len(machines)), np.ones(len(machines))
-    if machines:
+    usual, spread = np.zeros((SIZE + 1, len(langs))), np.tile([0.0, np.inf, 1.0], (len(langs), 1))
+    if langs:
         limit = 1 << 30
         rates = spark.createDataFrame(
             [(lang, int(min(1.0, sample / n) * limit)) for lang, n in counts.items()], "lang string, rate long"
@@ -196,15 +241,23 @@ def fit_language_model(
             .join(F.broadcast(rates), "lang").where(F.pmod("key", F.lit(limit)) < F.col("rate"))
             .groupBy("lang", "key").agg(F.first("text").alias("text"))
         )
+        profiles = durable(_profiles(chosen.select("lang", "key", "text")), "language-profiles")
+        counted = profiles.groupBy("lang").applyInPandas(
+            _fit_usual, "lang string, usual array<double>, centre double, between double, inside double"
+        )
+        for r in counted.where("lang is not null").collect():  # one row of SIZE numbers per language
+            k = langs.index(r["lang"])
+            usual[:SIZE, k], spread[k] = r["usual"], (r["centre"], r["between"], r["inside"])
+    if machines:
         table = spark.createDataFrame(sides, "machine int, lang string, side int")
         fitted = (
-            _profiles(chosen.select("lang", "key", "text")).join(F.broadcast(table), "lang").groupBy("machine")
+            profiles.join(F.broadcast(table), "lang").groupBy("machine")
             .applyInPandas(_fit_machine, "machine int, weights array<double>, bias double, scale double")
         )
         for r in fitted.collect():  # one row of SIZE numbers per machine
             weights[:SIZE, r["machine"]] = r["weights"]
             biases[r["machine"]], scales[r["machine"]] = r["bias"], r["scale"]
-    return LanguageModel(families, tuple(machines), weights, biases, scales)
+    return LanguageModel(families, tuple(machines), weights, biases, scales, tuple(langs), usual, spread)
 
 
 def _decide(model: LanguageModel, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,41 +291,54 @@ def _decide(model: LanguageModel, margins: np.ndarray) -> tuple[np.ndarray, np.n
 def identify_language(
     docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """``(id_col, lang_pred, score)`` for every row of ``docs``.
+    """``(id_col, lang_pred, score, usual)`` for every row of ``docs``; ``usual`` tells how many standard
+    deviations the text lies from the labelled ones of the language, below zero if its n-grams
+    are rarer.
 
     A null text, a text without any letter and every text under a model that knows no
-    language get ``und`` and score 0.  A text too short for an n-gram goes by the
+    language get ``und``, score 0 and no ``usual``.  A text too short for an n-gram goes by the
     machines' biases.  Repeated rows and null ids each give a row of their own; other
     columns are ignored, whatever their names.
     """
     lower, lettered = _text(text_col)
     # plain values: a broadcast is unpickled before any function of this package is there
     shipped = docs.sparkSession.sparkContext.broadcast(
-        (dict(model.families), model.machines, model.weights, model.biases, model.scales)
+        (dict(model.families), model.machines, model.weights, model.biases, model.scales, model.langs, model.usual, model.spread)
     )
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         known = LanguageModel(*shipped.value)
         n = batch.num_rows
-        lang, score = np.full(n, UNKNOWN, object), np.zeros(n)
+        lang, score, usual = np.full(n, UNKNOWN, object), np.zeros(n), np.full(n, np.nan)
         has = np.flatnonzero(batch.column(2).to_numpy(zero_copy_only=False))
         if known.families and len(has):
             texts = pc.take(pc.fill_null(batch.column(1), "").cast(pa.large_string()), pa.array(has))
-            lang[has], score[has] = _decide(known, _margins(texts, known.weights, known.biases))
+            means, grams = _means(texts, np.concatenate([known.weights, known.usual], axis=1))
+            k = len(known.machines)
+            lang[has], score[has] = _decide(known, means[:, :k] + known.biases)
+            found = np.array([known.langs.index(x) for x in lang[has]])
+            centre, between, inside = known.spread[found].T
+            off = means[np.arange(len(has)), k + found] - centre
+            usual[has] = off / np.sqrt(between**2 + OVERLAP * inside**2 / np.maximum(grams, 1))
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(lang, pa.string()), pa.array(score)], [id_col, "lang_pred", "score"]
+            [batch.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(usual, mask=np.isnan(usual))],
+            [id_col, "lang_pred", "score", "usual"],
         )
 
     return map_batches(
         docs.select(F.col(f"`{id_col}`").alias("id"), lower.alias("text"), lettered.alias("has")), run,
-        [field(docs, id_col), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())],
+        [field(docs, id_col), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+         T.StructField("usual", T.DoubleType())],
     )
 
 
-def with_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", least: float = 0.0) -> DataFrame:
-    """``docs`` without the rows whose language cannot be told: those that would get ``und``, and
-    those with a score below ``least``.  Rows equal in id and text share their fate."""
+def with_language(
+    docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", unusual: float = UNUSUAL
+) -> DataFrame:
+    """``docs`` without the rows whose language cannot be told: those that would get ``und``, and those
+    more than ``unusual`` standard deviations below the labelled texts of the language they are
+    nearest to.  Rows equal in id and text share their fate."""
     key = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     found = identify_language(docs.select(key.alias("key"), F.col(f"`{text_col}`").alias("text")), model, "key", "text")
-    rejected = durable(found.where((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select("key").distinct(), "no-language")
+    rejected = durable(found.where((F.col("lang_pred") == UNKNOWN) | (F.col("usual") < -unusual)).select("key").distinct(), "no-language")
     return docs.join(rejected, F.xxhash64(docs[f"`{id_col}`"], docs[f"`{text_col}`"]) == rejected["key"], "left_anti")
