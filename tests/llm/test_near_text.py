@@ -79,3 +79,27 @@ def test_rows_that_share_an_id(spark):
     assert {(r.doc_id, r.component_id, r.kept) for r in found.collect()} == {(5, 3, False), (3, 3, True), (7, 3, False)}
     same = spark.createDataFrame([(1, a), (1, a), (1, b)], "doc_id long, text string")
     assert [r.doc_id for r in without_near_duplicates(same, near_duplicates(same)).collect()] == [1]
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_every_text_of_an_id_keeps_its_links(spark, parts):
+    """Twenty ids that hold two unlike texts each, and near copies of both under other ids: whatever
+    the order of the rows, the three ids are one component."""
+    rng = random.Random(11)
+    rows, want = [], {}
+    for k in range(20):
+        a, b = ([f"{x}{k}w{rng.randrange(10**6)}" for _ in range(60)] for x in "ab")
+        one, two, three = 3 * k, 3 * k + 1, 3 * k + 2  # the smallest id holds both texts
+        rows += [(one, " ".join(a)), (one, " ".join(b)), (two, " ".join(changed(a, 1, rng))), (three, " ".join(changed(b, 1, rng)))]
+        want |= dict.fromkeys((one, two, three), one)
+    rng.shuffle(rows)
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts))
+    assert {(r.doc_id, r.component_id) for r in found.collect()} == set(want.items())
+
+
+def test_an_id_with_many_texts_joins_their_groups(spark):
+    rng = random.Random(12)
+    texts = [" ".join(f"t{k}w{rng.randrange(10**6)}" for _ in range(30)) for k in range(40)]
+    rows = [(9, t) for t in texts] + [(100 + k, t + " more") for k, t in enumerate(texts)]
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id string, text string"))
+    assert {r.component_id for r in found.collect()} == {"100"} and found.count() == 80

@@ -1,7 +1,7 @@
 """Near-duplicate texts by MinHash: banding, signature checks, exact sets, components.
 
 Texts with equal sets are folded into classes first, so a group of copies of any size is
-one vertex.  A class's signature is cut into bands; classes that share a band are
+one vertex; ids are joined to classes at the end, as one id may hold texts of several.  A class's signature is cut into bands; classes that share a band are
 candidates.  They are linked without listing all pairs of a band:
 
 1. every class is compared with one centre, the class around which most of its bands
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from textloom.llm.batches import field, flat, map_batches, narrow, whole_groups
 from textloom.llm.shingles import WIDTH, mix, sets_by_slice
 from textloom.operators.components import components
-from textloom.plans import durable
+from textloom.plans import durable, with_row_index
 from textloom.plans.skew import lookup_join
 
 THRESHOLD = Fraction(3, 4)
@@ -68,22 +68,26 @@ def _signatures(column: pa.Array, width: int) -> tuple[np.ndarray, list[bytes |
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
-    """``(id, n, digest, signature)``; digest and signature are null for an empty set."""
+    """``(id, text_hash, n, digest, signature)``; digest and signature are null for an empty set."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes, digests, found = _signatures(batch.column(1), width)
         rows = [found[k].tobytes() if sizes[k] else None for k in range(len(sizes))]
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes), pa.array(digests, pa.binary()), pa.array(rows, pa.binary())],
-            ["id", "n", "digest", "signature"],
+            [batch.column(0), batch.column(2), pa.array(sizes), pa.array(digests, pa.binary()), pa.array(rows, pa.binary())],
+            ["id", "text_hash", "n", "digest", "signature"],
         )
 
-    return map_batches(narrow(docs, id=id_col, text=text_col), run, [
-        field(docs, id_col, "id"), T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()),
+    return map_batches(_hashed(docs, id_col, text_col), run, [
+        field(docs, id_col, "id"), T.StructField("text_hash", T.LongType()), T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()),
         T.StructField("signature", T.BinaryType()),
     ])
 
 
+def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return narrow(docs, id=id_col, text=text_col).withColumn("text_hash", F.xxhash64("text"))
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return flat(column)[0].view(np.uint32).reshape(-1, HASHES)
 
@@ -144,13 +148,10 @@ def _confirmed(texts: DataFrame, pairs: DataFrame, width: int, threshold: Fracti
                     lo, hi, shingles, bounds = next(sets)
                 if groups[r] != group:
                     group, held = groups[r], {}
-                if kinds[r] == 0:  # rows of one id that differ in text are all held
-                    held.setdefault(a[r], []).append(shingles[bounds[r - lo]:bounds[r - lo + 1]].copy())
-                    continue
-                for x in held.get(a[r], ()):
-                    if any(_similar(x, y, top, bottom) for y in held.get(b[r], ())):
-                        linked.append(r)
-                        break
+                if kinds[r] == 0:
+                    held[a[r]] = shingles[bounds[r - lo]:bounds[r - lo + 1]].copy()
+                elif _similar(held[a[r]], held[b[r]], top, bottom):
+                    linked.append(r)
             if linked:
                 keep = pa.array(linked)
                 yield pa.RecordBatch.from_arrays(
@@ -323,36 +324,54 @@ def near_duplicates(
 
     ``component_id`` is the smallest id reachable by links, ``kept`` is whether it is the
     row's own.  Null texts and texts without words have an empty set and are linked with
-    nothing.  Rows that share an id are one document: they lie in one component.  Rows
-    without an id are linked with nothing; their component is null and they are kept.
+    nothing.  Rows that share an id are one document, with the links of all their texts: they
+    lie in one component.  Rows without an id are linked with nothing; their component is
+    null and they are kept.
     Other columns are ignored, whatever their names; an empty table gives an empty one.
     """
     signed = durable(signatures(docs, id_col, text_col, width), "signatures")
     full = signed.where("digest is not null and id is not null")
-    classes = durable(full.groupBy("n", "digest").agg(F.min("id").alias("rep")), "classes")
+    grouped = full.groupBy("n", "digest").agg(F.min(F.struct("id", "text_hash")).alias("first"), F.count(F.lit(1)).alias("rows"))
+    # a class is a vertex under a number of its own; its first row's text stands for it
+    classes = durable(
+        with_row_index(grouped, "n", "digest", name="class").select("class", "n", "digest", "rows", "first.id", "first.text_hash"),
+        "classes",
+    )
+    first = ["n", "digest", "id", "text_hash"]
     reps = durable(
-        full.join(classes.withColumnRenamed("rep", "id"), ["n", "digest", "id"], "left_semi")
-        .select("id", "n", "signature").dropDuplicates(["id"]), "class-signatures",
+        full.join(classes.select("class", *first), first).select(F.col("class").alias("id"), "n", "signature").dropDuplicates(["id"]),
+        "class-signatures",
     )
     bands = _bands(reps)
     shared = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = durable(lookup_join(bands, shared.withColumn("w", F.col("size")), ["key"], "w"), "band-members")
-    found_ids = members.select("id").distinct()
+    met = members.select(F.col("id").alias("class")).distinct()
+    named = durable(classes.select("class", "id", "text_hash").join(met, "class", "left_semi"), "candidate-classes")
+    wanted = _by_id(_hashed(docs, id_col, text_col).where("id is not null"), named.select("id").distinct(), "id")
     texts = durable(
-        _by_id(narrow(docs, id=id_col, text=text_col).where("id is not null"), found_ids, "id"), "candidate-texts"
+        wanted.join(named, ["id", "text_hash"]).select(F.col("class").alias("id"), "text").dropDuplicates(["id"]), "candidate-texts"
     )
     links = durable(_confirmed(texts, _dealt(durable(_star_pairs(members), "star-pairs")), width, threshold), "star-links")
-    first = durable(components(links), "star-components")
-    open_rows = durable(_open_rows(_open_blocks(members, reps, first), threshold), "open-rows")
+    near = durable(components(links), "star-components")
+    open_rows = durable(_open_rows(_open_blocks(members, reps, near), threshold), "open-rows")
     more = durable(_block_links(open_rows, texts, width, threshold), "more-links")
-    by_class = full.select("id", "n", "digest").join(classes, ["n", "digest"]).select("id", "rep")
-    repeated = by_class.groupBy("id").agg(F.min("rep").alias("b"), F.collect_set("rep").alias("reps")).where("size(reps) > 1")
-    joined = repeated.select(F.explode("reps").alias("a"), "b").where("a <> b")
-    found = components(links.unionByName(more).unionByName(joined)).select(
-        F.col("id").alias("rep"), F.col("cluster")
+    # classes of one id hang on the smallest of them
+    keyed = classes.select("class", "n", "digest", F.col("rows").alias("w"))
+    held = durable(
+        lookup_join(full.select("id", "n", "digest"), keyed, ["n", "digest"], "w").select("id", "class").distinct(), "ids-classes"
+    )
+    several = held.groupBy("id").agg(F.min("class").alias("b"), F.count(F.lit(1)).alias("w")).where("w > 1")
+    joined = lookup_join(held, durable(several, "ids-of-classes"), ["id"], "w").select(F.col("class").alias("a"), "b").where("a <> b")
+    found = components(links.unionByName(more).unionByName(joined)).withColumnRenamed("id", "class")
+    placed = durable(classes.join(found, "class", "left").withColumn("cluster", F.coalesce("cluster", "class")), "components")
+    least = placed.groupBy("cluster").agg(F.min("id").alias("c"), F.count(F.lit(1)).alias("w"))
+    classed = durable(
+        lookup_join(placed.select("n", "digest", "rows", "cluster"), least, ["cluster"], "w").select("n", "digest", "c", F.col("rows").alias("w")),
+        "components",
     )
-    classed = durable(classes.join(found, "rep", "left").select("n", "digest", F.coalesce("cluster", "rep").alias("c")), "components")
-    out = signed.select("id", "n", "digest").join(classed, ["n", "digest"], "left")
+    rows = signed.select("id", "n", "digest")
+    out = lookup_join(rows.where("digest is not null"), classed, ["n", "digest"], "w", "left").select("id", "n", "c")
+    out = out.unionByName(rows.where("digest is null").select("id", "n", F.lit(None).cast(out.schema["c"].dataType).alias("c")))
     component = F.when(F.col("id").isNotNull(), F.coalesce("c", "id"))
     return out.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
