@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tests.llm.conftest import SF
-from textloom.llm.pages import blocks_of, classify, extract_pages, fit_tree, labelled_blocks, main_text
+from textloom.llm.pages import FEATURES, blocks_of, classify, extract_pages, fit_tree, labelled_blocks, main_text
 from textloom.llm.queries import op10_html_extraction
 
 TREE = fit_tree(*labelled_blocks())
@@ -78,3 +78,58 @@ def test_tree():
     rows, labels = labelled_blocks()
     assert (classify(TREE, rows) == labels).mean() > 0.98 and len(rows) > 500
     assert [b.text for b in blocks_of("<p>a<br>b<p>c")] == ["a b", "c"]
+
+
+LONG_TEXT = "words of the story that is told here go on for a while and do not end before the line is full again "
+LEADS = [
+    "<ul><li><a>home</a></li><li><a>about us</a></li></ul>", "<div><a>home</a> <a>about</a> <a>more of it</a></div>",
+    "<table><tr><td><a>one</a></td><td><a>two</a></td></tr></table>", "<p><a>back to the start</a></p>", "",
+    "<div><a>one</a></div><div><a>two</a></div><div><a>three</a></div>",
+]
+TAILS = [
+    "<ul><li><a>older</a></li><li><a>newer</a></li></ul>", "<div><a>the next story on this site</a></div>", "",
+    "<div><a>one</a> <a>two</a></div><div>made in a year</div>", "<p><a>up</a></p><p><a>down</a></p>", "<div>all rights reserved by them</div>",
+]
+BODIES = [
+    (["<h1>{t}</h1>", "<p>{a}</p>", "<p>{b}</p>", "<p>{c}</p>"]), (["<h2>{t}</h2>", "<div>{a}</div>", "<div>{b}</div>"]),
+    (["<h1>{t}</h1>", "<p>{a}</p>", "<p>yes it was so</p>", "<p>{b}</p>", "<p>{c}</p>"]),
+    (["<h1>{t}</h1>", "<p>{a} <a>a link</a> in it</p>", "<p>{b}</p>"]), (["<h1>{t}</h1>", "<blockquote>{a}</blockquote>", "<p>{b}</p>", "<h2>{t}</h2>", "<p>{c}</p>"]),
+    (["<div><div><h1>{t}</h1>", "<p>{a}</p></div>", "<p>{b}</p></div>"]),
+]
+
+
+@pytest.mark.parametrize("k", range(36))
+def test_pages_without_telling_elements_or_names(k):
+    a, b, c = (LONG_TEXT * n for n in (1 + k % 2, 2, 1 + k % 3))
+    body = "".join(BODIES[k % 6]).format(t="The story", a=a, b=b, c=c)
+    page = LEADS[k // 6] + body + TAILS[(k + k // 6) % 6]
+    want = " ".join(re.sub(r"<[^>]*>", " ", body).split())
+    assert main_text(f"<html><head><title>x</title></head><body>{page}</body></html>", TREE) == want
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<div class='page-with-sidebar'><nav><a>home</a></nav><article><h1>It</h1><p>{x}</p></article></div>", "It {x}"),
+    ("<div class='page-with-sidebar'><ul><li><a>home</a></ul><h1>It</h1><p>{x}</p><p>{x}</p></div>", "It {x} {x}"),
+    ("<form id=aspnetForm><div><a>home</a></div><h1>It</h1><p>{x}</p><p>{x}</p></form>", "It {x} {x}"),
+    ("<p>{x}{x}</p>", "{x}{x}"),
+    ("<article><h1>It</h1><p>{x}</p></article><section><h3>What readers say</h3><p>{x}</p><p>fine</p></section>", "It {x}"),
+    ("<article><h1>It</h1><p>{x}</p></article><div>Subscribe now for more stories</div>", "It {x}"),
+    ("<main><h1>It</h1><p>{x}</p><p>short</p></main><div><p>{x}{x}{x}</p></div>", "It {x} short"),
+    ("<article><h1>It</h1><p>brief</p></article><div id=comments><h2>Say</h2><p>{x}{x}{x}</p></div>", "It brief"),
+])
+def test_wrappers_and_what_stands_beside_the_article(page, want):
+    got = main_text(page.replace("{x}", LONG_TEXT), TREE)
+    assert got == " ".join(want.replace("{x}", LONG_TEXT).split())
+
+
+def test_the_tree_asks_for_words_and_links():
+    asked = set()
+
+    def walk(tree):
+        if isinstance(tree, tuple):
+            asked.add(FEATURES[tree[0]])
+            walk(tree[2])
+            walk(tree[3])
+
+    walk(TREE)
+    assert FEATURES[TREE[0]] == "links" and {"words", "words_before", "words_after", "links_after"} <= asked

@@ -3,14 +3,17 @@
 A page is cut into flat blocks at block-level tags.  A block is described by its words and
 link density, by those of the blocks before and after it, and by what it stands in.  A
 small table of labelled pages trains a decision tree (CART, Gini impurity) that tells main
-text from boilerplate; the blocks it takes for main text are joined in page order.
+text from boilerplate; the blocks it takes for main text are joined in page order.  Most of
+the labelled pages have neither an article element nor telling names, so the tree has to
+go by words and links.  An element that holds the page's title or its article and most of
+the words outside links is a wrapper: its name or tag says nothing against what it holds.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +54,7 @@ _WORD = re.compile(r"[a-z]+")
 
 FEATURES = (
     "words", "links", "words_before", "links_before", "words_after", "links_after", "in_main", "in_side", "side_name",
-    "main_name", "heading", "item",
+    "main_name", "heading", "item", "main_elsewhere",
 )
 
 
@@ -103,13 +106,20 @@ def _names(tag: str, attributes: str) -> tuple[bool, bool]:
 def blocks_of(page: str) -> list[Block]:
     """The flat text blocks of a page, without empty ones."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool, bool, bool, bool]] = []
-    state = (False, False, False, False, False)  # in_main, in_side, side_name, main_name, item
+    placed: list[tuple[tuple[int, ...], tuple[int, ...]]] = []  # the side elements around each block, by tag and by name
+    outside: list[int] = []    # of each side element: words outside links,
+    title: list[bool] = []     # and whether it holds the page's title or article
+    stack: list[tuple] = []
+    state = (False, (), (), False, False)  # in_main, side elements by tag, by name, main_name, item
     pieces: list[tuple[str, bool]] = []
-    heading, links, at, n = False, 0, 0, len(page)
+    heading, links, at, n = "", 0, 0, len(page)
+
+    def side_element() -> tuple[int]:
+        outside.append(0)
+        title.append(False)
+        return (len(outside) - 1,)
 
     def close() -> None:
-        nonlocal heading
         if pieces:
             linked = 0
             for t, inside in pieces:
@@ -117,8 +127,13 @@ def blocks_of(page: str) -> list[Block]:
                     linked += len(t.split())
             text = " ".join("".join(t for t, _ in pieces).split())
             if text:
-                in_main, in_side, side, named, item = state
-                out.append(Block(text, len(text.split()), linked, in_main, in_side, side, named, heading, item))
+                in_main, tags, names, named, item = state
+                words = len(text.split())
+                for k in tags + names:
+                    outside[k] += words - linked
+                    title[k] |= heading == "h1"
+                out.append(Block(text, words, linked, in_main, False, False, named, heading != "", item))
+                placed.append((tags, names))
             pieces.clear()
 
     while at < n:
@@ -149,13 +164,13 @@ def blocks_of(page: str) -> list[Block]:
             continue
         close()
         links = 0
-        heading = not closing and tag in ("h1", "h2", "h3", "h4", "h5", "h6")
+        heading = tag if not closing and tag in ("h1", "h2", "h3", "h4", "h5", "h6") else ""
         if tag not in HOLDERS:
             if not closing and tag == "p" and m[3]:
                 side, named = _names(tag, m[3])
                 if side:  # a paragraph that is named so stands for itself until the next block
                     pieces_state = state
-                    state = (state[0], state[1], True, state[3] or named, state[4])
+                    state = (state[0], state[1], state[2] + side_element(), state[3] or named, state[4])
                     stack.append(("p", *pieces_state))
             elif stack and stack[-1][0] == "p":
                 state = stack.pop()[1:]
@@ -171,26 +186,58 @@ def blocks_of(page: str) -> list[Block]:
             continue
         stack.append((tag, *state))
         side, named = _names(tag, m[3])
-        in_main, in_side, by_name, by_main, item = state
+        in_main, tags, names, by_main, _ = state
+        if tag in MAIN_TAGS and not side:
+            for k in tags + names:
+                title[k] = True
+        by_tag = tag in SIDE_TAGS or tag == "header" and not in_main
         state = (
-            in_main or tag in MAIN_TAGS, in_side or tag in SIDE_TAGS or tag == "header" and not in_main,
-            by_name or side, by_main or named, tag == "li",
+            in_main or tag in MAIN_TAGS, tags + side_element() if by_tag else tags, names + side_element() if side else names,
+            by_main or named, tag == "li",
         )
     close()
-    return out
+    most = sum(b.words - b.linked for b in out) / 2
+    speaks = [not (has and words > most) for words, has in zip(outside, title)]  # wrappers say nothing
+    return [
+        replace(b, in_side=any(speaks[k] for k in tags), side_name=any(speaks[k] for k in names))
+        for b, (tags, names) in zip(out, placed)
+    ]
 
 
 def features(blocks: list[Block]) -> np.ndarray:
     """One row per block of a page; what does not exist before or after counts as empty."""
     words = np.array([0, *(b.words for b in blocks), 0], float)
     links = np.array([0, *(b.linked for b in blocks), 0], float) / np.maximum(words, 1)
-    own = np.array([[b.in_main, b.in_side, b.side_name, b.main_name, b.heading, b.item] for b in blocks], float)
-    return np.column_stack([words[1:-1], links[1:-1], words[:-2], links[:-2], words[2:], links[2:], own.reshape(-1, 6)])
+    links = np.round(links, 2)
+    main = any(b.in_main and not (b.in_side or b.side_name) for b in blocks)
+    own = np.array([
+        [b.in_main, b.in_side, b.side_name, b.main_name, b.heading, b.item, main and not b.in_main] for b in blocks
+    ], float)
+    return np.column_stack([words[1:-1], links[1:-1], words[:-2], links[:-2], words[2:], links[2:], own.reshape(-1, 7)])
 
 
 # The labelled table: small pages, each filled in several ways.  S, L and A stand for a few
 # words, many words and any number of words; * marks main text.
 LABELLED = (
+    "<p>*L</p>",
+    "<div>*L</div>",
+    "<div>*L</div><div><a>S</a> <a>S</a></div>",
+    "<h1>*S</h1><div>*L</div><div>*L</div>",
+    "<div><a>S</a> <a>S</a></div><p>*L</p><p>*S</p><p>*L</p><p>*L</p><div><a>S</a></div><div>S</div>",
+    "<ul><li><a>S</a><li><a>S</a><li><a>S</a></ul><h1>*S</h1><p>*L</p><p>*L <a>S</a></p><h2>*S</h2><p>*L</p><ul><li><a>S</a><li><a>S</a></ul><p>S</p>",
+    "<table><tr><td><a>S</a></td></tr><tr><td>*L</td></tr><tr><td>*L</td></tr><tr><td><a>S</a> <a>S</a></td></tr></table>",
+    "<div><a>L</a></div><h1>*S</h1><p>*L</p><p>*S</p><p>*L</p><div><a>L</a></div><div><a>S</a> S</div>",
+    "<h1>*S</h1><p>*L</p><ul><li>*S<li>*S<li>*L</ul><p>*L</p><ul><li><a>S</a><li><a>S</a></ul>",
+    "<div>S</div><div><a>S</a></div><h2>*S</h2><div>*L</div><div>*S</div><div>*L</div><div><a>S</a></div><div>S</div><div><a>S</a></div>",
+    "<p><a>S</a></p><p><a>S</a></p><p>*L</p><p>*L <a>S</a> L</p><p>*L</p><p><a>S</a></p><p><a>S</a></p>",
+    "<div><a>S</a></div><div>S</div><div><a>S</a></div><p>*L</p><p>*L</p><div>S</div><div><a>S</a></div><div>S</div>",
+    "<article><h1>*S</h1><p>*A</p><p>*A</p></article><section><h3>S</h3><p>A</p><p>L</p></section><div>A</div>",
+    "<div>A</div><main><h1>*S</h1><p>*A</p><p>*A</p></main><div><p>L</p><p>A</p></div><p>S</p>",
+    "<article><h1>*S</h1><p>*S</p><p>*S</p></article><nav><a>S</a></nav>",
+    "<main><p>*S</p></main><div>S</div>",
+    "<article><h1>*S</h1><p>*S</p></article><footer>S</footer>",
+    "<article>*A</article><div><a>S</a></div>",
+    "<article><h2>*S</h2><p>*S</p><p>*<a>S</a></p><p>*S</p></article><div>S</div>",
     "<nav><a>S</a><a>S</a></nav><div class=ad>A</div><article><h1>*S</h1><p>*A<p>*A<p>*A<p>*A<p>*A</article><footer>A</footer>",
     "<header><p>S</p><ul><li><a>S</a><li><a>S</a></ul></header><main><article><header><h2>*S</h2></header><p>*A</p><div class=share>S</div>"
     "<ul><li>*S<li>*A</ul><p>*A<section class=comments><h3>S</h3><p>A</p><p>L</p></section></article></main><aside><h3>S</h3><p>A</p></aside>",
@@ -217,7 +264,7 @@ def labelled_blocks(pages: tuple[str, ...] = LABELLED, fillings: int = FILLINGS)
     rows, labels = [], []
     for page in pages:
         for _ in range(fillings):
-            filled = re.sub("[SLA](?=<|$| <)", lambda m: "word " * int(rng.integers(*_LENGTHS[m[0]])), page)
+            filled = re.sub("[SLA](?=<|$| <| L|$)", lambda m: "word " * int(rng.integers(*_LENGTHS[m[0]])), page)
             found = blocks_of(filled)
             rows.append(features(found))
             labels += [b.text.startswith("*") for b in found]
