@@ -36,6 +36,7 @@ class Aligner:
     def __init__(self, vocabulary: str, model: bytes):
         self.a, self.b = ByteLevel(vocabulary, special_as_text=True), Pieces(model)
         self.whole = self.b.spans_words()  # then every text is one word
+        self.marks = self.b.ends_letters(self.a.marks)
         self.size_b = len(self.b.bytes_of)
         self.identity = identity_map(self.a, self.b)
         self.table = WordTable(self._learn, self._forget)
@@ -111,7 +112,7 @@ class Aligner:
         """``(codes, places, starts, good)``: distinct words of the texts, the place of every word
         in ``codes``, the first word of every text, and whether the text has tokens."""
         data, at = flat(pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts, pa.scalar("", pa.large_string())))
-        begins = at[:-1] if self.whole else cut(data, at)
+        begins = at[:-1] if self.whole else cut(data, at, self.marks)
         codes, places = self.table.codes(as_words(data, begins))
         starts = np.searchsorted(begins, at)
         fine = self.good.items[self.good.at[codes]][places]

@@ -46,7 +46,8 @@ UNKNOWN = "und"
 RARE = 1e-5                  # frequency of an n-gram that the sample does not hold
 OVERLAP = 8                  # n-grams that share a byte, about: so many count as one observation
 LEAST_SPREAD = 0.05          # of mean log frequencies between texts, at least
-UNUSUAL = 10.0               # standard deviations below which a text is not of its language
+FEW = 30                     # texts that tell little of how texts differ
+UNUSUAL = 12.0               # standard deviations below which a text is not of its language
 
 _SPACED = np.arange(256, dtype=np.uint32)
 _SPACED[:128] = 32
@@ -191,7 +192,7 @@ def _fit_usual(rows: pd.DataFrame) -> pd.DataFrame:
     inside = float(np.sqrt(np.mean(inner))) if len(inner) else 1.0
     return pd.DataFrame({
         "lang": [rows["lang"].iloc[0] if len(rows) else None], "usual": [usual], "centre": [centre],
-        "between": [max(between, LEAST_SPREAD)], "inside": [max(inside, LEAST_SPREAD)],
+        "between": [max(between, LEAST_SPREAD) * (1 + FEW / max(len(judged), 1))], "inside": [max(inside, LEAST_SPREAD)],
     })
 
 

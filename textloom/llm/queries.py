@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textloom.llm.alignment import align
@@ -37,6 +36,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a file of the public tokenizers lies; only queries that need one import them."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def vocabulary(path: str) -> str:
     with open(path, encoding="utf-8") as f:
         return f.read()
@@ -59,7 +65,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text."""
     return count_tokens(
-        table(spark, sf_dir, "documents"), vocabulary(public_tokenizers.path(VOCABULARY)), limit=MAX_TOKENS
+        table(spark, sf_dir, "documents"), vocabulary(tokenizer_file(VOCABULARY)), limit=MAX_TOKENS
     )
 
 
@@ -127,7 +133,7 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the files of token ids, read back from the files."""
     path = write_token_files(
         table(spark, sf_dir, "documents"), fresh_path(spark, "token-files"),
-        vocabulary(public_tokenizers.path(BYTE_VOCABULARY)), END_ID,
+        vocabulary(tokenizer_file(BYTE_VOCABULARY)), END_ID,
     )
     return read_boundaries(spark, path)
 
@@ -140,8 +146,8 @@ def piece_model(path: str) -> bytes:
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How two tokenizers' ids meet on every whole text, and how common their links are."""
     rows = align(
-        table(spark, sf_dir, "documents"), vocabulary(public_tokenizers.path(BYTE_VOCABULARY)),
-        piece_model(public_tokenizers.path(PIECES)),
+        table(spark, sf_dir, "documents"), vocabulary(tokenizer_file(BYTE_VOCABULARY)),
+        piece_model(tokenizer_file(PIECES)),
     )
     digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2(F.col("groups").cast("binary"), 256))
     return rows.withColumn("groups_sha256", digest).drop("groups")

@@ -1,12 +1,16 @@
 """Repeated passages by sliding sentence spans.
 
-A text is read as sentences; clauses count as sentences of their own.  One of more than
-16 words without any mark is cut before words chosen by their hash (one in eight), so a
-passage is cut alike wherever it stands; what is still longer than 48 words is cut after
-every 24th.  At every
-sentence begins a span: the shortest run of at least three sentences with at least 25 words.  Spans are
-hashed and joined over the whole corpus; every place at which a span stands, but the
-first, is removed.
+A text is read as sentences; clauses count as sentences of their own.  Where ``REACH``
+words stand without a mark, the one with the smallest hash begins a sentence as well, so
+every ``REACH`` words hold a border, and where it lies depends on these words alone: a passage
+is cut alike wherever it stands, but for fewer than ``REACH`` words at its ends.  At every
+sentence begins a span: the shortest run of at least three sentences with at least 25 words.
+A passage of 48 words therefore holds a span for certain, with or without marks.  Spans are
+hashed and joined over the whole corpus; every place at which a span stands, but the first,
+is removed.
+
+Scripts that leave no space: in a run of more than ``LONG_RUN`` bytes without white space
+every sign of three bytes or more is a word that counts half.
 
 Two passes over the texts keep the shuffles small.  The first counts hashes alone and
 turns the repeated ones into a bit field of fixed size; the second lets through the spans
@@ -22,24 +26,56 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from textloom.llm.batches import field, flat, map_batches, row_slices
-from textloom.llm.shingles import run_hashes, word_hashes, word_spans
+from textloom.llm.shingles import BLANK, run_hashes, word_hashes, word_spans
 from textloom.plans import durable
 from textloom.plans.skew import lookup_join
 
 SENTENCES, WORDS = 3, 25   # of a span, at least
-LONG, ONE_IN = 16, 8       # a sentence of more words is cut before words chosen by their hash
-LONGEST, STEP = 48, 24     # what is still longer is cut after every STEP words
+REACH = 8                  # so many words without a mark have a border by their hashes
+LONG_RUN = 120             # bytes without white space, beyond which signs are words
 FIELD_BITS = 26            # the bit field takes 8 MB
 
 _MARK = np.zeros(256, bool)
 _MARK[[ord(c) for c in ".!?,;:"]] = True
-
-
-def _parts(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of every word, how many words its sentence has and which of them it is."""
-    first = np.flatnonzero(new)
-    sizes = np.diff(np.append(first, len(new)))
-    return np.repeat(sizes, sizes), np.arange(len(new)) - np.repeat(first, sizes)
+# Marks of other scripts that end a sentence or a clause.
+_WIDE_MARKS = np.array([int.from_bytes(c.encode(), "big") for c in "。！？；：，、．｡।॥؟؛،…"], np.int64)
+
+
+def _is_wide_mark(data: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether a word that ends before byte ``end`` ends in a mark of another script."""
+    out = np.zeros(len(end), bool)
+    some = np.flatnonzero(data[end - 1] >= 0x80)
+    last = np.zeros(len(some), np.int64)
+    for k in (3, 2, 1):
+        last = last << 8 | np.where(end[some] >= k, data[np.maximum(end[some] - k, 0)], 0)
+    out[some] = np.isin(last, _WIDE_MARKS) | np.isin(last & 0xFFFF, _WIDE_MARKS)
+    return out
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(starts, ends, word offsets by row, weights)``: words between white space weigh 2; the signs
+    of a long run are words that weigh 1."""
+    start, end, at = word_spans(data, offsets)
+    long = end - start > LONG_RUN
+    if not long.any():
+        return start, end, at, np.full(len(start), 2, np.int64)
+    inside = np.zeros(len(data) + 1, np.int64)
+    np.add.at(inside, start[long], 1)
+    np.add.at(inside, end[long], -1)
+    lead = (np.cumsum(inside)[:-1] > 0) & (data >= 0xE0)
+    after = np.zeros(len(data) + 4, bool)  # what follows a sign is a word again
+    for width, signs in ((3, lead & (data < 0xF0)), (4, lead & (data >= 0xF0))):
+        after[np.flatnonzero(signs) + width] = True
+    first = np.zeros(len(data) + 1, bool)
+    first[start] = True
+    blank = np.ones(len(data) + 1, bool)
+    stop = np.zeros(len(data) + 1, bool)
+    stop[end] = True
+    blank[:-1] = BLANK[data]
+    new = np.flatnonzero((first | np.append(lead, False) | after[:len(data) + 1]) & ~blank)
+    stops = np.flatnonzero(stop | first | np.append(lead, False) | after[:len(data) + 1])
+    ends = stops[np.searchsorted(stops, new, "right")]
+    return new, ends, np.searchsorted(new, offsets), np.where(lead[new], 1, 2)
 
 
 def sentence_starts(
@@ -51,11 +87,18 @@ def sentence_starts(
     new[at] = True
     new = new[:n]
     lines = np.concatenate([[0], np.cumsum(data == 10)])
-    new[1:] |= _MARK[data[end[:-1] - 1]] | (lines[start[1:]] > lines[end[:-1]])
-    size, _ = _parts(new)
-    new |= (size > LONG) & (hashes % np.uint64(ONE_IN) == 0)
-    size, place = _parts(new)
-    new |= (size > LONGEST) & (place % STEP == 0)
+    new[1:] |= _MARK[data[end[:-1] - 1]] | _is_wide_mark(data, end[:-1]) | (lines[start[1:]] > lines[end[:-1]])
+    if n >= REACH:
+        # windows of REACH words without a border choose the word with the smallest hash, the last of equals
+        window = n - REACH + 1
+        marked = np.concatenate([[0], np.cumsum(new)])
+        open_ = marked[REACH:] == marked[:window]
+        least, where = hashes[:window].copy(), np.arange(window)
+        for k in range(1, REACH):
+            lower = hashes[k:k + window] <= least
+            least[lower] = hashes[k:k + window][lower]
+            where[lower] = np.arange(k, k + window)[lower]
+        new[where[open_]] = True
     return np.flatnonzero(new)
 
 
@@ -66,17 +109,19 @@ def spans(column: pa.Array):
     for i, j in row_slices(offsets):
         at = offsets[i:j + 1] - offsets[i]
         part = data[offsets[i]:offsets[j]]
-        start, end, words_at = word_spans(part, at)
+        start, end, words_at, weights = _words(part, at)
         if not len(start):
             continue
         words = word_hashes(part, start, end)
         marks = sentence_starts(part, start, end, words_at, words)
         bounds = np.append(marks, len(start))
         row = np.searchsorted(words_at, marks, "right") - 1
-        last = np.maximum(np.searchsorted(bounds, marks + WORDS), np.arange(len(marks)) + SENTENCES)
+        heavy = np.concatenate([[0], np.cumsum(weights)])
+        last = np.maximum(np.searchsorted(heavy[bounds], heavy[marks] + 2 * WORDS), np.arange(len(marks)) + SENTENCES)
         last = np.minimum(last, len(marks))
         stop = bounds[last]
-        ok = (stop <= words_at[row + 1]) & (stop - marks >= WORDS) & (last - np.arange(len(marks)) >= SENTENCES)
+        enough = heavy[stop] - heavy[marks] >= 2 * WORDS
+        ok = (stop <= words_at[row + 1]) & enough & (last - np.arange(len(marks)) >= SENTENCES)
         if not ok.any():
             continue
         row, lo, hi = row[ok], marks[ok], stop[ok]

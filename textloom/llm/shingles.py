@@ -16,8 +16,8 @@ CHUNK = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BLANK = np.zeros(256, bool)
-_BLANK[[9, 10, 11, 12, 13, 32]] = True
+BLANK = np.zeros(256, bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
 _RANDOM = np.random.default_rng(20_240_601)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)          # odd, so it has an inverse modulo 2**64
@@ -50,7 +50,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     n = len(data)
     bounds = np.zeros(n + 1, bool)
     bounds[offsets] = True
-    blank = _BLANK[data]
+    blank = BLANK[data]
     start = np.flatnonzero(~blank & (np.concatenate([[True], blank[:-1]]) | bounds[:n]))
     end = np.flatnonzero(~blank & (np.concatenate([blank[1:], [True]]) | bounds[1:])) + 1
     return start, end, np.searchsorted(start, offsets)

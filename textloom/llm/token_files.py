@@ -183,6 +183,7 @@ def write_token_files(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = per_process(key, lambda: _Encoder(shipped.value))
         width = 2 if max(len(encoder.library.bytes_of) - 1, end_id) < 1 << 16 else 4
+        kind = np.uint16 if width == 2 else np.uint32
         part, seq = TaskContext.get().partitionId(), 0
         ids, ends, names, n = [], [], [], 0
 
@@ -197,7 +198,7 @@ def write_token_files(
             data, at = flat(texts)
             for i, j in row_slices(at, slice_bytes):
                 found, stops = encoder.encode(data[at[i]:at[j]], at[i:j + 1] - at[i])
-                ids.append(np.insert(found, stops, end_id))
+                ids.append(np.insert(found.astype(kind), stops, end_id))
                 ends.append(n + stops + np.arange(1, j - i + 1))
                 names.append(batch.column(0).slice(i, j - i).cast(pa.int64()))
                 n += len(ids[-1])
