@@ -47,7 +47,7 @@ RARE = 1e-5                  # frequency of an n-gram that the sample does not h
 OVERLAP = 8                  # n-grams that share a byte, about: so many count as one observation
 LEAST_SPREAD = 0.05          # of mean log frequencies between texts, at least
 FEW = 30                     # texts that tell little of how texts differ
-UNUSUAL = 12.0               # standard deviations below which a text is not of its language
+UNUSUAL = 22.0               # standard deviations below which a text is not of its language
 
 _SPACED = np.arange(256, dtype=np.uint32)
 _SPACED[:128] = 32
