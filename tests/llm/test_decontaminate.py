@@ -89,7 +89,7 @@ def test_nothing_depends_on_the_size_of_blocks_and_parts(spark, items, monkeypat
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     bench = spark.createDataFrame([*items.items(), (3, items[3]), (90, None), (91, ""), (92, "tiny")], "item_id long, text string")
     found = []
-    for block, size in ((1 << 20, 1 << 20), (2000, 10_000), (64, 100_000)):
+    for block, size in ((1 << 20, 1 << 20), (2000, 10_000), (700, 100_000)):
         monkeypatch.setattr(D, "SLICE", size)
         found.append(rows_of(D.find_leaks(df, bench, block_bytes=block)))
     assert [(d, i, e) for d, i, e, _, _ in found[0]] == [(-1, 7, 0), (-1, 7, 0), (1, 3, 0), (1, 5, 0), (2, 3, 0), (2, 3, 0)]

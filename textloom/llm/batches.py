@@ -114,6 +114,7 @@ def map_batches(
             out = run(batch) if batch.num_rows else None
             if out is not None:
                 yield out
+        pa.default_memory_pool().release_unused()  # workers live on after their task
 
     return df.mapInArrow(over, T.StructType(list(fields)))
 

@@ -20,7 +20,6 @@ document is shuffled.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +28,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from textloom.llm.batches import field, flat, map_batches, row_slices
-from textloom.llm.words import last_of_process
 
 MAX_RATIO = 0.2           # edits per byte of the item
 BLOCK_BYTES = 1 << 19     # item text that is shipped at once
@@ -172,7 +170,7 @@ def _slots(keys: np.ndarray, size: int) -> np.ndarray:
 def _table(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted keys, the places of their windows, and a table that refuses most other keys at once."""
     order = np.argsort(keys, kind="stable")
-    mark = np.zeros(1 << min(20, max(14, (64 * len(keys)).bit_length())), bool)
+    mark = np.zeros(1 << min(20, max(14, (16 * len(keys)).bit_length())), bool)
     mark[_slots(keys, len(mark))] = True
     return keys[order], places[order], mark
 
@@ -397,9 +395,13 @@ def find_leaks(
     ]
     kinds = {item_col: listed.select("id").limit(0).toArrow().schema.field("id").type}
 
-    def part(shipped, key: str) -> DataFrame:
+    def part(shipped) -> DataFrame:
+        held: list[Index] = []
+
         def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-            index = last_of_process("leaks", key, lambda: build_index(shipped.value["id"].to_pylist(), shipped.value["text"].combine_chunks()))
+            if not held:  # made anew for every task, so that no worker keeps it
+                held.append(build_index(shipped.value["id"].to_pylist(), shipped.value["text"].combine_chunks()))
+            index = held[0]
             found = []
             for i, j in row_slices(flat(batch.column(1))[1], PART):
                 for row, *rest in search(index, batch.column(1).slice(i, j - i), max_ratio):
@@ -421,7 +423,7 @@ def find_leaks(
         block = listed.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).orderBy("id", "text").toArrow()
         if not block.num_rows:
             continue
-        found = part(spark.sparkContext.broadcast(block), f"leaks-{uuid.uuid4().hex}")
+        found = part(spark.sparkContext.broadcast(block))
         out = found if out is None else out.unionByName(found)
     return spark.createDataFrame([], T.StructType(schema)) if out is None else out
 

@@ -74,15 +74,6 @@ def per_process(key: str, make: Callable):
     return kept[key]
 
 
-def last_of_process(name: str, key: str, make: Callable):
-    """Like ``per_process``, but of the keys of one name only the last stays."""
-    slot = per_process(name, dict)
-    if key not in slot:
-        slot.clear()
-        slot[key] = make()
-    return slot[key]
-
-
 def digest(content: bytes) -> str:
     return hashlib.sha256(content).hexdigest()[:16]
 
