@@ -1,3 +1,5 @@
+import shutil
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -92,3 +94,17 @@ def test_split_scores_each_batch_once(spark, docs, tmp_path):
         lambda d: d.withColumn("odd", count("doc_id")), F.col("odd") == 1,
     ).awaitTermination()
     assert hits.value == docs.count()
+
+
+def test_tables_stored_as_one_file_or_as_a_folder(spark, docs, tmp_path):
+    """The same rows, whichever way the named table lies beside others."""
+    for name, of in (("folder", lambda p: docs.repartition(3).write.parquet(p)), ("file", None)):
+        src, dst, mark = (str(tmp_path / name / n) for n in ("src", "dst", "mark"))
+        docs.limit(3).write.parquet(f"{src}/others.parquet")
+        if of:
+            of(f"{src}/documents.parquet")
+        else:
+            shutil.copy("/root/testdata/sf0.001/documents.parquet", f"{src}/documents.parquet")
+        stream_filter(spark, src, dst, mark, docs.schema, lambda d: d, glob="documents.parquet", files_per_trigger=1).awaitTermination()
+        got = spark.read.parquet(dst)
+        assert got.count() == docs.count() and got.exceptAll(docs).isEmpty(), name

@@ -12,10 +12,13 @@ from textloom.plans.lineage import discard, durable
 
 
 def _source(spark: SparkSession, src: str, schema: StructType, glob: str | None, files_per_trigger: int) -> DataFrame:
+    """Files of the folder ``src``; with ``glob``, those whose names match, or, if it is a plain name,
+    the table of that name, stored as one file or as a folder of files."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.parquet(src)
+    if glob and any(c in glob for c in "*?[{\\"):
+        return reader.option("pathGlobFilter", glob).parquet(src)
+    # braces make a pattern of a plain name; a path without one would have to be a folder
+    return reader.parquet(f"{src.rstrip('/')}/{{{glob}}}" if glob else src)
 
 
 def _sink(df: DataFrame, dst: str, checkpoint: str, once: bool) -> StreamingQuery:
