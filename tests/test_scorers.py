@@ -177,3 +177,24 @@ def test_tensor_model_is_a_scorer(spark, rows):
     tagged = {r.doc_id: r.predictions for r in toxic_predictions(rows, scorer).collect()}
     assert all(tagged[k] == v.index(max(v)) for k, v in want.items()) and tagged[5] is None
     assert set(scorer(rows.withColumn("scores_old", F.lit(1))).columns) == {*rows.columns, "scores_old", "scores"}
+
+
+def test_joined_models_share_one_pass(spark, docs, monkeypatch):
+    """The whole job with models too large to ship: the statuses and domains of shipped ones,
+    and the texts are put in chunks once for all three models."""
+    from textloom.plans import lexicon
+
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    rows = docs.join(labels, "doc_id")
+    models = [fit_nb(rows, "quality", classes=(0, 1)), fit_nb(rows, "toxic", classes=(0, 1)), fit_nb(docs, "lang", classes=("de", "en", "es", "fr"))]
+    recipe = Recipe(bounds=(("word_count", 20, 20000),))
+    calls, in_chunks = [], lexicon._in_chunks
+    monkeypatch.setattr(lexicon, "_in_chunks", lambda *a: calls.append(1) or in_chunks(*a))
+
+    def statuses(in_place):
+        config = CorpusConfig(recipe, *[replace(m, in_place=in_place) for m in models], dict(enumerate(("de", "en", "es", "fr"))))
+        return {r.doc_id: (r.status, r.domains, r.n_tokens) for r in clean_corpus(docs, config).collect()}
+
+    want, n = statuses(True), len(calls)
+    got = statuses(False)
+    assert got == want and (n, len(calls)) == (0, 1) and len({s for s, _, _ in got.values()}) > 2

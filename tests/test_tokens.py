@@ -180,3 +180,26 @@ def test_running_total(spark):
         total += v
     with pytest.raises(ValueError):
         with_running_total(df.withColumn("before", F.lit(1)), "v", "k")
+
+
+def test_words_joined_once_a_chunk(spark, monkeypatch):
+    """Rows of many chunks get what the shipped table gives, and a chunk asks for a word once."""
+    from textloom.plans import lexicon
+
+    rows = [(i % 40 if i % 9 else None, None if i % 7 == 0 else " ".join(f"w{(i * k) % 23}" for k in range(i % 60)) + " the" * 50) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id int, text string").repartition(3)
+    vocabulary = build_vocabulary(df, first_id=2).where("word <> 'w5'")
+    stored = []
+    in_chunks = lexicon._in_chunks
+    monkeypatch.setattr(lexicon, "CHUNK_BYTES", 4000)
+    monkeypatch.setattr(lexicon, "SLICE_BYTES", 1000)
+    monkeypatch.setattr(lexicon, "_in_chunks", lambda *a: stored.append(in_chunks(*a)) or stored[-1])
+    for unk in (None, 0):
+        got, want = (
+            sorted(((r.doc_id, r.input_ids) for r in encode(df, vocabulary, 1, unk, in_place=p).collect()), key=repr) for p in (False, True)
+        )
+        assert got == want and len(got) == 300 and len({str(x) for x in got}) > 100
+    asked = stored[0].where("__words is not null").select("__chunk", F.explode("__words").alias("w"))
+    assert asked.select("__chunk").distinct().count() > 6
+    assert asked.count() == asked.distinct().count() < df.select(F.explode(F.split("text", " "))).count() / 5
+    assert encode(df.limit(0), vocabulary, in_place=False).count() == 0

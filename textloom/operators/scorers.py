@@ -26,16 +26,7 @@ from textloom.operators.tokens import with_ids
 from textloom.plans.checks import require_absent, require_columns
 from textloom.plans.barrier import computed
 from textloom.plans.lineage import durable
-from textloom.plans.lexicon import (
-    attach_by_text,
-    attach_by_word,
-    distinct_texts,
-    explode_words,
-    map_words,
-    ship,
-    sum_rows,
-    within_limits,
-)
+from textloom.plans.lexicon import Fold, join_words, map_words, ship, sum_rows, within_limits
 
 Scorer = Callable[[DataFrame, str, str], DataFrame]
 
@@ -58,32 +49,47 @@ class NaiveBayes:
         require_columns(df, text_col)
         if self.in_place:
             return computed(df, {"raw": self.raw_column(F.col(text_col))})
-        texts = distinct_texts(df, text_col)
-        known = attach_by_word(explode_words(texts, "digest", "text"), self.weights).where("w0 is not null")
-        k = range(len(self.priors))
-        sums = known.groupBy("digest").agg(*[F.sum(f"w{i}").alias(f"s{i}") for i in k])
-        total = F.array(*[F.coalesce(F.col(f"s{i}"), F.lit(0)) + F.lit(self.priors[i]).cast("long") for i in k])
-        scores = durable(texts.select("digest", "w").join(sums, "digest", "left").select("digest", "w", total.alias("raw")), "scores")
-        return attach_by_text(df, text_col, scores, "raw")
+        return raw_joined(df, {"raw": self}, text_col)
 
     def raw_column(self, text: Column) -> Column:
         """The same as a column, for a model that fits every worker: no shuffle."""
         if not self.in_place:
             raise ValueError("the model is too large to ship; use raw()")
-        priors = np.array(self.priors, dtype=np.int64)
         shipped = ship(self.weights, "word", [f"w{i}" for i in range(len(self.priors))])
-
-        def score(values: np.ndarray, at: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            none = np.zeros((1, len(priors)), np.int64)  # an unknown word, at -1, adds nothing
-            rows = sum_rows(np.concatenate([values, none])[at], offsets) + priors
-            return rows.ravel(), np.arange(len(rows) + 1) * len(priors)
-
-        return map_words(shipped, "array<bigint>", score, pa.int64())(text)
+        return map_words(shipped, "array<bigint>", _sums(self.priors), pa.int64())(text)
 
     def __call__(self, df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
         return self.raw(df, text_col, id_col).withColumn("scores", probabilities("raw")).drop("raw")
 
 
+def _sums(priors: Sequence[int]) -> Fold:
+    """Per row, the priors and the weights of its words; a word that is not known adds nothing."""
+    first = np.array(priors, dtype=np.int64)
+
+    def score(values: np.ndarray, at: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        none = np.zeros((1, len(first)), np.int64)  # an unknown word is at -1
+        rows = sum_rows(np.concatenate([values, none])[at], offsets) + first
+        return rows.ravel(), np.arange(len(rows) + 1) * len(first)
+
+    return score
+
+
+def raw_joined(df: DataFrame, models: Mapping[str, NaiveBayes], text_col: str = "text", where_col: str | None = None) -> DataFrame:
+    """``df`` with the raw scores of every model, by joins of words, in one pass over the texts.  Rows
+    for which the boolean column ``where_col`` is not true have none."""
+    table, spans = None, {}
+    for name, model in models.items():
+        spans[name] = (sum(n for _, n in spans.values()), len(model.priors))
+        own = model.weights.select("word", *[F.col(f"w{i}").alias(f"v{spans[name][0] + i}") for i in range(spans[name][1])])
+        table = own if table is None else table.join(own, "word", "full")
+    values = [c for c in table.columns if c != "word"]
+    priors = [p for model in models.values() for p in model.priors]
+    # a word that one model lacks adds nothing to its score
+    table = table.fillna(0, values) if len(models) > 1 else table
+    found = join_words(df, text_col, table, values, "__raw", "array<bigint>", _sums(priors), pa.int64(), where_col=where_col)
+    return found.select(*df.columns, *[F.slice("__raw", at + 1, n).alias(name) for name, (at, n) in spans.items()])
+
+
 def probabilities(raw: Column | str) -> Column:
     raw = F.col(raw) if isinstance(raw, str) else raw
     return softmax(F.transform(raw, lambda x: x / F.lit(float(UNIT))))

@@ -14,15 +14,7 @@ from textloom.functions.text import WS_CHARS, word_count
 from textloom.plans.checks import require_absent, require_columns, require_unique
 from textloom.plans.barrier import computed
 from textloom.plans.lineage import durable
-from textloom.plans.lexicon import (
-    attach_by_text,
-    attach_by_word,
-    distinct_texts,
-    explode_words,
-    fits_broadcast,
-    map_words,
-    ship,
-)
+from textloom.plans.lexicon import explode_words, fits_broadcast, join_words, map_words, ship
 from textloom.plans.ordering import with_row_index, with_running_total
 
 # runs of letters, runs of digits, single signs
@@ -88,7 +80,7 @@ def encode(
     Words outside the vocabulary become ``unk_id``, or are left out if it is None.
     """
     require_columns(df, id_col, text_col)
-    ids = with_ids(df, vocabulary, "__ids", bos_id, unk_id, text_col, in_place).select(id_col, F.col("__ids").alias("input_ids"))
+    ids = with_ids(df, vocabulary, "__ids", bos_id, unk_id, text_col, in_place, [id_col]).select(id_col, F.col("__ids").alias("input_ids"))
     return ids.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1)))
 
 
@@ -100,37 +92,29 @@ def with_ids(
     unk_id: int | None = None,
     text_col: str = "text",
     in_place: bool | None = None,
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """``df`` with the token ids of its whole texts; null for a null text.  Ids depend on the
-    text alone; a vocabulary too large to be shipped is joined by word (``in_place``)."""
+    """``df`` (or its columns ``keep``) with the token ids of its whole texts; null for a null text.
+    Ids depend on the text alone; a vocabulary too large to be shipped is joined by word (``in_place``)."""
     require_columns(df, text_col)
     require_absent(df, name)
     head = [] if bos_id is None else [bos_id]
     if in_place is None:
         in_place = fits_broadcast(vocabulary, "word")
+
+    def ids_of(values: np.ndarray, at: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        stand_in = np.array([-1 if unk_id is None else unk_id], np.int64)  # an unknown word is at -1
+        ids = np.concatenate([values[:, 0], stand_in])[at]
+        used = np.ones(len(at), bool) if unk_id is not None else at >= 0
+        ends = np.concatenate([[0], np.cumsum(used)])[offsets]
+        ids = np.insert(ids[used], np.repeat(ends[:-1], len(head)), np.tile(head, len(offsets) - 1).astype(np.int64))
+        return ids, ends + np.arange(len(offsets)) * len(head)
+
     if in_place:
-        shipped = ship(vocabulary, "word", ["id"])
-
-        def ids_of(values: np.ndarray, at: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            stand_in = np.array([-1 if unk_id is None else unk_id], np.int64)  # an unknown word is at -1
-            ids = np.concatenate([values[:, 0], stand_in])[at]
-            used = np.ones(len(at), bool) if unk_id is not None else at >= 0
-            ends = np.concatenate([[0], np.cumsum(used)])[offsets]
-            ids = np.insert(ids[used], np.repeat(ends[:-1], len(head)), np.tile(head, len(offsets) - 1).astype(np.int64))
-            return ids, ends + np.arange(len(offsets)) * len(head)
-
-        column = map_words(shipped, "array<int>", ids_of, pa.int32())(F.col(text_col))
-        return computed(df, {name: column})
-    texts = distinct_texts(df, text_col)
-    found = attach_by_word(explode_words(texts, "digest", "text"), vocabulary)
-    token = F.coalesce("id", F.lit(unk_id).cast("int"))
-    rows = found.where(token.isNotNull()).groupBy("digest").agg(
-        F.array_sort(F.collect_list(F.struct("pos", token.alias("t")))).alias("ts")
-    )
-    body = F.coalesce(F.transform("ts", lambda x: x["t"]), F.array().cast("array<int>"))
-    whole = F.concat(F.array(*[F.lit(h) for h in head]).cast("array<int>"), body)
-    coded = durable(texts.select("digest", "w").join(rows, "digest", "left").select("digest", "w", whole.alias(name)), "ids")
-    return attach_by_text(df, text_col, coded, name)
+        column = map_words(ship(vocabulary, "word", ["id"]), "array<int>", ids_of, pa.int32())(F.col(text_col))
+        return computed(df, {name: column}, keep)
+    needed = df if keep is None else df.select(*dict.fromkeys([*keep, text_col]))
+    return join_words(needed, text_col, vocabulary, ["id"], name, "array<int>", ids_of, pa.int32(), keep)
 
 
 def truncate_pad(df: DataFrame, pad_id: int, max_len: int = 256, ids_col: str = "input_ids") -> DataFrame:
