@@ -1,5 +1,7 @@
+import pandas as pd
 from pyspark.sql import functions as F
 
+from textloom.functions import markup
 from textloom.operators import (
     LinkRule, book_records, category_books, category_counts, category_urls, crawl_catalog, download_coverage,
     download_formats, follow_chain, frontier_join, link_filter, metadata_defaults, next_edges, page_links,
@@ -180,3 +182,13 @@ def test_custom_rule(spark):
     rule = LinkRule(suffix=".xml", contains="/item-")
     got = page_links(pages(spark, {HOME: "<a href='/a.xml'>a</a><a href='/a.html'>b</a>"}), rule).collect()
     assert [r.link for r in got] == [HOME + "a.xml"]
+
+
+def test_nodes_of_few_pages_are_held_at_once():
+    """A large batch leaves in slices, with every page once and in order."""
+    page = "<li class='menu-item'><a href='/category/x'>c</a></li>" * 2000  # 100 KB
+    batch = pd.Series([page, None, "", "<p>a"] * 30)
+    parts = list(markup._node_lists(iter([batch, batch[:0], batch[3:4]])))
+    assert max(len(p) for p in parts) <= 44 and len(parts) >= 4
+    whole = pd.concat(parts)
+    assert [None if x is None else len(x) for x in whole[:4]] == [6000, None, 0, 2] and len(whole) == 121
