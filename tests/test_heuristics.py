@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,6 +9,7 @@ from textloom.operators import (
     Recipe, corpus_summary, count_tokens, domain_distribution, drop_empty_text, filter_funnel, heur_filter, heur_stats,
     token_stats,
 )
+from textloom.plans.lexicon import SLICE_BYTES, text_parts
 
 TEXT = "Ab, 12!\nab\nab\n x"
 
@@ -89,3 +91,17 @@ def test_summaries(spark):
     shares = domain_distribution(df.withColumnRenamed("source", "domains"))
     assert {r.domains: (r.n, round(r.share, 4)) for r in shares.collect()} == {"a": (2, 0.6667), "b": (1, 0.3333)}
     assert tuple(filter_funnel(df, F.col("text") != "").first()) == (3, 2)
+
+
+def test_repetition_works_on_slices_of_a_batch(spark):
+    """What a worker holds at once follows from the bytes of texts, not from the rows of a batch."""
+    texts = pa.array(["a b " * 50_000, None, "", "x y z"] * 40)  # 8 MB
+    parts = list(text_parts(texts))
+    assert len(parts) >= 2 and sum(map(len, parts)) == len(texts) and pa.concat_arrays(parts).equals(texts)
+    assert max(p.nbytes for p in parts) <= SLICE_BYTES + (1 << 10)
+    assert [len(p) for p in text_parts(texts.slice(0, 5), 1)] == [1, 2, 1, 1]
+    df = spark.createDataFrame([(i, None if i % 11 == 0 else "a b c " * (i % 13) + str(i)) for i in range(500)], "doc_id int, text string").coalesce(1)
+    rules, recipe = ["word_repetition", "char_repetition"], Recipe(word_gram=2, char_gram=3)
+    want = {r.doc_id: tuple(r)[2:] for r in heur_stats(df, rules, recipe).collect()}
+    alone = {r.doc_id: tuple(r)[2:] for r in heur_stats(df.repartition(40), rules, recipe).collect()}
+    assert want == alone and want[11] == (None, None) and len(set(want.values())) > 10

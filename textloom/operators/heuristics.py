@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection, Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from textloom.functions.text import WS_CHARS, words
 from textloom.plans.checks import require_absent, require_columns
 from textloom.plans.barrier import computed
-from textloom.plans.lexicon import row_parts, word_lists
+from textloom.plans.lexicon import row_parts, text_parts, word_lists
 
 
 def _ratio(part: Column, whole: Column) -> Column:
@@ -62,7 +63,8 @@ def _repeated_share(text: Column, n: int, of_words: bool) -> Column:
     """Share of the n-grams that occur more than once in their document.
 
     An Arrow function: n-grams stay within their row, so grouping them needs no shuffle.
-    It hashes and sorts the n-grams of many rows at once.
+    It hashes and sorts the n-grams of many rows at once, but of a slice of a batch only, as they
+    take many times the room of their texts.
     """
 
     def shares(items: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -74,7 +76,7 @@ def _repeated_share(text: Column, n: int, of_words: bool) -> Column:
 
     @F.arrow_udf("double")
     def by_words(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in parts:
+        for texts in chain.from_iterable(map(text_parts, parts)):
             found, offsets, valid = word_lists(texts)
             coded = found.dictionary_encode()
             names = pd.util.hash_array(np.array(coded.dictionary.to_pylist(), object)) if len(found) else np.zeros(0, np.uint64)
@@ -82,7 +84,7 @@ def _repeated_share(text: Column, n: int, of_words: bool) -> Column:
 
     @F.arrow_udf("double")
     def by_chars(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in parts:
+        for texts in chain.from_iterable(map(text_parts, parts)):
             valid = texts.is_valid().to_numpy(zero_copy_only=False)
             filled = pc.fill_null(texts, "")
             points = np.frombuffer("".join(filled.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32)
