@@ -270,3 +270,27 @@ def test_a_hot_meeting_is_dealt_and_loses_nothing(spark):
     for floor in (None, 100):
         got = [(r.a, r.b) for r in dedup._meeting(df, floor).collect()]
         assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_permuted_is_the_exact_remainder():
+    edge = np.array([0, 1, 2, PRIME - 2, PRIME - 1, PRIME // 2], np.uint64)
+    for mul in (1, 2, PRIME // 3, PRIME - 1):
+        for add in (0, 1, PRIME - 1):
+            assert dedup._permuted(edge, mul, add).tolist() == [(int(h) * mul + add) % PRIME for h in edge]
+
+
+def test_estimated_pairs_sign_every_text_once(spark, monkeypatch, tmp_path):
+    """The query reads its signatures three times; they are made once."""
+    from registry.queries import QUERIES
+
+    signed, sets = spark.sparkContext.accumulator(0), dedup._sets
+
+    def counting(texts, n, most=1 << 20):
+        signed.add(len(texts))
+        return sets(texts, n, most)
+
+    docs = spark.createDataFrame([(i, f"a b c d e f {i // 2}", "en", "x") for i in range(40)], "doc_id bigint, text string, lang string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(dedup, "_sets", counting)
+    assert QUERIES["dedup_pairs_estimated"](spark, str(tmp_path)).count() == 20
+    assert signed.value == 40
