@@ -34,7 +34,7 @@ from textloom.plans import durable, with_running_total
 
 MAGIC = b"TOKENS01"
 HEAD = "<BIIIIQq"
-FILE_IDS = 8 << 20   # a file is closed once it holds so many ids; the last document is kept whole
+FILE_IDS = 4 << 20   # a file is closed once it holds so many ids; the last document is kept whole
 FILE_DOCS = 1 << 20  # or so many documents
 SAMPLE = 256         # every so many set bits the place of one is kept
 _EF = "<IQB"
@@ -111,7 +111,8 @@ def _file(width: int, part: int, seq: int, ids: np.ndarray, ends: np.ndarray, na
     # differences of 64-bit ids fit 64 bits without a sign
     names_code = ef_encode(known.view(np.uint64) - np.array(first, np.int64).view(np.uint64))
     head = struct.pack(HEAD, width, len(ends), names.null_count, part, seq, len(ids), first)
-    return b"".join([MAGIC, head, ids.astype(f"<u{width}").tobytes(), ef_encode(ends.astype(np.uint64)), names_code])
+    # the ids are joined from where they lie: a worker holds them once beside the file
+    return b"".join([MAGIC, head, ids.astype(f"<u{width}", copy=False).data, ef_encode(ends.astype(np.uint64)), names_code])
 
 
 class TokenFile:
@@ -188,7 +189,9 @@ def write_token_files(
         ids, ends, names, n = [], [], [], 0
 
         def closed() -> pa.RecordBatch:
-            blob = _file(width, part, seq, np.concatenate(ids), np.concatenate(ends), pa.chunked_array(names).combine_chunks())
+            whole = np.concatenate(ids)
+            ids.clear()  # else they lie in memory twice while the file is made
+            blob = _file(width, part, seq, whole, np.concatenate(ends), pa.chunked_array(names).combine_chunks())
             return pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], ["file"])
 
         for batch in batches:
@@ -207,6 +210,7 @@ def write_token_files(
                     ids, ends, names, n, seq = [], [], [], 0, seq + 1
         if ids:
             yield closed()
+        pa.default_memory_pool().release_unused()  # workers live on after their task
 
     rows = narrow(docs, id=id_col, text=text_col).withColumns({"tie": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
     order = [F.col("id").asc_nulls_first(), "tie", "row"]
