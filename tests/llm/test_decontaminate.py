@@ -180,3 +180,21 @@ def test_a_limit_ends_early_and_changes_nothing_within_it():
         most = int(0.2 * len(item))
         whole, cut = D.edit_distance_within(item, region), D.edit_distance_within(item, region, None, most)
         assert whole == cut if whole[0] <= most else cut[0] > most
+
+
+def test_windows_that_can_share_no_key_are_left_behind(docs, items):
+    """Most windows end their walks early, and no hit is lost by it."""
+    ids, texts = list(items), pa.array([t.lower() + "\0" for t in items.values()])
+    index = D.build_index(ids, texts)
+    rows = [r.text for r in docs.select("text").where("text is not null").orderBy("doc_id").limit(200).collect()]
+    data, _ = D.normal(pa.array([t.lower() + "\0" for t in [*rows, *items.values()]]))
+    starts = D.window_starts(data)
+    for walk in range(D.WALKS):
+        cut = [(k, s, keys.copy()) for k, s, keys in D._keys(data, starts, index.classes, walk, index.early)]
+        whole = [(k, s, keys.copy()) for k, s, keys in D._keys(data, starts, index.classes, walk)]
+        assert sum(len(s) for k, s, _ in cut if k == 0) < 0.5 * len(starts)
+        for kind in index.classes:
+            for sample in range(D.SAMPLES):
+                known = index.keys[kind, walk, sample][0]
+                shared = [sorted(x for k, s, keys in found if k == kind for x in s[np.isin(keys[sample], known)].tolist()) for found in (cut, whole)]
+                assert shared[0] == shared[1] and shared[0]

@@ -38,7 +38,8 @@ WALKS, SAMPLES = 4, 8
 # of a hit agree at least): an item belongs to the first that fits
 CLASSES = ((100, 48, 15, 0.8), (80, 42, 13, 0.8), (40, 28, 11, 0.7), (24, 20, 9, 0.7))
 PART, SLICE = 2 << 20, 1 << 19  # bytes that are brought to normal form, and searched, at a time
-GROUP = 1 << 14           # windows that are walked together
+GROUP = 1 << 15           # windows that are walked together
+EARLY = (20, 28)          # steps after which windows that can share no key any more are left behind
 DIAGONAL = 16             # hits whose alignments differ by less are checked once
 
 _BLANK = np.zeros(256, bool)
@@ -82,6 +83,8 @@ class Index:
     data: np.ndarray          # the texts end to end, each ended by a zero byte
     at: np.ndarray            # where each begins
     keys: dict[tuple[int, int, int], tuple[np.ndarray, np.ndarray, np.ndarray]]  # (class, walk, sample): see _table
+    early: dict[tuple[int, int], np.ndarray]  # (walk, steps): refuses most beginnings of other keys, a bit a sample
+    masks: dict[int, dict[int, int]]  # by item, as they are asked for: see byte_masks
     short: dict[int, tuple[np.ndarray, np.ndarray]]  # by size: sorted hashes of short items, and the items
 
     @property
@@ -122,17 +125,22 @@ def window_starts(data: np.ndarray, before: int = 0) -> np.ndarray:
     return np.flatnonzero(~gap & (after | (data >= 0xE0)))
 
 
-def _keys(data: np.ndarray, starts: np.ndarray, kinds: list[int], walk: int):
-    """``(class, sample, keys)`` of the windows at ``starts`` under a walk.
+def _keys(data: np.ndarray, starts: np.ndarray, kinds: list[int], walk: int, early: dict[tuple[int, int], np.ndarray] | None = None):
+    """``(class, starts, keys)`` of the windows at ``starts`` under a walk, the keys by sample.
 
     One lookup a step gives the byte that a window stands on and whether it goes on.  Windows
-    are walked in groups that fit the processor's caches."""
+    are walked in groups that fit the processor's caches.  With the tables ``early`` those of
+    which no key begins like one of the items' go no further.  Keys hold until the next are asked for."""
+    return _walked(data, starts, {CLASSES[kind][1]: kind for kind in kinds}, walk, early)
+
+
+def _walked(data: np.ndarray, starts: np.ndarray, ends: dict[int, int], walk: int, early: dict | None = None):
+    """See ``_keys``; ``ends`` has the steps after which keys are wanted."""
     bits = _BITS[walk][data]
-    ends = {CLASSES[kind][1]: kind for kind in kinds}
-    out = {kind: np.empty((SAMPLES, len(starts)), np.int64) for kind in kinds}
     chosen = [[s for s in range(SAMPLES) if _CHOSEN[walk, s, j]] for j in range(STEPS)]
     for lo in range(0, len(starts), GROUP):
-        at = starts[lo:lo + GROUP].astype(np.int64)
+        first = starts[lo:lo + GROUP]
+        at = first.astype(np.int64)
         word, move, keys = np.empty_like(at), np.empty_like(at), np.zeros((SAMPLES, len(at)), np.int64)
         for j in range(max(ends)):
             np.take(bits, at, out=word, mode="clip")
@@ -144,10 +152,16 @@ def _keys(data: np.ndarray, starts: np.ndarray, kinds: list[int], walk: int):
                 for sample in chosen[j]:
                     keys[sample] += word
             if j + 1 in ends:
-                out[ends[j + 1]][:, lo:lo + GROUP] = keys
-    for kind in kinds:
-        for sample in range(SAMPLES):
-            yield kind, sample, out[kind][sample]
+                yield ends[j + 1], first, keys
+            if early is not None and j + 1 in EARLY and j + 1 < max(ends):
+                mark, some = early[walk, j + 1], np.zeros(len(at), np.uint8)
+                for sample in range(SAMPLES):
+                    some |= mark[_slots(keys[sample], len(mark))] & np.uint8(1 << sample)
+                on = np.flatnonzero(some)
+                if not len(on):
+                    break
+                first, at, keys = first[on], at[on], keys[:, on]
+                word, move = np.empty_like(at), np.empty_like(at)
 
 
 def _agreement(a: np.ndarray, at: np.ndarray, b: np.ndarray, to: np.ndarray, kind: int, walk: int) -> np.ndarray:
@@ -163,18 +177,33 @@ def _agreement(a: np.ndarray, at: np.ndarray, b: np.ndarray, to: np.ndarray, kin
 
 
 def _slots(keys: np.ndarray, size: int) -> np.ndarray:
-    """Places in a table of ``size`` entries, a power of two."""
-    return ((keys * _ODD).view(np.uint64) >> np.uint64(65 - size.bit_length())).astype(np.int64)
+    """Places in a table of ``size`` entries, a power of two: the highest bits, to which all others of
+    a byte went when it was multiplied."""
+    return (keys.view(np.uint64) >> np.uint64(65 - size.bit_length())).view(np.int64)
+
+
+def _room(n: int) -> int:
+    """Entries of a table that refuses most keys but ``n``."""
+    return 1 << min(20, max(14, (16 * n).bit_length()))
 
 
 def _table(keys: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted keys, the places of their windows, and a table that refuses most other keys at once."""
     order = np.argsort(keys, kind="stable")
-    mark = np.zeros(1 << min(20, max(14, (16 * len(keys)).bit_length())), bool)
+    mark = np.zeros(_room(len(keys)), bool)
     mark[_slots(keys, len(mark))] = True
     return keys[order], places[order], mark
 
 
+def _beginnings(data: np.ndarray, places: np.ndarray, steps: int, walk: int) -> np.ndarray:
+    """A table in which bit ``s`` is set where a window's key of sample ``s`` stands after some steps."""
+    mark = np.zeros(min(4 * _room(len(places)), 1 << 20), np.uint8)
+    for _, _, keys in _walked(data, places, {steps: 0}, walk):
+        for sample in range(SAMPLES):
+            mark[_slots(keys[sample], len(mark))] |= np.uint8(1 << sample)
+    return mark
+
+
 def _class_of(size: int) -> int | None:
     return next((k for k, (least, *_) in enumerate(CLASSES) if size >= least), None)
 
@@ -194,17 +223,23 @@ def build_index(ids: list, column: pa.Array) -> Index:
             by_class.setdefault(kind, []).append(starts[lo:hi])
         elif text:
             by_size.setdefault(len(text), []).append((i, int(_prefix_hash(text))))
-    keys = {}
-    for kind, found in by_class.items():
-        places = np.concatenate(found)
-        for walk in range(WALKS):
-            for _, sample, own in _keys(data, places, [kind], walk):
-                keys[kind, walk, sample] = _table(own.copy(), places)
+    keys, early = {}, {}
+    for walk in range(WALKS):
+        for kind, found in by_class.items():
+            places = np.concatenate(found)
+            found_keys = [k for _, _, k in _keys(data, places, [kind], walk)]
+            own = np.concatenate([np.zeros((SAMPLES, 0), np.int64), *found_keys], axis=1)
+            for sample in range(SAMPLES):
+                keys[kind, walk, sample] = _table(own[sample], places)
+        for steps in EARLY:  # what keys of the classes of more steps begin with
+            longer = [places for kind, found in by_class.items() if CLASSES[kind][1] > steps for places in found]
+            if longer:
+                early[walk, steps] = _beginnings(data, np.concatenate(longer), steps, walk)
     short = {}
     for size, found in by_size.items():
         found.sort(key=lambda x: x[1])
         short[size] = np.array([h for _, h in found], np.int64), np.array([i for i, _ in found], np.int64)
-    return Index(ids, texts, data, at, keys, short)
+    return Index(ids, texts, data, at, keys, early, {}, short)
 
 
 def _prefix_hash(text: bytes) -> np.int64:
@@ -287,7 +322,7 @@ def _verified(
 ) -> list[tuple[int, int, int, int, int]]:
     """``(row, item, edits, start, end)`` of the hits ``(row, item, start)`` within the limit; exact
     copies first, as nothing is nearer than one."""
-    out, exact, masks = [], set(), {}
+    out, exact, masks = [], set(), index.masks
     for row, item, start in hits:
         text, here = index.texts[item], at[row] + start
         if start >= 0 and data[here:min(here + len(text), at[row + 1])].tobytes() == text:
@@ -344,14 +379,17 @@ def _hits(
         return hits
     for walk in range(WALKS):
         met: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-        for kind, sample, keys in _keys(part, starts, index.classes, walk):
-            known, places, mark = index.keys[kind, walk, sample]
-            some = np.flatnonzero(mark[_slots(keys, len(mark))])
-            left = np.searchsorted(known, keys[some], "left")
-            many = np.searchsorted(known, keys[some], "right") - left
-            if many.any():
-                found = np.repeat(left - (np.cumsum(many) - many), many) + np.arange(many.sum())
-                met.setdefault(kind, []).append((np.repeat(starts[some], many), places[found]))
+        for kind, walked, keys in _keys(part, starts, index.classes, walk, index.early):
+            for sample in range(SAMPLES):
+                known, places, mark = index.keys[kind, walk, sample]
+                some = np.flatnonzero(mark[_slots(keys[sample], len(mark))])
+                left = np.searchsorted(known, keys[sample][some], "left")
+                same = np.flatnonzero(np.take(known, left, mode="clip") == keys[sample][some])
+                some, left = some[same], left[same]
+                many = np.searchsorted(known, keys[sample][some], "right") - left
+                if many.any():
+                    found = np.repeat(left - (np.cumsum(many) - many), many) + np.arange(many.sum())
+                    met.setdefault(kind, []).append((np.repeat(walked[some], many), places[found]))
         for kind, pairs in met.items():
             both = np.unique(np.concatenate([h * len(index.data) + t for h, t in pairs]))
             here, there = both // len(index.data), both % len(index.data)
