@@ -10,6 +10,7 @@ from tokenizers import Tokenizer
 from tests.llm.conftest import ODD, SF
 from textloom.llm.queries import BYTE_VOCABULARY, END_ID, op12_token_files, vocabulary
 from textloom.llm.token_files import EliasFano, TokenFile, ef_encode, read_boundaries, read_tokens, write_token_files
+from textloom.llm.words import ByteLevel
 from textloom.plans import fresh_path
 
 V = vocabulary(public_tokenizers.path(BYTE_VOCABULARY))
@@ -91,3 +92,15 @@ def test_one_id_and_one_text_without_limit(spark):
     rows = sorted((7 if i % 2 == 0 else i, "same text" if i % 2 == 0 else f"text {i}") for i in range(4000))
     assert sorted(tuple(r)[0::2] for r in got) == sorted(e[0::2] for e in expected(rows))
     assert [r.doc_id for r in got] == [i for i, _ in rows] and all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
+
+
+def test_words_are_joined_whatever_they_hold_inside():
+    """Words between surely solid signs are encoded side by side: one call for all of them."""
+    library = ByteLevel(V)
+    words = [f"{gap}{w}".encode() for w in ("café", "naïve", "日本語", "a\tb", "x  y", "don't", "é", "plain", "<|endoftext|>") for gap in " \n"] * 30
+    calls, encode = [], library._encode
+    library._encode = lambda texts: calls.append(len(texts)) or encode(texts)
+    ids, sizes = library.encode([b"first", *words, b" ", b"last "])
+    assert sum(calls) == 4  # the words between as one text, three by themselves
+    single = [Tokenizer.from_str(V).encode(w.decode(), add_special_tokens=False).ids for w in (b"first", *words, b" ", b"last ")]
+    assert sizes.tolist() == [len(x) for x in single] and ids.tolist() == [i for x in single for i in x]

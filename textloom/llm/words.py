@@ -123,14 +123,14 @@ class WordTable:
         coded = words.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         known = self.known
-        found = [known.get(w, -1) for w in distinct]
-        new = [w for w, k in zip(distinct, found) if k < 0]
-        if new:
-            first = len(known)
-            known.update(zip(new, range(first, first + len(new))))
+        found = np.fromiter(map(known.get, distinct, itertools.repeat(-1)), np.int64, len(distinct))
+        unknown = np.flatnonzero(found < 0)
+        if len(unknown):
+            new = [distinct[i] for i in unknown.tolist()]
+            found[unknown] = np.arange(len(known), len(known) + len(new))
+            known.update(zip(new, range(len(known), len(known) + len(new))))
             self.learn(new)
-            found = [known[w] for w in distinct]
-        return np.array(found, np.int64), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        return found, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 # --- byte-level vocabularies of the tokenizers library -------------------------------------
@@ -173,48 +173,57 @@ class ByteLevel:
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words end to end, and each word's number of ids.
 
-        Words that begin with one white space and hold printable ASCII signs else are
+        Words that begin with one white space and end in a sign that is none are
         handed over side by side as one text; their borders are found again by the
         bytes of the ids, and words are encoded singly if one should not be there.
         """
-        sizes = np.zeros(len(words), np.int64)
-        parts: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
-        alone: list[int] = []
-        for batch in self._batches(words, alone):
-            ids, _ = self._encode(["".join(words[i].decode() for i in batch)])
-            ends, want = np.cumsum(self.lengths[ids]), np.cumsum([len(words[i]) for i in batch])
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        joined = _joined(words, lengths)
+        order, alone = np.flatnonzero(joined), [np.flatnonzero(~joined)]
+        parts, sizes, places = [], [], []
+        block = (np.cumsum(lengths[order]) - 1) // JOINED_BYTES
+        for batch in np.split(order, np.flatnonzero(np.diff(block)) + 1):
+            ids, _ = self._encode([b"".join([words[i] for i in batch.tolist()]).decode()])
+            ends, want = np.cumsum(self.lengths[ids]), np.cumsum(lengths[batch])
             at = np.searchsorted(ends, want)
             if len(ends) and ends[-1] == want[-1] and (ends[np.minimum(at, len(ends) - 1)] == want).all():
-                for i, p in zip(batch, np.split(ids, at[:-1] + 1)):
-                    parts[i] = p
-                sizes[batch] = np.diff(at, prepend=-1)
+                parts.append(ids)
+                sizes.append(np.diff(at, prepend=-1))
+                places.append(batch)
             else:
-                alone += batch
-        for lo in range(0, len(alone), 4096):
-            batch = alone[lo:lo + 4096]
-            ids, n = self._encode([words[i].decode() for i in batch])
-            for i, p in zip(batch, np.split(ids, np.cumsum(n)[:-1])):
-                parts[i] = p
-            sizes[batch] = n
-        return np.concatenate(parts) if parts else np.zeros(0, np.int32), sizes
-
-    def _batches(self, words: list[bytes], alone: list[int]) -> Iterator[list[int]]:
-        batch, size = [], 0
-        for i, w in enumerate(words):
-            if len(w) > 1 and w[0] in b" \n" and w.isascii() and _printable(w[1:]):
-                batch.append(i)
-                size += len(w)
-                if size >= JOINED_BYTES:
-                    yield batch
-                    batch, size = [], 0
-            else:
-                alone.append(i)
-        if batch:
-            yield batch
-
-
-def _printable(word: bytes) -> bool:
-    return not word.translate(None, bytes(range(0x21, 0x7F)))
+                alone.append(batch)
+        single = np.concatenate(alone)
+        for lo in range(0, len(single), 4096):
+            batch = single[lo:lo + 4096]
+            ids, n = self._encode([words[i].decode() for i in batch.tolist()])
+            parts.append(ids)
+            sizes.append(n)
+            places.append(batch)
+        return _in_order(parts, sizes, places)
+
+
+def _joined(words: list[bytes], lengths: np.ndarray) -> np.ndarray:
+    """Which words begin and end as words do that ``cut`` has cut on both sides: with one white space
+    before a sign that is none, and with such a sign."""
+    data = np.frombuffer(b"\0\0\0" + b"".join(words) + b"\0", np.uint8)
+    lo = np.cumsum(lengths) - lengths + 3
+    last = lo + lengths - 1
+    first, after, before = data[lo], data[lo + 1], data[last]
+    ended = _SOLID[before] | (_TWO[data[last - 1]] & (lengths > 2)) | (_THREE[data[last - 2]] & (lengths > 3))
+    begun = ((first == 0x20) | (first == 0x0A)) & (_SOLID[after] | _TWO[after] | _THREE[after])
+    return begun & ended & (lengths > 1)
+
+
+def _in_order(parts: list[np.ndarray], sizes: list[np.ndarray], places: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists that lie end to end in ``parts``, put at their places; and each one's size."""
+    if not parts:
+        return np.zeros(0, np.int32), np.zeros(0, np.int64)
+    items, found, at = np.concatenate(parts), np.concatenate(sizes), np.concatenate(places)
+    size, begin = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+    size[at], begin[at] = found, np.cumsum(found) - found
+    if (at[1:] > at[:-1]).all():
+        return items, size
+    return items[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(len(items))], size
 
 
 # --- piece vocabularies of the sentencepiece library ---------------------------------------
