@@ -9,8 +9,8 @@ from tokenizers import Tokenizer
 
 from tests.llm.conftest import ODD, SF
 from textloom.llm.queries import BYTE_VOCABULARY, END_ID, op12_token_files, vocabulary
-from textloom.llm.token_files import EliasFano, TokenFile, ef_encode, read_boundaries, read_tokens, write_token_files
-from textloom.llm.words import ByteLevel
+from textloom.llm.token_files import _Encoder, EliasFano, TokenFile, ef_encode, read_boundaries, read_tokens, write_token_files
+from textloom.llm.words import ByteLevel, WordTable, as_words
 from textloom.plans import fresh_path
 
 V = vocabulary(public_tokenizers.path(BYTE_VOCABULARY))
@@ -104,3 +104,34 @@ def test_words_are_joined_whatever_they_hold_inside():
     assert sum(calls) == 4  # the words between as one text, three by themselves
     single = [Tokenizer.from_str(V).encode(w.decode(), add_special_tokens=False).ids for w in (b"first", *words, b" ", b"last ")]
     assert sizes.tolist() == [len(x) for x in single] and ids.tolist() == [i for x in single for i in x]
+
+
+@pytest.mark.parametrize("words", [[b"%06d" % i for i in range(500_000)], [bytes([65 + i]) * (1 << 20) for i in range(20)]])
+def test_what_a_worker_remembers_is_bounded_in_words_and_bytes(words):
+    """Half a million short words fill the table, and so do twenty of a megabyte."""
+    learned, kept = [], []
+    table = WordTable(learned.extend, lambda codes: kept.append(codes.tolist()))
+
+    def codes(some):
+        data = np.frombuffer(b"".join(some), np.uint8)
+        found, places = table.codes(as_words(data, np.cumsum([0, *map(len, some[:-1])])))
+        return found[places].tolist()
+
+    assert codes(words[1:6]) == [0, 1, 2, 3, 4] and not table.reset_if_full()
+    assert codes(words) == [5, 0, 1, 2, 3, 4, *range(6, len(words))] and len(learned) == len(words)
+    assert table.full() and table.reset_if_full() and not table.full()
+    assert kept == [[0, 1, 2, 3, 4]]  # those asked for more than once; of the others nothing is left
+    assert codes(words[7:2:-1]) == [5, 6, 4, 3, 2] and learned[len(words):] == [words[7], words[6]]
+
+
+def test_forgetting_changes_no_ids():
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice(["one", "two", "three", "日本", f"w{rng.randrange(400)}"]) for _ in range(50)) for _ in range(60)]
+    encoder, want = _Encoder(V), expected(enumerate(texts))
+    encoder.table.most, resets = 60, 0
+    for text, (_, _, n, crc) in zip(texts, want):
+        resets += encoder.table.full()
+        data = np.frombuffer(text.encode(), np.uint8)
+        ids, stops = encoder.encode(data, np.array([0, len(data)]))
+        assert stops.tolist() == [n - 1] and zlib.crc32(np.append(ids, END_ID).astype("<u4").tobytes()) == crc
+    assert resets > 3

@@ -40,11 +40,12 @@ class Aligner:
         self.size_b = len(self.b.bytes_of)
         self.identity = identity_map(self.a, self.b)
         self.table = WordTable(self._learn, self._forget)
-        self._forget()
-
-    def _forget(self) -> None:
         self.ids_a, self.ids_b, self.good, self.texts = Rows(np.int32), Rows(np.int32), Rows(np.bool_), []
 
+    def _forget(self, kept: np.ndarray) -> None:
+        self.ids_a, self.ids_b, self.good = self.ids_a.only(kept), self.ids_b.only(kept), self.good.only(kept)
+        self.texts = [self.texts[c] for c in kept[kept < len(self.texts)].tolist()]
+
     def _learn(self, words: list[bytes]) -> None:
         a, na = self.a.encode(words)
         b, nb = self.b.encode(words)
@@ -190,7 +191,7 @@ def pair_counts(
 
         for batch in batches:
             for _, texts in _slices(batch, slice_bytes):
-                if len(aligner.table.known) > aligner.table.most:
+                if aligner.table.full():
                     yield from pairs()
                     counted[:] = 0
                     aligner.table.reset_if_full()

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from textloom.llm.batches import SLICE_BYTES, field, flat, narrow, row_slices
+from textloom.llm.batches import field, flat, narrow, row_slices
 from textloom.llm.words import ByteLevel, Rows, WordTable, as_words, cut, digest, per_process
 from textloom.plans import durable, with_running_total
 
@@ -36,6 +36,7 @@ MAGIC = b"TOKENS01"
 HEAD = "<BIIIIQq"
 FILE_IDS = 4 << 20   # a file is closed once it holds so many ids; the last document is kept whole
 FILE_DOCS = 1 << 20  # or so many documents
+SLICE_BYTES = 2 << 20  # texts encoded at once: the distinct words of a slice are looked up
 SAMPLE = 256         # every so many set bits the place of one is kept
 _EF = "<IQB"
 
@@ -142,11 +143,11 @@ class _Encoder:
     def __init__(self, vocabulary: str):
         self.library = ByteLevel(vocabulary)
         self.table = WordTable(self._learn, self._forget)
-        self._forget()
-
-    def _forget(self) -> None:
         self.rows = Rows(np.int32)
 
+    def _forget(self, kept: np.ndarray) -> None:
+        self.rows = self.rows.only(kept)
+
     def _learn(self, new: list[bytes]) -> None:
         self.rows.add(*self.library.encode(new))
 

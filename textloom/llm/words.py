@@ -19,7 +19,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 300_000      # words that a table remembers
+KEPT_BYTES = 16 << 20     # and their bytes, whatever their number
 JOINED_BYTES = 64 << 10   # words handed to the library as one text
 
 _SOLID = np.zeros(256, bool)      # a byte that is a sign by itself and not white space
@@ -102,19 +103,45 @@ class Rows:
         first = np.repeat(self.at[rows] - (np.cumsum(sizes) - sizes), sizes)
         return self.items[first + np.arange(len(first))], sizes
 
+    def only(self, rows: np.ndarray) -> Rows:
+        """The given lists alone."""
+        made = Rows(self.items.dtype)
+        made.add(*self.of(rows))
+        return made
+
 
 class WordTable:
-    """Codes of words; ``learn`` gets the list of words that are new."""
+    """Codes of words; ``learn`` gets the list of words that are new, ``forget`` the codes that stay
+    when the table starts anew: code ``kept[i]`` is ``i`` from then on."""
+
+    def __init__(
+        self, learn: Callable[[list[bytes]], None], forget: Callable[[np.ndarray], None], most: int = KEPT_WORDS, most_bytes: int = KEPT_BYTES
+    ):
+        self.learn, self.forget, self.most, self.most_bytes = learn, forget, most, most_bytes
+        self.known, self.size = {}, 0
+        self.asked = np.zeros(0, np.uint8)  # how often each word was asked for, at most 255 times
 
-    def __init__(self, learn: Callable[[list[bytes]], None], forget: Callable[[], None], most: int = KEPT_WORDS):
-        self.learn, self.forget, self.most, self.known = learn, forget, most, {}
+    def full(self) -> bool:
+        """Whether there are too many words, or too many bytes of them."""
+        return len(self.known) > self.most or self.size > self.most_bytes
 
     def reset_if_full(self) -> bool:
-        """Start anew once there are too many words; codes given before lose their meaning."""
-        if len(self.known) <= self.most:
+        """Start anew once the table is full, with the words asked for most often if they take half of
+        it at most; codes given before lose their meaning."""
+        if not self.full():
             return False
-        self.known.clear()
-        self.forget()
+        asked = self.asked[:len(self.known)]
+        words = list(self.known)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        fits = [  # for every number of times: whether the words asked for more often take half of the table at most
+            n <= self.most // 2 and size <= self.most_bytes // 2
+            for n, size in zip(*(np.cumsum(np.bincount(asked, w, 257)[:0:-1])[::-1] for w in (None, sizes)))
+        ]
+        kept = np.flatnonzero(asked > max(fits.index(True), 1))
+        self.known = {words[c]: i for i, c in enumerate(kept.tolist())}
+        self.size = sum(map(len, self.known))
+        self.asked = np.zeros(len(kept), np.uint8)
+        self.forget(kept)
         return True
 
     def codes(self, words: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +156,11 @@ class WordTable:
             new = [distinct[i] for i in unknown.tolist()]
             found[unknown] = np.arange(len(known), len(known) + len(new))
             known.update(zip(new, range(len(known), len(known) + len(new))))
+            self.size += sum(map(len, new))
             self.learn(new)
+        if len(known) > len(self.asked):
+            self.asked = np.concatenate([self.asked, np.zeros(max(len(self.asked), len(known) - len(self.asked)), np.uint8)])
+        self.asked[found] += self.asked[found] < 255
         return found, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
