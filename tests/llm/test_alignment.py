@@ -112,6 +112,22 @@ def test_forgetting_words_and_whole_texts_change_nothing():
     assert rows(aligner) == want
 
 
+def test_words_that_stay_keep_their_tokens_and_groups():
+    """A table that starts anew over and over keeps the usual words, under new codes."""
+    rng = random.Random(3)
+    lines = [" ".join(rng.choice(["one", "two,", "three", "日本", f"w{rng.randrange(99)}"]) for _ in range(20)) for _ in range(40)]
+    aligner, want, stayed = Aligner(V, M), brute(lines)[0], 0
+    aligner.table.most = 40
+    for line, known in zip(lines, want):
+        if aligner.table.reset_if_full():
+            stayed += len(aligner.table.known)
+        codes, places, starts, good = aligner.words(pa.array([line], pa.large_string()))
+        aligner.write_groups()
+        assert good.all() and ";".join(aligner.texts[codes[k]] for k in places) == known[6]
+        assert aligner.sizes(codes)[places].sum(axis=0).tolist() == list(known[:4])
+    assert stayed > 20
+
+
 def test_identity_map():
     aligner = Aligner(V, M)
     known = [(a, int(b)) for a, b in enumerate(aligner.identity) if b >= 0]
